@@ -36,9 +36,8 @@ def assign_periods(
     the chunk before it. Pass the key columns only and join wide columns back afterwards, so
     that texts are not sorted for numbering.
     """
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    numbered = row_index(df, order).select("*", total.alias("_total"))
-    full, rest = F.floor(F.col("_total") / rows_per_period), F.col("_total") % rows_per_period
+    numbered = row_index(df, order)
+    full, rest = F.floor(F.col("n_total") / rows_per_period), F.col("n_total") % rows_per_period
     short_tail = (rest < rows_per_period // 2) & (full > 0)
     last = F.when((rest == 0) | short_tail, full - 1).otherwise(full)
     chunk = F.least(F.floor(F.col("idx") / rows_per_period), last)
@@ -46,7 +45,7 @@ def assign_periods(
         numbered.withColumn("chunk", chunk)
         .withColumn("month_partition", month_label(F.col("chunk"), base))
         .withColumn("row_in_month", F.col("idx") - F.col("chunk") * rows_per_period)
-        .drop("_total")
+        .drop("n_total")
     )
 
 

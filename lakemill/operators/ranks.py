@@ -18,20 +18,20 @@ def _range_count(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def add_ranges(
-    df: DataFrame, order: str, group: list[str] = [], n_ranges: int | None = None
-) -> DataFrame:
-    """Add `_range`, the ordinal of the value range (within the group) the row falls in."""
+def add_ranges(df: DataFrame, order: str, n_ranges: int | None = None) -> DataFrame:
+    """Add `_range`, the ordinal of the value range the row falls in.
+
+    Bounds are over all rows, so a range (and any group's share of it) holds about 1/n of the
+    table at most, however unequal the groups are.
+    """
     n = n_ranges or _range_count(df)
-    shares = [i / n for i in range(1, n)]
-    bounds = F.percentile_approx(F.col(order).cast("double"), shares, 20 * n).alias("_bounds")
-    if group:
-        # One row per group: the sketch, not the group's rows, is what gets joined back.
-        df = df.join(df.groupBy(*group).agg(bounds), group)
-    else:
-        df = df.select("*", df.agg(bounds).scalar().alias("_bounds"))
     value = F.col(order).cast("double")
-    return df.withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= value))).drop("_bounds")
+    bounds = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n))
+    return (
+        df.select("*", bounds.scalar().alias("_bounds"))
+        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= value)))
+        .drop("_bounds")
+    )
 
 
 def running_totals(
@@ -41,25 +41,28 @@ def running_totals(
     group: list[str] = [],
     n_ranges: int | None = None,
 ) -> DataFrame:
-    """Add `<c>_before` for each c in `sums`: the total over rows of smaller `order`.
+    """Add, per c in `sums`, `<c>_before` (total over rows of smaller `order`) and `<c>_total`.
 
-    `order` must be unique within the group and castable to double for balancing.
+    `order` must be unique within the group and castable to double.
     """
-    ranged = add_ranges(df, order, group, n_ranges)
+    ranged = add_ranges(df, order, n_ranges)
     per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    # One row per range and group, so this window is over at most n_ranges rows per group.
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and group: these windows see at most n_ranges rows per group.
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
-        *group, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums]
-    )
-    within = (
-        Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        *group,
+        "_range",
+        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(whole).alias(f"{c}_total") for c in sums],
     )
+    cell = Window.partitionBy(*group, "_range").orderBy(order)
+    cell = cell.rowsBetween(Window.unboundedPreceding, -1)
     return (
         ranged.join(offsets, [*group, "_range"])
         .withColumns(
             {
-                f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))
+                f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(cell), F.lit(0))
                 for c in sums
             }
         )
@@ -68,10 +71,10 @@ def running_totals(
 
 
 def row_index(df: DataFrame, order: str, name: str = "idx", n_ranges: int | None = None) -> DataFrame:
-    """Add a dense 0-based row number by a unique order column."""
+    """Add a dense 0-based row number by a unique order column, and the row count `n_total`."""
     counted = df.withColumn("_one", F.lit(1).cast("bigint"))
     numbered = running_totals(counted, order, ["_one"], n_ranges=n_ranges)
-    return numbered.withColumnRenamed("_one_before", name).drop("_one")
+    return numbered.withColumnsRenamed({"_one_before": name, "_one_total": "n_total"}).drop("_one")
 
 
 def value_counts(
@@ -89,9 +92,7 @@ def exact_quantiles(
 
     Adds one array column `out` per group, in the order of `shares`, plus the row count `_rows`.
     """
-    ranked = running_totals(counts, value, ["_n"], group)
-    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_rows"))
-    ranked = ranked.join(totals, group) if group else ranked.select("*", totals.scalar().alias("_rows"))
+    ranked = running_totals(counts, value, ["_n"], group).withColumnRenamed("_n_total", "_rows")
     first, after = F.col("_n_before"), F.col("_n_before") + F.col("_n")
 
     def at(position: Column) -> Column:

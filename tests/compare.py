@@ -78,7 +78,8 @@ def main() -> None:
     folder, names = sys.argv[1], sys.argv[2:]
     spark = session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+           "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("OFF")
     con = oracle_connection(folder)
