@@ -1,6 +1,6 @@
 """Every named query, collected from the query modules."""
 
-from lakemill.plans import ingest_queries, quality_queries  # noqa: F401
+from lakemill.plans import gold_queries, ingest_queries, quality_queries  # noqa: F401
 from lakemill.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

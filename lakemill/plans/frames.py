@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemill.operators import ingest, silver
+from lakemill.operators import ingest, silver, splits
 from lakemill.plans.twins import KEYWORDS, PERIOD_ROWS
+from lakemill.session import durable
 from lakemill.sources.tables import mail_keys, mails
 
 
@@ -17,3 +19,13 @@ def bronze_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_rows(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver(bronze_rows(spark, folder), keywords=KEYWORDS)
+
+
+def split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver with the latest month held out.
+
+    Silver is written once: the split reads its keys twice and its rows once.
+    """
+    rows = durable(silver_rows(spark, folder), "silver")
+    holdout = rows.agg(F.max("month_partition")).scalar()
+    return splits.split(rows, holdout)
