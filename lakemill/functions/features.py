@@ -22,8 +22,8 @@ from lakemill.functions.numbers import at_least_one, half_even
 
 def keyword_count(clean: Column, keywords: list[str] = SPAM_KEYWORDS) -> Column:
     """Non-overlapping whole-word matches of any keyword or phrase."""
-    alternatives = "|".join(rf"\b{re.escape(k)}\b" for k in keywords)
-    return F.regexp_count(clean, F.lit(alternatives))
+    alternatives = "|".join(map(re.escape, keywords))
+    return F.regexp_count(clean, F.lit(rf"\b(?:{alternatives})\b"))
 
 
 def has_marker(raw: Column, marker: str = MARKER) -> Column:

@@ -16,6 +16,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+CUT = "\uf8ff"
+
+
 def ascii_part(char: str) -> str:
     return unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
 
@@ -45,15 +48,19 @@ def _char_class(chars) -> str:
             first = code
         last = code
     ranges.append((first, last))
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+    # The look-ahead rejects most characters before the long list of ranges is tried.
+    beyond = f"(?=[\\x{{{codes[0]:X}}}-\\x{{10FFFF}}])"
+    return beyond + "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
 def _expand(text: Column) -> Column:
     _, several = fold_tables()
     cls = _char_class(several)
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    # Two joined literals, which the optimizer folds into one map; one literal each would be slow to plan.
+    table = F.map_from_arrays(*[F.split(F.lit("\n".join(x)), "\n") for x in (several, several.values())])
     # Cut around each expandable character, so lookups cost per occurrence and not per character.
-    pieces = F.split(text, f"(?<={cls})|(?={cls})")
+    # The cut mark is a private character that folding would drop anyway.
+    pieces = F.split(F.regexp_replace(text, f"({cls})", f"{CUT}$1{CUT}"), CUT)
     spelled = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(table, p), p))
     return F.when(text.rlike(cls), F.array_join(spelled, "")).otherwise(text)
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.functions.fixed import DROPPED_FEATURES, NUMERIC_FEATURES, SEED, VAL_SHARE
@@ -31,72 +35,73 @@ def select_features(
     return df.drop(*dropped).withColumns(gated)
 
 
-def stratified_sample(
-    df: DataFrame, key: str, label: str, share: float, seed: int = SEED
-) -> DataFrame:
-    """Add boolean `picked`: an exact `share` of the rows, stratified by label.
+@dataclass(frozen=True)
+class StratifiedCut:
+    """An exact, stratified share of rows: per label, the last (hash, key) that is picked.
 
-    The total picked is the ceiling of share * n. Unpicked quotas per label follow the largest
-    remainder, picked ones take the rest. Rows are picked in the order of a seeded hash of the
-    key. Only the one hash range per label in which the quota ends is ranked; all other rows are
-    decided by a lookup, so nothing wide is shuffled or sorted.
+    Rows are picked in the order of a seeded hash of their key, so once the cuts are known the
+    choice is row-local and the same in every later plan.
     """
-    hashed = df.withColumn("_h", seeded_int(F.col(key), seed, 1)).withColumn(
-        "_range", F.shiftright("_h", 32 - RANGE_BITS).cast("int")
-    )
-    per_range = hashed.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_in"))
-    # The windows below see one row per label and hash range, or one row per label.
-    by_label = Window.partitionBy(label)
-    before = by_label.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = per_range.groupBy(label).agg(F.sum("_in").alias("_rows"))
-    everything = Window.partitionBy(F.lit(1))
-    n = F.sum("_rows").over(everything)
-    rest = n - F.ceil(n * share)
-    ideal = F.col("_rows") * rest / n
-    place = F.row_number().over(everything.orderBy(F.desc("_part"), label))
-    quotas = (
-        sizes.withColumns({"_rest": rest, "_ideal": ideal})
-        .withColumns({"_floor": F.floor("_ideal"), "_part": F.col("_ideal") - F.floor("_ideal")})
-        .withColumn("_extra", F.col("_rest") - F.sum("_floor").over(everything))
-        .withColumn("_unpicked", F.col("_floor") + F.when(place <= F.col("_extra"), 1).otherwise(0))
-        .select(label, (F.col("_rows") - F.col("_unpicked")).alias("_quota"))
-    )
-    offsets = (
-        per_range.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
-        .join(F.broadcast(quotas), label)
-        .select(label, "_range", "_before", "_in", "_quota")
-    )
-    # At most labels * 2^RANGE_BITS short rows: a fixed bound, whatever the table's size.
-    looked = hashed.join(F.broadcast(offsets), [label, "_range"])
-    left = F.col("_quota") - F.col("_before")
-    border = (left > 0) & (left < F.col("_in"))
-    cuts = (
-        looked.where(border)
-        .select(label, "_range", "_h", F.col(key).alias("_key"), left.alias("_left"))
-        .withColumn("_place", F.row_number().over(Window.partitionBy(label, "_range").orderBy("_h", "_key")))
-        .where(F.col("_place") == F.col("_left"))
-        .select(label, F.struct("_h", "_key").alias("_last"))
-    )
-    # One cut per label: the last picked (hash, key) of its border range.
-    mine = F.struct(F.col("_h"), F.col(key).alias("_key"))
-    picked = F.when(border, mine <= F.col("_last")).otherwise(left > 0)
-    return (
-        looked.join(F.broadcast(cuts), label, "left")
-        .withColumn("picked", F.coalesce(picked, F.lit(False)))
-        .drop("_h", "_range", "_before", "_in", "_quota", "_last")
-    )
+
+    key: str
+    label: str
+    seed: int
+    cuts: tuple[tuple[int, int, str], ...]
+
+    @classmethod
+    def fit(cls, df: DataFrame, key: str, label: str, share: float, seed: int = SEED) -> StratifiedCut:
+        """The total picked is the ceiling of share * n.
+
+        Unpicked quotas per label follow the largest remainder and picked ones take the rest. One
+        pass counts hash ranges, a second ranks the one range per label in which the quota ends.
+        """
+        hashed = df.select(
+            F.col(label).alias("_label"), F.col(key).alias("_key"), seeded_int(F.col(key), seed, 1).alias("_h")
+        ).withColumn("_range", F.shiftright("_h", 32 - RANGE_BITS))
+        ranges = hashed.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("_in"))
+        sizes = {r["_label"]: r["n"] for r in ranges.groupBy("_label").agg(F.sum("_in").alias("n")).collect()}
+        quotas = _picked_quotas(sizes, share)
+        quota = F.coalesce(*[F.when(F.col("_label") == y, F.lit(q)) for y, q in quotas.items()])
+        # At most 2^RANGE_BITS short rows per label, whatever the table's size.
+        earlier = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        left = quota - F.coalesce(F.sum("_in").over(earlier), F.lit(0))
+        border = ranges.withColumn("_left", left).where((F.col("_left") > 0) & (F.col("_left") <= F.col("_in")))
+        place = F.row_number().over(Window.partitionBy("_label", "_range").orderBy("_h", "_key"))
+        last = (
+            # One border range per label.
+            hashed.join(F.broadcast(border), ["_label", "_range"])
+            .withColumn("_place", place)
+            .where(F.col("_place") == F.col("_left"))
+            .select("_label", "_h", "_key")
+        )
+        return cls(key, label, seed, tuple((r["_label"], r["_h"], r["_key"]) for r in last.collect()))
+
+    def picked(self) -> Column:
+        hashed, key = seeded_int(F.col(self.key), self.seed, 1), F.col(self.key)
+        within = [
+            (F.col(self.label) == y) & ((hashed < h) | ((hashed == h) & (key <= k))) for y, h, k in self.cuts
+        ]
+        return reduce(lambda a, b: a | b, within, F.lit(False))
+
+
+def _picked_quotas(sizes: dict[int, int], share: float) -> dict[int, int]:
+    """Rows to pick per label, from a handful of label counts."""
+    n = sum(sizes.values())
+    rest = n - math.ceil(n * share)
+    ideal = {y: size * rest / n for y, size in sizes.items()}
+    extra = rest - sum(map(math.floor, ideal.values()))
+    by_remainder = sorted(ideal, key=lambda y: (math.floor(ideal[y]) - ideal[y], y))
+    unpicked = {y: math.floor(ideal[y]) + (place < extra) for place, y in enumerate(by_remainder)}
+    return {y: size - unpicked[y] for y, size in sizes.items()}
 
 
 def split(
     df: DataFrame, holdout: str, val_share: float = VAL_SHARE, seed: int = SEED
 ) -> DataFrame:
     """Add `split`: the hold-out month is test, the rest is train and a stratified val share."""
-    test = df.where(F.col("month_partition") == holdout).withColumn("split", F.lit("test"))
-    rest = stratified_sample(
-        df.where(F.col("month_partition") != holdout), "email_id", "label", val_share, seed
-    )
-    rest = rest.withColumn("split", F.when(F.col("picked"), "val").otherwise("train")).drop("picked")
-    return rest.select(*test.columns).unionByName(test)
+    held = F.col("month_partition") == holdout
+    cut = StratifiedCut.fit(df.where(~held), "email_id", "label", val_share, seed)
+    return df.withColumn("split", F.when(held, "test").when(cut.picked(), "val").otherwise("train"))
 
 
 def split_by_hash(df: DataFrame, key: str, share: float, seed: int = SEED) -> DataFrame:

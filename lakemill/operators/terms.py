@@ -7,6 +7,7 @@ and travels with the plan.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -119,7 +120,8 @@ class TermModel:
 
     def weights(self, df: DataFrame, keep: list[str]) -> DataFrame:
         """Long form (keep..., idx, term, weight), L2-normalised per document."""
-        idf = F.lit(list(self.idf))
+        # Parsed from one literal, folded by the optimizer; a literal per entry would be slow to plan.
+        idf = F.from_json(F.lit(json.dumps(self.idf)), "array<double>")
         cells = F.unwrap_udt("_counts")
         raw = F.zip_with(
             cells["indices"], cells["values"], lambda i, tf: (1.0 + F.log(tf)) * F.element_at(idf, i + 1)
@@ -128,7 +130,7 @@ class TermModel:
         pairs = F.zip_with(
             "_idx", "_raw", lambda i, w: F.struct(i.alias("idx"), (w / F.col("_norm")).alias("weight"))
         )
-        names = F.lit(list(self.terms))
+        names = F.from_json(F.lit(json.dumps(self.terms)), "array<string>")
         return (
             self.counts(df)
             .select(*keep, cells["indices"].alias("_idx"), raw.alias("_raw"))

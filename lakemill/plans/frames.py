@@ -22,10 +22,7 @@ def silver_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver with the latest month held out.
-
-    Silver is written once: the split reads its keys twice and its rows once.
-    """
+    """Silver, written once, with the latest month held out."""
     rows = durable(silver_rows(spark, folder), "silver")
-    holdout = rows.agg(F.max("month_partition")).scalar()
+    holdout = rows.agg(F.max("month_partition")).first()[0]
     return splits.split(rows, holdout)
