@@ -12,12 +12,12 @@ from lakemill.operators.ranks import row_index
 BRONZE_COLUMNS = ["email_id", "body", "label", "raw_label", "received_at", "month_partition"]
 
 
-def normalize_columns(df: DataFrame) -> DataFrame:
+def normalize_columns(df: DataFrame, keep: list[str] = []) -> DataFrame:
     """Trim and lower-case the header; accept either known layout as (body, raw_label)."""
     df = df.toDF(*[c.strip().lower() for c in df.columns])
     for body, label in (("text", "label"), ("message", "category")):
         if {body, label} <= set(df.columns):
-            return df.select(F.col(body).alias("body"), F.col(label).alias("raw_label"))
+            return df.select(F.col(body).alias("body"), F.col(label).alias("raw_label"), *keep)
     raise ValueError(f"Unknown columns: {df.columns}")
 
 

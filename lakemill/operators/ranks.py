@@ -8,7 +8,7 @@ quantile sketch; they only balance the work, the results are exact for any bound
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,15 +25,56 @@ def add_ranges(df: DataFrame, order: str, n_ranges: int | None = None) -> DataFr
     table at most, however unequal the groups are.
     """
     n = n_ranges or _range_count(df)
+    step = math.isqrt(n) + 1
     value = F.col(order).cast("double")
-    bounds = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n))
+    sketch = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n).alias("fine"))
+    # Every step-th bound narrows the search, then one stretch of `step` bounds is compared.
+    coarse = F.filter("fine", lambda b, i: i % step == step - 1)
+    bounds = sketch.select(F.struct("fine", coarse.alias("coarse")))
+    skipped = F.size(F.filter("_bounds.coarse", lambda b: b <= value)) * step
+    stretch = F.slice("_bounds.fine", F.col("_skipped") + 1, step)
+    place = F.col("_skipped") + F.size(F.filter(stretch, lambda b: b <= value))
     return (
         df.select("*", bounds.scalar().alias("_bounds"))
-        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= value)))
-        .drop("_bounds")
+        .withColumn("_skipped", skipped)
+        # Never null: else a null check of this key would be pushed down and repeated per input row.
+        .withColumn("_range", F.coalesce(place, F.lit(0)))
+        .drop("_bounds", "_skipped")
     )
 
 
+def _join_ranges(ranged: DataFrame, offsets: DataFrame, group: list[str]) -> DataFrame:
+    """Bring the offsets of its range to each row; a null group is a group like any other."""
+    renamed = offsets.withColumnsRenamed({c: f"_k_{c}" for c in [*group, "_range"]})
+    same = F.col("_range") == F.col("_k__range")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return ranged.join(renamed, same).drop(*[f"_k_{c}" for c in [*group, "_range"]])
+
+
+def _range_offsets(ranged: DataFrame, sums: list[str], group: list[str]) -> DataFrame:
+    """Per group and range: `_t_<c>` in it, `_o_<c>` before it, `<c>_total` in the group."""
+    per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    # One row per range and group: these windows see at most n_ranges rows per group.
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return per_range.select(
+        "*",
+        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(whole).alias(f"{c}_total") for c in sums],
+    )
+
+
+def _add_before(placed: DataFrame, order: str, sums: list[str], group: list[str]) -> DataFrame:
+    """Add `<c>_before` to rows that carry their range's offsets."""
+    cell = Window.partitionBy(*group, "_range").orderBy(order)
+    cell = cell.rowsBetween(Window.unboundedPreceding, -1)
+    before = {
+        f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(cell), F.lit(0)) for c in sums
+    }
+    return placed.withColumns(before).drop("_range", *[f"_{x}_{c}" for c in sums for x in "ot"])
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -46,28 +87,8 @@ def running_totals(
     `order` must be unique within the group and castable to double.
     """
     ranged = add_ranges(df, order, n_ranges)
-    per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    # One row per range and group: these windows see at most n_ranges rows per group.
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        *group,
-        "_range",
-        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums],
-        *[F.sum(f"_t_{c}").over(whole).alias(f"{c}_total") for c in sums],
-    )
-    cell = Window.partitionBy(*group, "_range").orderBy(order)
-    cell = cell.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.join(offsets, [*group, "_range"])
-        .withColumns(
-            {
-                f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(cell), F.lit(0))
-                for c in sums
-            }
-        )
-        .drop("_range", *[f"_o_{c}" for c in sums])
-    )
+    placed = _join_ranges(ranged, _range_offsets(ranged, sums, group), group)
+    return _add_before(placed, order, sums, group)
 
 
 def row_index(df: DataFrame, order: str, name: str = "idx", n_ranges: int | None = None) -> DataFrame:
@@ -86,35 +107,45 @@ def value_counts(
 
 
 def exact_quantiles(
-    counts: DataFrame, value: str, shares: list[float], group: list[str] = [], out: str = "q"
+    counts: DataFrame,
+    value: str,
+    shares: list[float],
+    group: list[str] = [],
+    out: str = "q",
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles of a (group, value, _n) table.
 
-    Adds one array column `out` per group, in the order of `shares`, plus the row count `_rows`.
+    One array column `out` per group, in the order of `shares`, plus the row count `_rows`. Only
+    the value ranges in which a wanted rank falls, two per share and group at most, are shuffled
+    and sorted; groups are bounded lists (features, classes, terms), so that list is broadcast.
     """
-    ranked = running_totals(counts, value, ["_n"], group).withColumnRenamed("_n_total", "_rows")
+    ranged = add_ranges(counts, value, n_ranges or max(128, _range_count(counts)))
+    offsets = _range_offsets(ranged, ["_n"], group)
+    positions = F.flatten(
+        F.array(*[F.array(F.floor(p), F.ceil(p)) for p in ((F.col("_n_total") - 1) * F.lit(s) for s in shares)])
+    )
+    end = F.col("_o__n") + F.col("_t__n")
+    wanted = F.exists(positions, lambda k: (k >= F.col("_o__n")) & (k < end))
+    placed = _join_ranges(ranged, F.broadcast(offsets.where(wanted)), group)
+    ranked = _add_before(placed, value, ["_n"], group).withColumnRenamed("_n_total", "_rows")
     first, after = F.col("_n_before"), F.col("_n_before") + F.col("_n")
 
+    def place(share: float) -> Column:
+        return (F.col("_rows") - 1) * F.lit(float(share))
+
     def at(position: Column) -> Column:
         inside = (first <= position) & (position < after)
         return F.max(F.when(inside, F.col(value).cast("double")))
 
-    places = [(F.col("_rows") - 1) * F.lit(float(s)) for s in shares]
-    lows = {f"_lo{i}": at(F.floor(p)) for i, p in enumerate(places)}
-    highs = {f"_hi{i}": at(F.ceil(p)) for i, p in enumerate(places)}
-    needed = reduce(
-        lambda a, b: a | b,
-        [(first <= p) & (p < after) for x in places for p in (F.floor(x), F.ceil(x))],
-    )
-    picked = (
-        ranked.where(needed)
-        .groupBy(*group)
-        .agg(F.max("_rows").alias("_rows"), *[c.alias(n) for n, c in {**lows, **highs}.items()])
+    picked = ranked.groupBy(*group).agg(
+        F.max("_rows").alias("_rows"),
+        *[at(F.floor(place(s))).alias(f"_lo{i}") for i, s in enumerate(shares)],
+        *[at(F.ceil(place(s))).alias(f"_hi{i}") for i, s in enumerate(shares)],
     )
 
     def blend(i: int) -> Column:
-        place = (F.col("_rows") - 1) * F.lit(float(shares[i]))
-        t, lo, hi = place - F.floor(place), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        t, lo, hi = place(shares[i]) - F.floor(place(shares[i])), F.col(f"_lo{i}"), F.col(f"_hi{i}")
         return F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t)
 
     return picked.select(*group, "_rows", F.array(*[blend(i) for i in range(len(shares))]).alias(out))

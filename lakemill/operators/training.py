@@ -179,14 +179,16 @@ class CalibratedSvm:
     folds: tuple[tuple[LinearSVCModel, LogisticRegressionModel], ...]
 
     @classmethod
-    def fit(cls, train: DataFrame, key: str, folds: int = 5, seed: int = SEED) -> CalibratedSvm:
+    def fit(
+        cls, train: DataFrame, key: str, folds: int = 5, seed: int = SEED, iterations: int = 100
+    ) -> CalibratedSvm:
         """Each fold's margin model trains on the other folds and is calibrated on its own."""
         tagged = train.withColumn("_fold", seeded_int(F.col(key), seed, 9) % folds)
         pairs = []
         for fold in range(folds):
-            svc = LinearSVC(maxIter=100, regParam=1e-3, featuresCol="features", labelCol="label").fit(
-                tagged.where(F.col("_fold") != fold)
-            )
+            svc = LinearSVC(
+                maxIter=iterations, regParam=1.0 / tagged.count(), featuresCol="features", labelCol="label"
+            ).fit(tagged.where(F.col("_fold") != fold))
             margins = cls._margin(svc, tagged.where(F.col("_fold") == fold))
             sigmoid = LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins)
             pairs.append((svc, sigmoid))

@@ -10,7 +10,7 @@ from lakemill.functions.messages import header, input_text
 from lakemill.operators import messages
 from lakemill.plans.catalog import query
 from lakemill.plans.twins import UNICODE_SPACE, clean_parts, even, part, squeeze, twin
-from lakemill.sources.tables import table
+from lakemill.sources.tables import table, text_table
 
 # The mailbox: conversation turns as messages, with a subject, a time and a score by rule.
 part("inbox", [], """
@@ -23,7 +23,7 @@ SELECT conv_id || '-' || turn AS message_id,
 def inbox(spark: SparkSession, folder: str) -> DataFrame:
     conv, turn = F.col("conv_id"), F.col("turn")
     kind = (conv * 7 + turn) % 9
-    return table(spark, folder, "conversations").select(
+    return text_table(spark, folder, "conversations", "conv_id").select(
         F.concat_ws("-", conv, turn).alias("message_id"),
         F.when(conv % 5 == 0, F.lit(None)).when(conv % 5 == 1, "").otherwise(
             F.concat("role", F.lit(" of "), conv.cast("string"))).alias("subject"),
@@ -134,7 +134,7 @@ def mime_parts(spark: SparkSession, folder: str) -> DataFrame:
         return rows.select(F.concat(F.lit("m"), F.col(key).cast("string")).alias("message_id"), F.lit(no).alias("part_no"),
                            F.lit(mime).alias("mime"), data.alias("data"))
 
-    pages, docs = table(spark, folder, "pages"), table(spark, folder, "documents")
+    pages, docs = (text_table(spark, folder, n, k) for n, k in (("pages", "page_id"), ("documents", "doc_id")))
     page, doc = F.col("page_id"), F.col("doc_id")
     return (
         parts(pages, "page_id", 2, "text/html",
@@ -193,7 +193,7 @@ SELECT doc_id, array_to_string(list_filter(string_split_regex(regexp_replace({sq
   '[\\x09-\\x0D\\x1C-\\x20]+'), lambda w: length(w) >= 3), ' ') AS body_clean
 FROM (SELECT doc_id, string_split(regexp_replace(lower(nfc_normalize(body)), '[\\n\\r\\t]+', ' ', 'g'), '') AS ch FROM mails)"""))
 def clean_text_unfolded(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = text_table(spark, folder, "documents", "doc_id")
     return docs.select("doc_id", cleaning.clean_text_unfolded(F.col("text")).alias("body_clean"))
 
 
@@ -217,11 +217,11 @@ SELECT doc_id, removed::INTEGER AS n_stopwords_removed, length(text)::INTEGER AS
 
 @query(f"SELECT page_id, {strip_sql('html')} AS stripped FROM pages")
 def strip_markup(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", cleaning.strip_markup(F.col("html")).alias("stripped"))
+    return text_table(spark, folder, "pages", "page_id").select("page_id", cleaning.strip_markup(F.col("html")).alias("stripped"))
 
 
 def stopped_rows(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = text_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
     return features.add_stopword_filter(docs, "text", STOPS)
 
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.operators import evaluation, silver, training
+from lakemill.operators.messages import prepared
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.plans import lake as jobs
 from lakemill.plans.catalog import query
 from lakemill.plans.evaluation_queries import rounded
-from lakemill.plans.frames import silver_rows, split_rows
-from lakemill.plans.ingest_queries import PERIOD_ROWS
+from lakemill.plans.frames import bronze_rows, silver_rows, split_rows
 from lakemill.plans.message_queries import inbox
-from lakemill.plans.twins import part, twin
+from lakemill.plans.twins import PERIOD_ROWS, part, twin
 from lakemill.session import durable, new_path
 from lakemill.sources import files
 from lakemill.sources.tables import mails, table
@@ -51,7 +51,7 @@ _register_training()
 @query()
 def train_svm(spark: SparkSession, folder: str) -> DataFrame:
     gold, _, _ = gold_rows(spark, folder)
-    model = training.CalibratedSvm.fit(gold.where(F.col("split") == "train"), "email_id")
+    model = training.CalibratedSvm.fit(gold.where(F.col("split") == "train"), "email_id", iterations=10)
     rows = model.score(gold.where(F.col("split") != "train")).select("split", F.col("label").alias("y"), "p")
     return evaluation.evaluate(rows, F.lit(0.5), ["split"])
 
@@ -89,8 +89,6 @@ def shadow_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Champion and challenger side by side on every message."""
     gold, preparation, n_train = gold_rows(spark, folder)
     pair = {n: train_one(n, gold, n_train, 0.5) for n in ("lr", "nb")}
-    from lakemill.operators.messages import prepared
-
     rows = preparation.transform(prepared(inbox(spark, folder)))
     champion = training.scored(pair["lr"].classifier, rows).withColumnRenamed("p", "champion_p")
     both = training.scored(pair["nb"].classifier, champion).withColumnRenamed("p", "challenger_p")
@@ -115,25 +113,15 @@ SELECT month_partition, count(*) AS n_rows, count(raw_label) AS n_labelled, sum(
 FROM bronze GROUP BY month_partition"""))
 def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly raw CSV files written and read back through the header normalisation."""
-    from lakemill.plans.frames import bronze_rows
-
     path = new_path(spark, "csv")
     rows = bronze_rows(spark, folder).select(
         F.col("body").alias(" Text "), F.col("raw_label").alias("LABEL"), "month_partition"
     )
     files.write_csv(rows, path, "month_partition")
-    read = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
-    from lakemill.operators.ingest import normalize_columns
-
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"month_partition=([^/]+)", 1)
-    tagged = read.select("*", month.alias("m"))
-    body, label = (c for c in tagged.columns if c.strip().lower() in ("text", "label"))
-    normal = normalize_columns(tagged.select(body, label))
-    assert normal.columns == ["body", "raw_label"]
-    return tagged.groupBy(F.col("m").alias("month_partition")).agg(
+    return files.read_monthly_csv(spark, path).groupBy("month_partition").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.col(label)).alias("n_labelled"),
-        F.sum(F.length(F.col(body))).alias("n_chars"),
+        F.count("raw_label").alias("n_labelled"),
+        F.sum(F.length("body")).alias("n_chars"),
     )
 
 

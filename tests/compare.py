@@ -72,14 +72,18 @@ def compare(spark, con, folder: str, name: str, queries, oracles) -> tuple[bool,
 
 
 def main() -> None:
-    from lakemill.session import session
+    from pyspark.sql import SparkSession
+
     from lakemill.plans.all_queries import ORACLES, QUERIES
 
     folder, names = sys.argv[1], sys.argv[2:]
-    spark = session(
-        master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-           "spark.driver.memory": "8g"},
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     con = oracle_connection(folder)
