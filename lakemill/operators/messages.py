@@ -24,33 +24,31 @@ def bodies(parts: DataFrame) -> DataFrame:
     text, else the first such html part, else ''. Parts are in depth-first order.
     """
     has = F.coalesce(F.length("data") > 0, F.lit(False))
-    text = F.when(has, decoded(F.col("data")))
-    rows = parts.withColumn("text", text)
-    some = F.col("text") != ""
+    some = has & (decoded(F.col("data")) != "")
 
     def first(condition: Column) -> Column:
-        # One candidate per map task and message reaches the shuffle.
-        return F.min_by("text", F.when(condition, F.col("part_no")))
+        return F.min(F.when(condition, F.col("part_no")))
 
+    # Choose by part numbers alone, then fetch the chosen part: no text is held in an aggregate,
+    # and (message_id, part_no) is unique, so a message of very many parts stays spread out.
     own = first((F.col("part_no") == 0) & has)
     plain = first((F.col("mime") == "text/plain") & some)
     html = first((F.col("mime") == "text/html") & some)
-    return (
-        rows.groupBy("message_id")
-        .agg(own.alias("own"), plain.alias("plain"), html.alias("html"))
-        .select("message_id", F.coalesce("own", "plain", "html", F.lit("")).alias("body"))
+    chosen = parts.groupBy("message_id").agg(F.coalesce(own, plain, html).alias("part_no"))
+    data = parts.where(has).select("message_id", "part_no", "data")
+    return chosen.join(data, ["message_id", "part_no"], "left").select(
+        "message_id", F.coalesce(decoded(F.col("data")), F.lit("")).alias("body")
     )
 
 
 def first_occurrences(messages: DataFrame, order: str, key: str = "message_id") -> DataFrame:
-    """One row per message id, the first by `order`; combines in the map tasks."""
-    rest = [c for c in messages.columns if c not in (key, order)]
-    return (
-        messages.groupBy(key)
-        .agg(F.min(F.struct(order, *rest)).alias("_first"))
-        .select(key, "_first.*")
-        .select(*messages.columns)
-    )
+    """One row per message id, the first by `order` (unique within the id).
+
+    Only ids and order are aggregated; rows are then kept by the unique (id, order), so an id
+    that arrives again and again is not gathered in one task.
+    """
+    firsts = messages.groupBy(key).agg(F.min(order).alias(order))
+    return messages.join(firsts, [key, order], "left_semi").select(*messages.columns)
 
 
 def with_input(messages: DataFrame) -> DataFrame:

@@ -130,17 +130,22 @@ def histograms(df: DataFrame, features: list[str], group: str, bins: int = 50) -
 
 
 def correlation_pairs(df: DataFrame, features: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every feature pair, constant features left out; one aggregate."""
+    """Pearson correlation of every feature pair, constant features left out."""
     pairs = list(combinations(features, 2))
-    # Covariance over deviations: `corr` itself fails on a constant column under ANSI rules.
-    stats = df.agg(
-        *[F.stddev_pop(f).alias(f"_s_{f}") for f in features],
-        *[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c_{a}_{b}") for a, b in pairs],
+    means = df.select(F.struct(*[F.avg(f).alias(f) for f in features])).scalar()
+    # Deviations from the means, then plain sums of products: one light buffer per pair, and no
+    # loss of digits on large values.
+    centred = df.select(*features, means.alias("_m")).select(
+        *[(F.col(f) - F.col(f"_m.{f}")).alias(f) for f in features]
+    )
+    sums = centred.agg(
+        *[F.sum(F.col(f) * F.col(f)).alias(f"_s_{f}") for f in features],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"_c_{a}_{b}") for a, b in pairs],
     )
 
     def correlation(a: str, b: str) -> Column:
-        r = F.try_divide(F.col(f"_c_{a}_{b}"), F.col(f"_s_{a}") * F.col(f"_s_{b}"))
-        return F.round(r, digits).alias("correlation")
+        spread = F.sqrt(F.col(f"_s_{a}")) * F.sqrt(F.col(f"_s_{b}"))
+        return F.round(F.try_divide(F.col(f"_c_{a}_{b}"), spread), digits).alias("correlation")
 
     rows = F.array(
         *[
@@ -148,7 +153,7 @@ def correlation_pairs(df: DataFrame, features: list[str], digits: int = 6) -> Da
             for a, b in pairs
         ]
     )
-    return stats.select(F.inline(rows)).where(F.col("correlation").isNotNull())
+    return sums.select(F.inline(rows)).where(F.col("correlation").isNotNull())
 
 
 def high_correlation(df: DataFrame, features: list[str], limit: float = 0.9) -> DataFrame:

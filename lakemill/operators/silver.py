@@ -83,31 +83,32 @@ def gate_counts(
 
 def drop_reasons(bronze: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Months by first matching drop reason, `kept` included, so counts add up to all rows."""
-    # Copies are found by digest, so no text is shuffled.
-    digests = bronze.select("email_id", "month_partition", F.sha2("body", 256).alias("_digest"))
+    # Copies are found by digest, so no text is shuffled; rows then look themselves up by their
+    # unique id, so a text that a third of all mails share is not gathered in one task.
     firsts = (
-        digests.where(F.col("_digest").isNotNull())
-        .groupBy("month_partition", "_digest")
-        .agg(F.min("email_id").alias("_first"))
+        bronze.where(F.col("body").isNotNull())
+        .groupBy("month_partition", F.sha2("body", 256))
+        .agg(F.min("email_id").alias("email_id"))
+        .select("email_id", F.lit(True).alias("_first"))
     )
     rows = add_clean(bronze).select(
         "email_id",
         "month_partition",
-        F.sha2("body", 256).alias("_digest"),
+        F.col("body").isNull().alias("_missing"),
         F.col("label").isNull().alias("_unlabelled"),
         (F.col("body_clean") == "").alias("_empty"),
         too_short(min_chars).alias("_short"),
     )
     reason = (
-        F.when(F.col("_digest").isNull(), "null_text")
-        .when(F.col("email_id") != F.col("_first"), "duplicate_text")
+        F.when(F.col("_missing"), "null_text")
+        .when(F.col("_first").isNull(), "duplicate_text")
         .when(F.col("_unlabelled"), "invalid_label")
         .when(F.col("_empty"), "empty_after_clean")
         .when(F.col("_short"), "short_text")
         .otherwise("kept")
     )
     return (
-        rows.join(firsts, ["month_partition", "_digest"], "left")
+        rows.join(firsts, "email_id", "left")
         .groupBy("month_partition", reason.alias("reason"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

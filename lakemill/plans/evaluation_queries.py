@@ -11,7 +11,7 @@ from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, silver_rows
 from lakemill.plans.twins import part, twin
 from lakemill.session import durable
-from lakemill.sources.tables import table
+from lakemill.sources.tables import table, text_table
 
 MODELS = {"lr": 11, "nb": 29, "rf": 53}
 
@@ -250,29 +250,34 @@ def psi_category(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.psi_categories(rows, "o_orderstatus"))
 
 
-part("drift_words", ["windows"], """
-SELECT email_id, is_ref, list_filter(string_split(body_clean, ' '), lambda w: length(w) >= 2) AS w FROM windows""")
-part("drift_tf", ["drift_words"], """
-SELECT email_id, is_ref, term, count(*) AS tf FROM (SELECT email_id, is_ref, unnest(w) AS term FROM drift_words) GROUP BY ALL""")
-part("drift_vocab", ["drift_tf"], """
+def term_drift_parts(prefix: str, windows: str, text: str) -> None:
+    """Parts <prefix>_terms: KS and PSI per term of a windows(email_id, is_ref, body_clean) part."""
+    part(f"{prefix}_words", [windows], f"""
+SELECT email_id, is_ref, list_filter({text}, lambda w: length(w) >= 2) AS w FROM {windows}""")
+    part(f"{prefix}_tf", [f"{prefix}_words"], f"""
+SELECT email_id, is_ref, term, count(*) AS tf FROM (SELECT email_id, is_ref, unnest(w) AS term FROM {prefix}_words) GROUP BY ALL""")
+    part(f"{prefix}_vocab", [f"{prefix}_tf"], f"""
 SELECT term, ln((1.0::DOUBLE + n_docs) / (1.0::DOUBLE + df)) + 1.0 AS idf FROM (
-  SELECT term, count(*) AS df, sum(tf) AS total_tf, (SELECT count(*) FROM drift_words WHERE is_ref) AS n_docs
-  FROM drift_tf WHERE is_ref GROUP BY term HAVING count(*) >= 2 ORDER BY total_tf DESC, term LIMIT 100)""")
-part("drift_weights", ["drift_vocab"], """
+  SELECT term, count(*) AS df, sum(tf) AS total_tf, (SELECT count(*) FROM {prefix}_words WHERE is_ref) AS n_docs
+  FROM {prefix}_tf WHERE is_ref GROUP BY term HAVING count(*) >= 2 ORDER BY total_tf DESC, term LIMIT 100)""")
+    part(f"{prefix}_weights", [f"{prefix}_vocab"], f"""
 SELECT is_ref, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY email_id)), 8) AS value FROM (
-  SELECT email_id, is_ref, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM drift_tf JOIN drift_vocab USING (term))""")
-part("drift_held", ["drift_weights"], """
-SELECT term, value, count(*) FILTER (is_ref) AS ref, count(*) FILTER (NOT is_ref) AS new FROM drift_weights GROUP BY ALL""")
-part("drift_counts", ["drift_held"], """
-SELECT * FROM drift_held UNION ALL
-SELECT term, 0.0::DOUBLE, (SELECT count(*) FROM windows WHERE is_ref) - sum(ref)::BIGINT,
-  (SELECT count(*) FROM windows WHERE NOT is_ref) - sum(new)::BIGINT FROM drift_held GROUP BY term
-HAVING (SELECT count(*) FROM windows WHERE is_ref) > sum(ref) OR (SELECT count(*) FROM windows WHERE NOT is_ref) > sum(new)""")
-ks_psi_parts("drift", "drift_counts", ["drift_counts"], "term")
-part("drift_terms", ["drift_ks", "drift_psi"], """
+  SELECT email_id, is_ref, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM {prefix}_tf JOIN {prefix}_vocab USING (term))""")
+    part(f"{prefix}_held", [f"{prefix}_weights"], f"""
+SELECT term, value, count(*) FILTER (is_ref) AS ref, count(*) FILTER (NOT is_ref) AS new FROM {prefix}_weights GROUP BY ALL""")
+    part(f"{prefix}_counts", [f"{prefix}_held"], f"""
+SELECT * FROM {prefix}_held UNION ALL
+SELECT term, 0.0::DOUBLE, (SELECT count(*) FROM {windows} WHERE is_ref) - sum(ref)::BIGINT,
+  (SELECT count(*) FROM {windows} WHERE NOT is_ref) - sum(new)::BIGINT FROM {prefix}_held GROUP BY term
+HAVING (SELECT count(*) FROM {windows} WHERE is_ref) > sum(ref) OR (SELECT count(*) FROM {windows} WHERE NOT is_ref) > sum(new)""")
+    ks_psi_parts(prefix, f"{prefix}_counts", [f"{prefix}_counts"], "term")
+    part(f"{prefix}_terms", [f"{prefix}_ks", f"{prefix}_psi"], f"""
 SELECT term, ks_stat, ref_n, new_n, psi, CASE WHEN lam < 0.2 THEN 1.0::DOUBLE ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
   lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * k * k * lam * lam))), 0.0), 1.0) END AS ks_p_value
-FROM (SELECT *, ks_stat * sqrt(ref_n::DOUBLE * new_n / (ref_n + new_n)) AS lam FROM drift_ks JOIN drift_psi USING (term))""")
+FROM (SELECT *, ks_stat * sqrt(ref_n::DOUBLE * new_n / (ref_n + new_n)) AS lam FROM {prefix}_ks JOIN {prefix}_psi USING (term))""")
+
+
+term_drift_parts("drift", "windows", "string_split(body_clean, ' ')")
 
 
 def term_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -289,10 +294,27 @@ def term_drift(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(term_rows(spark, folder)[1])
 
 
-@query(twin(["drift_terms"], """
-SELECT term, round(psi, 9) AS psi FROM drift_terms WHERE ks_p_value < 0.05 AND psi > 0.1 ORDER BY psi DESC, term LIMIT 20"""))
+# A window pair that does drift: documents in the most common language against all others.
+part("languages", [], """
+SELECT doc_id AS email_id, lang = (SELECT lang FROM documents GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1) AS is_ref,
+  lower(regexp_replace(text, '[^A-Za-z ]', ' ', 'g')) AS body_clean FROM documents""")
+term_drift_parts("lang", "languages", "string_split(body_clean, ' ')")
+
+
+@query(twin(["lang_terms"], """
+SELECT term, round(psi, 8) AS psi, round(ks_stat, 9) AS ks_stat FROM lang_terms
+WHERE ks_p_value < 0.05 AND psi > 0.1 ORDER BY psi DESC, term LIMIT 20"""))
 def top_drifted_terms(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(drift.top_drifted(term_rows(spark, folder)[1]).select("term", "psi"))
+    docs = text_table(spark, folder, "documents", "doc_id")
+    common = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").first()["lang"]
+    rows = docs.select(
+        (F.col("lang") == common).alias("is_ref"),
+        F.lower(F.regexp_replace("text", "[^A-Za-z ]", " ")).alias("body_clean"),
+    )
+    terms = add_terms(rows, "body_clean", (1, 1))
+    model = TermModel.fit(terms.where("is_ref"), min_df=2, max_df=1.0, max_terms=100)
+    found = drift.top_drifted(drift.term_drift(durable(drift.term_counts(terms, model), "term-counts")))
+    return found.select("term", F.round("psi", 8).alias("psi"), F.round("ks_stat", 9).alias("ks_stat"))
 
 
 part("report", ["drift_terms", "label_chi2"], """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,11 @@ def session(app: str = "lakemill", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lakemill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
 
@@ -38,9 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="lakemill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
