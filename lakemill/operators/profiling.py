@@ -131,29 +131,22 @@ def histograms(df: DataFrame, features: list[str], group: str, bins: int = 50) -
 
 def correlation_pairs(df: DataFrame, features: list[str], digits: int = 6) -> DataFrame:
     """Pearson correlation of every feature pair, constant features left out."""
-    pairs = list(combinations(features, 2))
     means = df.select(F.struct(*[F.avg(f).alias(f) for f in features])).scalar()
     # Deviations from the means, then plain sums of products: one light buffer per pair, and no
     # loss of digits on large values.
-    centred = df.select(*features, means.alias("_m")).select(
-        *[(F.col(f) - F.col(f"_m.{f}")).alias(f) for f in features]
+    centred = df.select(*features, means.alias("_m")).selectExpr(
+        *[f"`{f}` - _m.`{f}` AS x{i}" for i, f in enumerate(features)]
     )
-    sums = centred.agg(
-        *[F.sum(F.col(f) * F.col(f)).alias(f"_s_{f}") for f in features],
-        *[F.sum(F.col(a) * F.col(b)).alias(f"_c_{a}_{b}") for a, b in pairs],
+    # SQL text for the many pairs: building each column from Python is slow to plan.
+    places = list(combinations(range(len(features)), 2))
+    squares = [F.expr(f"sum(x{i} * x{i}) AS s{i}") for i in range(len(features))]
+    sums = centred.agg(*squares, *[F.expr(f"sum(x{i} * x{j}) AS c{i}_{j}") for i, j in places])
+    rows = ", ".join(
+        f"struct('{features[i]}' AS feature_1, '{features[j]}' AS feature_2, "
+        f"round(try_divide(c{i}_{j}, sqrt(s{i}) * sqrt(s{j})), {digits}) AS correlation)"
+        for i, j in places
     )
-
-    def correlation(a: str, b: str) -> Column:
-        spread = F.sqrt(F.col(f"_s_{a}")) * F.sqrt(F.col(f"_s_{b}"))
-        return F.round(F.try_divide(F.col(f"_c_{a}_{b}"), spread), digits).alias("correlation")
-
-    rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), correlation(a, b))
-            for a, b in pairs
-        ]
-    )
-    return sums.select(F.inline(rows)).where(F.col("correlation").isNotNull())
+    return sums.select(F.expr(f"inline(array({rows}))")).where("correlation IS NOT NULL")
 
 
 def high_correlation(df: DataFrame, features: list[str], limit: float = 0.9) -> DataFrame:

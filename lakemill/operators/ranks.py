@@ -27,7 +27,11 @@ def add_ranges(df: DataFrame, order: str, n_ranges: int | None = None) -> DataFr
     n = n_ranges or _range_count(df)
     step = math.isqrt(n) + 1
     value = F.col(order).cast("double")
-    sketch = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n).alias("fine"))
+    # SQL text where many literals are needed: one call each is slow to plan from Python.
+    shares = ", ".join(f"{i / n!r}D" for i in range(1, n))
+    sketch = df.select(value.alias("v")).agg(
+        F.expr(f"percentile_approx(v, array({shares}), {20 * n})").alias("fine")
+    )
     # Every step-th bound narrows the search, then one stretch of `step` bounds is compared.
     coarse = F.filter("fine", lambda b, i: i % step == step - 1)
     bounds = sketch.select(F.struct("fine", coarse.alias("coarse")))
@@ -122,30 +126,28 @@ def exact_quantiles(
     """
     ranged = add_ranges(counts, value, n_ranges or max(128, _range_count(counts)))
     offsets = _range_offsets(ranged, ["_n"], group)
-    positions = F.flatten(
-        F.array(*[F.array(F.floor(p), F.ceil(p)) for p in ((F.col("_n_total") - 1) * F.lit(s) for s in shares)])
-    )
+    places = [f"(_n_total - 1) * {float(share)!r}D" for share in shares]
+    positions = F.expr(f"array({', '.join(f'floor({p}), ceil({p})' for p in places)})")
     end = F.col("_o__n") + F.col("_t__n")
     wanted = F.exists(positions, lambda k: (k >= F.col("_o__n")) & (k < end))
     placed = _join_ranges(ranged, F.broadcast(offsets.where(wanted)), group)
     ranked = _add_before(placed, value, ["_n"], group).withColumnRenamed("_n_total", "_rows")
-    first, after = F.col("_n_before"), F.col("_n_before") + F.col("_n")
-
-    def place(share: float) -> Column:
-        return (F.col("_rows") - 1) * F.lit(float(share))
+    places = [f"(_rows - 1) * {float(share)!r}D" for share in shares]
 
-    def at(position: Column) -> Column:
-        inside = (first <= position) & (position < after)
-        return F.max(F.when(inside, F.col(value).cast("double")))
+    def at(position: str) -> str:
+        inside = f"_n_before <= {position} AND {position} < _n_before + _n"
+        return f"max(CASE WHEN {inside} THEN CAST(`{value}` AS DOUBLE) END)"
 
     picked = ranked.groupBy(*group).agg(
         F.max("_rows").alias("_rows"),
-        *[at(F.floor(place(s))).alias(f"_lo{i}") for i, s in enumerate(shares)],
-        *[at(F.ceil(place(s))).alias(f"_hi{i}") for i, s in enumerate(shares)],
+        F.expr(f"array({', '.join(at(f'floor({p})') for p in places)})").alias("_lo"),
+        F.expr(f"array({', '.join(at(f'ceil({p})') for p in places)})").alias("_hi"),
     )
+    spread = F.expr(f"array({', '.join(f'{p} - floor({p})' for p in places)})")
+    bounds = F.arrays_zip(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), spread.alias("t"))
 
-    def blend(i: int) -> Column:
-        t, lo, hi = place(shares[i]) - F.floor(place(shares[i])), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+    def blend(b: Column) -> Column:
+        lo, hi, t = b["lo"], b["hi"], b["t"]
         return F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t)
 
-    return picked.select(*group, "_rows", F.array(*[blend(i) for i in range(len(shares))]).alias(out))
+    return picked.withColumn("_b", bounds).select(*group, "_rows", F.transform("_b", blend).alias(out))
