@@ -65,10 +65,13 @@ def style_features(raw: Column) -> dict[str, Column]:
 
 
 def add_clean(df: DataFrame, text: str = "body") -> DataFrame:
-    """Add `tokens` and `body_clean`."""
-    return df.withColumn("tokens", clean_tokens(F.col(text))).withColumn(
-        "body_clean", F.array_join("tokens", " ")
-    )
+    """Add `tokens` and `body_clean`.
+
+    The words come out of a one-row generator: a later filter on the cleaned text then stays
+    above it, where a plain column would be copied into the filter and cleaned twice.
+    """
+    words = F.array(F.struct(clean_tokens(F.col(text)).alias("tokens")))
+    return df.select("*", F.inline_outer(words)).withColumn("body_clean", F.array_join("tokens", " "))
 
 
 def add_text_features(
