@@ -99,7 +99,7 @@ def label_shares(df: DataFrame) -> DataFrame:
     )
     total = F.sum("n").over(Window.partitionBy("month_partition"))
     return overall.unionByName(counts).select(
-        "month_partition", "label", "n", F.round(F.col("n") / total, 6).alias("label_share")
+        "month_partition", "label", "n", (F.col("n") / total).alias("label_share")
     )
 
 

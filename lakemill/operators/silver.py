@@ -115,9 +115,14 @@ def drop_reasons(bronze: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def monthly_summary(silver_rows: DataFrame) -> DataFrame:
-    """Rows, spam share and feature means per month."""
+    """Rows, spam share and feature means per month.
+
+    Features have six decimals at most, so decimal sums are exact in any order of rows.
+    """
+    n = F.count(F.lit(1))
+    means = {c: F.sum(F.col(c).cast("decimal(20,6)")).cast("double") / n for c in SILVER_FEATURES}
     return silver_rows.groupBy("month_partition").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.avg("label"), 6).alias("spam_share"),
-        *[F.round(F.avg(c), 6).alias(f"mean_{c}") for c in SILVER_FEATURES],
+        n.alias("n_rows"),
+        F.avg("label").alias("spam_share"),
+        *[mean.alias(f"mean_{c}") for c, mean in means.items()],
     )

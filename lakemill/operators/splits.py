@@ -134,5 +134,5 @@ def split_summary(df: DataFrame) -> DataFrame:
             F.max("month_partition").alias("last_month"),
         )
         # Three rows from here on.
-        .withColumn("row_share", F.round(F.col("n_rows") / F.sum("n_rows").over(everything), 6))
+        .withColumn("row_share", F.col("n_rows") / F.sum("n_rows").over(everything))
     )

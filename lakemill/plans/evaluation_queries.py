@@ -337,13 +337,13 @@ def drift_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(twin(["bronze"], """
-SELECT month_partition, round(avg(label), 6) AS spam_share, avg(label) < 0.10 OR avg(label) > 0.90 AS drift_flag
+SELECT month_partition, avg(label) AS spam_share, avg(label) < 0.10 OR avg(label) > 0.90 AS drift_flag
 FROM bronze GROUP BY month_partition"""))
 def drift_flags(spark: SparkSession, folder: str) -> DataFrame:
     from lakemill.operators.quality import label_distribution, profile
 
     rows = bronze_rows(spark, folder)
-    metrics = {"spam_share": F.round(F.avg("label"), 6), "drift_flag": label_distribution("label")["drift_flag"]}
+    metrics = {"spam_share": F.avg("label"), "drift_flag": label_distribution("label")["drift_flag"]}
     return profile(rows, metrics, ["month_partition"])
 
 

@@ -83,7 +83,7 @@ SUMMARY = """
 SELECT split, count(*) AS n_rows, round_even(avg(label) * 1e4, 0)::DOUBLE / 1e4 AS spam_share,
   count(*) FILTER (label IS NULL) AS null_labels, count(DISTINCT month_partition) AS n_months,
   min(month_partition) AS first_month, max(month_partition) AS last_month,
-  round(count(*) / sum(count(*)) OVER (), 6) AS row_share FROM split_rows GROUP BY split"""
+  count(*) / sum(count(*)) OVER () AS row_share FROM split_rows GROUP BY split"""
 
 
 @query(twin(["split_rows"], SUMMARY))

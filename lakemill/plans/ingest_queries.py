@@ -165,8 +165,8 @@ def silver_table(spark: SparkSession, folder: str) -> DataFrame:
     return silver_rows(spark, folder)
 
 
-@query(twin(["silver"], "SELECT month_partition, count(*) AS n_rows, round(avg(label), 6) AS spam_share, "
-            + ", ".join(f"round(avg({c}), 6) AS mean_{c}" for c in SILVER_FEATURES)
+@query(twin(["silver"], "SELECT month_partition, count(*) AS n_rows, avg(label) AS spam_share, "
+            + ", ".join(f"sum({c}::DECIMAL(20,6))::DOUBLE / count(*) AS mean_{c}" for c in SILVER_FEATURES)
             + " FROM silver GROUP BY month_partition"))
 def silver_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
     return silver.monthly_summary(silver_rows(spark, folder))

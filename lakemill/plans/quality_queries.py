@@ -256,7 +256,7 @@ def monthly_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(twin(["bronze"], """
-SELECT month_partition, label, n, round(n / sum(n) OVER (PARTITION BY month_partition), 6) AS label_share FROM (
+SELECT month_partition, label, n, n / sum(n) OVER (PARTITION BY month_partition) AS label_share FROM (
   SELECT month_partition, label, count(*) AS n FROM bronze WHERE label IS NOT NULL GROUP BY ALL
   UNION ALL SELECT 'all', label, count(*) FROM bronze WHERE label IS NOT NULL GROUP BY label)"""))
 def label_shares(spark: SparkSession, folder: str) -> DataFrame:
