@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions import cleaning
+from lakemill.functions.features import has_marker, keyword_count
 from lakemill.functions.fixed import SILVER_FEATURES
 from lakemill.functions.folding import fold_ascii
 from lakemill.operators import ingest, silver
 from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, silver_rows
-from lakemill.plans.twins import KEYWORDS, PERIOD_ROWS, squeeze, twin
+from lakemill.plans.twins import KEYWORDS, PERIOD_ROWS, clean_parts, part, twin
 from lakemill.sources.tables import mail_keys, mails
 
 FEATURE_LIST = ", ".join(SILVER_FEATURES)
@@ -117,8 +118,6 @@ def marked_mails(spark: SparkSession, folder: str) -> DataFrame:
     return mails(spark, folder).withColumn("body", planted)
 
 
-from lakemill.plans.twins import clean_parts, part  # noqa: E402
-
 part("marked", ["mails"], MARKED_SQL)
 clean_parts("marked", "marked", ["marked"])
 
@@ -128,8 +127,6 @@ SELECT doc_id, body_clean, contains(lower(body), 'escapenumber')::INTEGER AS has
   len(regexp_extract_all(body_clean, '\\bescapenumber\\b'))::INTEGER AS n_marker_words
 FROM marked_clean"""))
 def marker_cleaning(spark: SparkSession, folder: str) -> DataFrame:
-    from lakemill.functions.features import has_marker, keyword_count
-
     return (
         marked_mails(spark, folder)
         .withColumn("body_clean", cleaning.clean_text(F.col("body")))

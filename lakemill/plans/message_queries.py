@@ -153,7 +153,7 @@ def body_from_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT conv_id || '-' || turn AS message_id, CASE turn % 4 WHEN 0 THEN role WHEN 1 THEN left(text, 40) WHEN 2 THEN '' ELSE 'second' END AS subject
+SELECT conv_id || '-' || turn AS message_id, CASE turn % 4 WHEN 0 THEN role WHEN 1 THEN text WHEN 2 THEN '' ELSE 'second' END AS subject
 FROM conversations""")
 def header_lookup(spark: SparkSession, folder: str) -> DataFrame:
     turn = F.col("turn") % 4
@@ -164,7 +164,7 @@ def header_lookup(spark: SparkSession, folder: str) -> DataFrame:
     sender = pair("From", F.col("role"))
     headers = (
         F.when(turn == 0, F.array(sender, pair("SUBJECT", F.col("role"))))
-        .when(turn == 1, F.array(pair("subject", F.left("text", F.lit(40))), sender))
+        .when(turn == 1, F.array(pair("subject", F.col("text")), sender))
         .when(turn == 2, F.array(sender))
         .otherwise(F.array(pair("Subject", F.lit("first")), pair("sUbJeCt", F.lit("second"))))
     )

@@ -10,7 +10,6 @@ from lakemill.operators.messages import prepared
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.plans import lake as jobs
 from lakemill.plans.catalog import query
-from lakemill.plans.evaluation_queries import rounded
 from lakemill.plans.frames import bronze_rows, silver_rows, split_rows
 from lakemill.plans.message_queries import inbox
 from lakemill.plans.twins import PERIOD_ROWS, part, twin
