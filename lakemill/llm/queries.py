@@ -48,7 +48,8 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
                coalesce(n_lines, 0) AS n_lines,
                CAST(length(regexp_replace(text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper,
                CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS BIGINT) AS n_letters,
-               CAST(len(list_filter(w, lambda x: ends_with(x, '!'))) AS BIGINT) AS n_marked
+               CAST(len(list_filter(w, lambda x: ends_with(x, '!'))) AS BIGINT) AS n_marked,
+               CAST(len(list_filter(range(2, n_words + 1), lambda k: w[k] = w[k - 1])) AS BIGINT) AS n_stutters
         FROM n LEFT JOIN cov USING (doc_id) LEFT JOIN dup USING (doc_id)),
     f AS (SELECT *, CAST(
             CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
@@ -56,9 +57,10 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
             + CASE WHEN 3 * n_dup_lines > n_lines AND n_dup_lines > 2 THEN 8 ELSE 0 END
             + CASE WHEN word_chars > 15 * n_words THEN 16 ELSE 0 END
             + CASE WHEN 2 * n_upper > n_letters AND n_letters > 40 THEN 32 ELSE 0 END
-            + CASE WHEN 3 * n_marked > n_words THEN 64 ELSE 0 END AS BIGINT) AS failed FROM m)
+            + CASE WHEN 3 * n_marked > n_words THEN 64 ELSE 0 END
+            + CASE WHEN 100 * n_stutters > 30 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-           failed & 3 <> 0 AS base_failed, failed & 111 = 0 AS kept, failed
+           failed & 3 <> 0 AS base_failed, failed & 239 = 0 AS kept, failed
     FROM f
     """
 )

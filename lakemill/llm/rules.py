@@ -24,7 +24,7 @@ from lakemill.llm.words import Words, mixed, steps
 #: Counts that the rules read, all over whole texts.
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
-    "n_marked",
+    "n_marked", "n_stutters",
 )
 
 #: Characters counted as symbols.
@@ -50,12 +50,13 @@ RULES = (
     Rule("long_words", "word_chars > 15 * n_words"),
     Rule("capitals", "2 * n_upper > n_letters AND n_letters > 40"),
     Rule("exclaimed", "3 * n_marked > n_words"),
+    Rule("stutters", "100 * n_stutters > 30 * n_words"),
 )
 
 #: Version of a policy: the rules that reject.
 POLICIES = {
     "v1": ("few_words", "repeated_windows"),
-    "v2": ("few_words", "repeated_windows", "symbols", "repeated_lines", "capitals", "exclaimed"),
+    "v2": ("few_words", "repeated_windows", "symbols", "repeated_lines", "capitals", "exclaimed", "stutters"),
 }
 
 
@@ -102,7 +103,10 @@ def measured(array: pa.Array) -> dict[str, np.ndarray]:
     inside[0x80:0xC0] = False
     lines, dup_lines = _line_counts(words)
     marked = data[words.end - 1] == 0x21 if len(words.end) else np.zeros(0, bool)
+    h = words.hashes()
+    stutter = np.flatnonzero((h[1:] == h[:-1]) & (words.text[1:] == words.text[:-1])) + 1
     return {
+        "n_stutters": np.bincount(words.text[stutter], minlength=len(words)),
         "n_words": words.counts(),
         "word_chars": words.per_text(inside[data]),
         "n_symbols": words.per_text(symbol[data]),
