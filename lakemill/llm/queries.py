@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import rules
+from lakemill.llm import jaccard, rules
 from lakemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,26 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), (~base & rules.decided(rows, "v2")).alias("kept"), "failed",
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE
+    t AS (SELECT md5(text) AS n, min(doc_id) AS low, regexp_extract_all(lower(any_value(text)), '[^\x20\x09-\x0D]+') AS w
+          FROM documents WHERE text IS NOT NULL GROUP BY 1),
+    g AS (SELECT DISTINCT n, array_to_string(w[i:i+4], ' ') AS s
+          FROM (SELECT n, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+    z AS (SELECT n, count(*) AS c FROM g GROUP BY n),
+    p AS (SELECT a.n AS a, b.n AS b, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.n < b.n GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN z x ON x.n = a JOIN z y ON y.n = b WHERE 5 * i >= 4 * (x.c + y.c - i)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    reach AS (SELECT n, n AS m FROM z UNION SELECT reach.n, e.b FROM reach JOIN e ON e.a = reach.m),
+    cls AS (SELECT reach.n, min(t.low) AS class_id FROM reach JOIN t ON t.n = reach.m GROUP BY reach.n),
+    k AS (SELECT a AS n, count(*) AS links FROM e GROUP BY a)
+    SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(links, 0) AS n_links
+    FROM documents LEFT JOIN cls ON cls.n = md5(text) LEFT JOIN k ON k.n = md5(text)
+    """
+)
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate classes of `documents` and the links of each document."""
+    return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
