@@ -20,6 +20,10 @@ STEP = 2 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: What ends a word if punctuation does, too: white space and ASCII punctuation.
+PLAIN = SPACE.copy()
+PLAIN[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -86,14 +90,14 @@ class Words:
     _prefix: np.ndarray | None = None
 
     @classmethod
-    def of(cls, array: pa.Array, lower: str | None = None) -> Words:
+    def of(cls, array: pa.Array, lower: str | None = None, ends: np.ndarray = SPACE) -> Words:
         """lower: None, "ascii" (A-Z only) or "all" (every cased letter)."""
         if lower == "all":
             array = pc.utf8_lower(array)
         data, at = texts(array)
         if lower == "ascii":
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        inside = ~SPACE[data]
+        inside = ~ends[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[at] = True
         before, after = np.zeros_like(inside), np.zeros_like(inside)
