@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import jaccard, rules
+from lakemill.llm import bpe, chat, decontaminate, jaccard, langid, lm, pii, rules, token_files, toxicity
+from lakemill.llm.sample import remainder
+from lakemill.session import new_path
 from lakemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +98,105 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes of `documents` and the links of each document."""
     return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in `documents`, with the best window of each."""
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed(
+        "item", "item_id"
+    )
+
+
+@query()
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of each document; learned from the documents that are not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.predicted(docs, model, "doc_id", held_out.alias("held_out"))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of each document; learned from the labels that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    lexicon = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.scores(docs, lexicon, "doc_id", held_out.alias("held_out"))
+
+
+@query()
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram base and backoff model scores of each document; learned from those not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    model = lm.fit(docs.where(~held_out))
+    rows = lm.scored(docs, model, "doc_id", held_out.alias("held_out"))
+    return rows.withColumn("train_tokens", F.lit(model.total).cast("long"))
+
+
+@query()
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """`documents` as token files of the shared folder, read back."""
+    made = token_files.written(
+        table(spark, folder, "documents"), new_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end=2
+    )
+    return token_files.read(spark, made)
+
+
+def byte_ranks() -> bpe.Ranks:
+    return bpe.Ranks.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of each document and the bytes they decode to, as digests."""
+    ranks = byte_ranks()
+    rows = bpe.decoded(bpe.encoded(table(spark, folder, "documents"), ranks, "doc_id"), ranks)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _chat_twin() -> str:
+    escaped = r"regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')"
+    return rf"""
+    WITH c AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    o AS (SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before FROM c
+          WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+    p AS (SELECT *, CASE coalesce(before, 'start') WHEN 'start' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user'
+                    WHEN 'user' THEN role = 'assistant' ELSE role = 'user' END AS fits FROM o),
+    g AS (
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length(role) + 6 + length({escaped}) + 9) AS BIGINT) AS formatted_chars,
+               bool_and(fits) AS valid, arg_max(role, k) = 'assistant' AS closed
+        FROM p GROUP BY conv_id)
+    SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid, valid AND closed AS complete FROM g
+    """
+
+
+@query(_chat_twin())
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All `conversations`, and one that holds control strings, formatted and read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.formatted(turns.unionByName(more)))
+
+
+@query()
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of each document."""
+    rows = pii.spans(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
