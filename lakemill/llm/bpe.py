@@ -176,8 +176,6 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Work out the ids of pieces that are not known yet."""
-        if len(self.known) + len(pieces) > _CACHE:
-            self.known = {}
         sized: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
             data = piece.encode()
@@ -197,12 +195,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [self.split.findall(text) for text in texts]
-        missing = set(itertools.chain.from_iterable(cut)).difference(self.known)
-        if missing:
-            before = self.known
-            self.learn(list(missing))
-            if self.known is not before:  # the memory started anew: the rest of this batch goes in again
-                self.learn(list(set(itertools.chain.from_iterable(cut)).difference(self.known)))
+        pieces = set(itertools.chain.from_iterable(cut))
+        missing = pieces.difference(self.known)
+        if len(self.known) + len(missing) > _CACHE:  # the memory starts anew
+            self.known, missing = {}, pieces
+        self.learn(list(missing))
         known = self.known
         return [np.frombuffer(b"".join([known[p] for p in pieces]), "<u4") for pieces in cut]
 
