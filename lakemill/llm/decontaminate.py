@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm.columns import spare
 from lakemill.llm.words import PLAIN, Words, mixed, steps
 
 SHINGLE = 5
@@ -206,4 +207,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The input rows in which no benchmark item is found, all columns kept."""
-    return docs.withColumn("_matches", found(F.col(text), benchmark, **options)).where(F.size("_matches") == 0).drop("_matches")
+    name = spare(docs, "_matches")
+    return docs.withColumn(name, found(F.col(text), benchmark, **options)).where(F.size(name) == 0).drop(name)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm.columns import spare
 from lakemill.llm.graph import components
 from lakemill.llm.words import Words, mixed, shingle_sets, steps
 from lakemill.session import durable
@@ -342,6 +343,7 @@ def classes(
 
 def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The input rows without near duplicates: one of each class, all columns kept."""
-    kept = classes(docs, key, text, with_node=True, **options).where("chosen").select(F.struct(key, "node").alias("_kept"))
-    rows = docs.withColumn("_kept", F.struct(F.col(key), _node(F.col(text)).alias("node")))
-    return rows.join(kept.distinct(), "_kept", "left_semi").dropDuplicates(["_kept"]).select(*docs.columns)
+    name = spare(docs, "_kept")
+    kept = classes(docs, key, text, with_node=True, **options).where("chosen").select(F.struct(key, "node").alias(name))
+    rows = docs.withColumn(name, F.struct(F.col(key), _node(F.col(text)).alias("node")))
+    return rows.join(kept.distinct(), name, "left_semi").dropDuplicates([name]).select(*docs.columns)

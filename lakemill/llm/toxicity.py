@@ -2,15 +2,17 @@
 
 Texts are folded first: case, accents, look-alike letters of other scripts, digits and signs that
 stand for letters. Lexicon entries (whole words, or starts of words) and exception phrases are
-matched by one Aho-Corasick automaton; a word counts with its heaviest entry, a word inside an
-exception phrase does not count. The sum of the weights, once as it is and once per word of the
-text, gives the score through a logistic curve.
-
-Weights are log odds of the document frequencies in toxic and other labelled rows; entries need at
-least MIN_TOXIC toxic documents. Phrases of two words that hold an entry but occur almost only in
-documents that are not toxic become exceptions. The classifier is fitted on about TRAIN_ROWS
-labelled rows (a documented bound) and has at most MAX_ENTRIES entries and as many exceptions.
-Copies and near copies of one text count as one text in training, so their words weigh no more.
+matched by one Aho-Corasick automaton; a word counts once, with its heaviest entry, and not inside
+an exception phrase. The sum of the weights, once as it is and once per hundred different words,
+and the number of matched words give the score through a logistic curve.
+
+Weights are log odds among the different words of toxic and of other texts; entries need MIN_TOXIC
+toxic texts, log odds of MIN_ODDS and a likelihood ratio of MIN_RATIO. Phrases of two words that
+hold an entry but occur almost only in texts that are not toxic become exceptions. The curve is
+fitted on texts that had no part in the lexicon they are measured with (two halves, each measured
+with the other's). The classifier is fitted on about TRAIN_ROWS labelled rows (a documented bound)
+and has at most MAX_ENTRIES entries and as many exceptions. Copies and near copies of one text
+count as one text in training, so their words weigh no more.
 
 Cases: null and empty texts have no words and get the score of a text without matches; with no
 labelled rows, or rows of one kind only, every text gets their share of toxic ones; repeated rows
@@ -20,6 +22,7 @@ out; other input columns are left out (`scores`) or kept (`accepted`).
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -32,15 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.llm.columns import spare
 from lakemill.llm.jaccard import minhashes
 from lakemill.llm.sample import about
 from lakemill.llm.words import Words, shingle_sets
 
 TRAIN_ROWS = 10_000
 MAX_ENTRIES = 2_000
-MIN_TOXIC = 5
-MIN_ODDS = 3.0
-_STARTS = (4, 5, 6)
+MIN_TOXIC = 4
+MIN_ODDS = 2.0
+MIN_RATIO = 20.0
+_STARTS = (4, 5, 6, 7, 8)
 
 #: Look-alike letters, and what they are read as.
 LOOK_ALIKES = {
@@ -85,8 +90,8 @@ def entries_of(word: str) -> list[str]:
 class Lexicon:
     weights: dict[str, float]
     exceptions: list[tuple[str, str]] = field(default_factory=list)
-    #: Intercept, factor of the logged sum, factor of the logged sum per hundred words.
-    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    #: Intercept, factors of the logged sum, the logged sum per hundred words, the logged number of words.
+    curve: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
 
 
 class Matcher:
@@ -94,8 +99,9 @@ class Matcher:
         self.curve = lexicon.curve
         self.machine = ahocorasick.Automaton()
         for entry, weight in lexicon.weights.items():
+            entry = entry.lower().translate(_FOLD)
             self.machine.add_word(entry, (len(entry), weight, 0))
-        for first, second in lexicon.exceptions:
+        for first, second in (tuple(w.lower().translate(_FOLD) for w in phrase) for phrase in lexicon.exceptions):
             self.machine.add_word(f" {first} {second} ", (len(first) + len(second) + 3, 0.0, len(first) + 1))
         self.empty = len(self.machine) == 0
         self.machine.make_automaton()
@@ -112,43 +118,72 @@ class Matcher:
                 found[start] = weight
         return {k: v for k, v in found.items() if k not in excepted}
 
-    def features(self, text: str | None) -> tuple[float, float]:
+    def features(self, text: str | None) -> tuple[float, float, float]:
         plain = folded(text)
-        total = sum(self.hits(plain).values())
-        return float(np.log1p(total)), float(np.log1p(100 * total / max(1, plain.count(" ") - 1)))
+        words = {plain[start + 1 : plain.index(" ", start + 1)]: w for start, w in self.hits(plain).items()}
+        if not words:
+            return 0.0, 0.0, 0.0
+        total = sum(words.values())
+        return math.log1p(total), math.log1p(100 * total / len(set(plain.split()))), math.log1p(len(words))
 
     def score(self, text: str | None) -> float:
-        a, b, c = self.curve
-        x, y = self.features(text)
-        return float(1 / (1 + np.exp(-np.clip(a + b * x + c * y, -40, 40))))
+        odds = self.curve[0] + sum(b * x for b, x in zip(self.curve[1:], self.features(text)))
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, odds))))
 
 
-_COUNTED = pa.schema([("unit", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())])
+_COUNTED = pa.schema([("unit", pa.string()), ("part", pa.int64()), ("n", pa.int64()), ("texts", pa.int64())])
 
 
 def _counted(units):
-    """mapInArrow step: documents per unit and label."""
+    """mapInArrow step: occurrences (of `units`) and texts per unit and part."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for unit in units(folded(text)):
-                    counts[unit, toxic] += 1
+            texts: Counter = Counter()
+            for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist()):
+                for unit, n in Counter(units(folded(text))).items():
+                    counts[unit, part] += n
+                    texts[unit, part] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()),
-                 pa.array(list(counts.values()), pa.int64())], schema=_COUNTED,
+                 pa.array(list(counts.values()), pa.int64()), pa.array(list(texts.values()), pa.int64())], schema=_COUNTED,
             )
 
     return count
 
 
-def _by_label(rows: DataFrame, units) -> DataFrame:
-    counts = rows.mapInArrow(_counted(units), "unit string, toxic long, n long")
-    return counts.groupBy("unit").agg(
-        F.coalesce(F.sum(F.when(F.col("toxic") > 0, F.col("n"))), F.lit(0)).alias("t"),
-        F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("o"),
+#: Parts of the training rows: label (0, 1) and half (0, 2).
+_PARTS = (0, 1, 2, 3)
+
+
+def _by_part(rows: DataFrame, units) -> DataFrame:
+    counts = rows.mapInArrow(_counted(units), "unit string, part long, n long, texts long")
+    return counts.groupBy("unit").agg(*[
+        F.coalesce(F.sum(F.when(F.col("part") == p, F.col(c))), F.lit(0)).alias(f"{c}{p}") for p in _PARTS for c in ("n", "texts")
+    ])
+
+
+def _lexicon_units(plain: str) -> Iterator[str]:
+    """Entries of the different words of a folded text, and an empty unit for each of these words."""
+    for word in set(plain.split()):
+        yield ""
+        yield from entries_of(word)
+
+
+def _weighed(totals: dict[int, int], halves: tuple[int, ...], least: int) -> tuple[Column, Column]:
+    """(log odds or null, likelihood ratio) of a unit, by the counts of these halves."""
+    wt, wo = (sum(totals[label + half] for half in halves) for label in (1, 0))
+    t, o, texts = (
+        sum((F.col(f"{c}{label + half}") for half in halves[1:]), F.col(f"{c}{label + halves[0]}"))
+        for c, label in (("n", 1), ("n", 0), ("texts", 1))
     )
+    odds = F.log((t + 0.5) / (wt + 1)) - F.log((o + 0.5) / (wo + 1))
+    even_t, even_o = (t + o) * (wt / max(1, wt + wo)), (t + o) * (wo / max(1, wt + wo))
+    ratio = 2 * (
+        F.when(t > 0, t * F.log(t / even_t)).otherwise(F.lit(0.0)) + F.when(o > 0, o * F.log(o / even_o)).otherwise(F.lit(0.0))
+    )
+    return F.when((texts >= least) & (odds >= MIN_ODDS) & (ratio >= MIN_RATIO), odds), ratio
 
 
 def _sketches(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -189,32 +224,50 @@ def fit(
     )
     marks = F.broadcast(about(marks, F.col("id"), bound))  # about `bound` rows of two numbers
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(marks, "id").select("text", "toxic")
-    rows = _distinct_texts(rows.where("text IS NOT NULL")).cache()
+    half = F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)) * 2
+    rows = _distinct_texts(rows.where("text IS NOT NULL").withColumn("part", half + (F.col("toxic") > 0).cast("long"))).cache()
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     t, o = sum(n for k, n in sizes.items() if k > 0), sizes.get(0, 0)
     if not t or not o:
         share = (t + 0.5) / (t + o + 1) if t + o else 0.01
-        return Lexicon({}, [], (float(np.log(share / (1 - share))), 0.0, 0.0))
-
-    odds = F.log((F.col("t") + 0.5) / (t + 1.0)) - F.log((F.col("o") + 0.5) / (o + 1.0))
+        rows.unpersist()
+        return Lexicon({}, [], (math.log(share / (1 - share)), 0.0, 0.0, 0.0))
+
+    counted = _by_part(rows, _lexicon_units).where(f"texts1 + texts3 >= {MIN_TOXIC - 1}").cache()
+    words = counted.where("unit = ''").first()
+    totals = {p: int(words[f"n{p}"]) if words else 0 for p in _PARTS}
+    (whole, ratio), (even, _), (odd, _) = (
+        _weighed(totals, halves, least) for halves, least in (((0, 2), MIN_TOXIC), ((0,), MIN_TOXIC - 1), ((2,), MIN_TOXIC - 1))
+    )
     found = (
-        _by_label(rows, lambda plain: {e for w in set(plain.split()) for e in entries_of(w)})
-        .where(F.col("t") >= MIN_TOXIC).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
-        .orderBy(F.desc(F.col("odds") * F.sqrt("t")), "unit").limit(MAX_ENTRIES).collect()
+        counted.where("unit <> ''").select("unit", whole.alias("whole"), even.alias("even"), odd.alias("odd"), ratio.alias("ratio"))
+        .where("whole IS NOT NULL OR even IS NOT NULL OR odd IS NOT NULL").orderBy(F.desc("ratio"), "unit").limit(MAX_ENTRIES).collect()
     )
-    weights = {r["unit"]: float(r["odds"]) for r in found}
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(Lexicon(weights))
+    counted.unpersist()
+    weights = {half: {r["unit"]: float(r[half]) for r in found if r[half] is not None} for half in ("whole", "even", "odd")}
+    exceptions = _exceptions(rows, Lexicon(weights["whole"]))
+    # About `bound` rows of a few numbers; each half is measured with the lexicon of the other.
+    x, y = [], []
+    for half, own in (("odd", 0), ("even", 2)):
+        measured = rows.where(F.col("part").isin(own, own + 1)).select(
+            _featured(docs.sparkSession, Lexicon(weights[half], exceptions))("text").alias("x"), "toxic"
+        ).collect()
+        x += [r["x"] for r in measured]
+        y += [float(r["toxic"] > 0) for r in measured]
+    rows.unpersist()
+    curve = _logistic(np.array(x, dtype=float), np.array(y))
+    return Lexicon(weights["whole"], exceptions, tuple(float(b) for b in curve))
+
+
+def _exceptions(rows: DataFrame, lexicon: Lexicon) -> list[tuple[str, str]]:
+    sent = rows.sparkSession.sparkContext.broadcast(lexicon)
     machines: list[Matcher] = []
 
-    def matcher() -> Matcher:
+    def phrases(plain: str) -> set[str]:
         if not machines:
             machines.append(Matcher(sent.value))
-        return machines[0]
-
-    def phrases(plain: str) -> set[str]:
         out = set()
-        for start in matcher().hits(plain):
+        for start in machines[0].hits(plain):
             before = plain[:start].rpartition(" ")[2]
             word, _, after = plain[start + 1 :].partition(" ")
             after = after.partition(" ")[0]
@@ -222,17 +275,9 @@ def fit(
             out |= {f"{word} {after}"} if after else set()
         return out
 
-    harmless = (
-        _by_label(rows, phrases).where((F.col("o") >= MIN_TOXIC) & (odds < 0))
-        .orderBy(F.desc("o"), "unit").limit(MAX_ENTRIES).collect()
-    )
-    lexicon = Lexicon(weights, [tuple(r["unit"].split(" ")) for r in harmless])
-    # About `bound` rows of three numbers.
-    measured = rows.select(_featured(spark, lexicon)("text").alias("x"), "toxic").collect()
-    x = np.array([r["x"] for r in measured], dtype=float).reshape(-1, 2)
-    y = np.array([float(r["toxic"] > 0) for r in measured])
-    rows.unpersist()
-    return Lexicon(weights, lexicon.exceptions, tuple(float(b) for b in _logistic(x, y)))
+    toxic, other = F.col("texts1") + F.col("texts3"), F.col("texts0") + F.col("texts2")
+    harmless = _by_part(rows, phrases).where((other >= 5) & (other > 10 * toxic)).orderBy(F.desc(other), "unit").limit(MAX_ENTRIES)
+    return [tuple(r["unit"].split(" ")) for r in harmless.collect()]
 
 
 def _featured(spark: SparkSession, lexicon: Lexicon):
@@ -267,4 +312,5 @@ def scores(docs: DataFrame, lexicon: Lexicon, *keep: str | Column, text: str = "
 def accepted(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """The input rows that score under one half, all columns kept."""
     score = scorer(docs.sparkSession, lexicon)
-    return docs.withColumn("_score", score(F.col(text))).where("_score < 0.5").drop("_score")
+    name = spare(docs, "_score")
+    return docs.withColumn(name, score(F.col(text))).where(F.col(name) < 0.5).drop(name)
