@@ -188,14 +188,14 @@ def _weighed(totals: dict[int, int], halves: tuple[int, ...], least: int) -> tup
 
 def _sketches(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in column:
-        held, hashes = minhashes(*shingle_sets(Words.of(array, lower="all"), 1), 3, 1)
+        held, hashes = minhashes(*shingle_sets(Words.of(array, lower="all"), 5), 3, 1)
         out = np.zeros((len(array), 3), dtype=np.uint64)
         out[held] = hashes
         yield pa.array(out.view(np.int64).tolist(), pa.list_(pa.int64()))
 
 
 def _distinct_texts(rows: DataFrame) -> DataFrame:
-    """One row per text, near copies included: of rows that agree in a MinHash of their words one stays."""
+    """One row per text, near copies included: of rows that agree in a MinHash of their five-word shingles one stays."""
     sketch = F.arrow_udf(_sketches, "array<bigint>")
     rows = rows.withColumn("_s", sketch("text"))
     for i in range(3):
