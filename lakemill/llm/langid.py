@@ -111,7 +111,7 @@ def _logs(table: list[tuple[str, dict[str, int]]], langs: list[str], group) -> t
     logs = np.zeros_like(counts)
     for k in np.unique(kind):
         own = kind == k
-        logs[own] = np.log(counts[own] + _SMOOTH) - np.log(counts[own].sum(axis=0) + _SMOOTH * own.sum())
+        logs[own] = np.log(counts[own] + _SMOOTH) - np.log(counts[own].sum(axis=0) + _SMOOTH * (own.sum() + 1))
     return {unit: i for i, (unit, _) in enumerate(table)}, logs
 
 
