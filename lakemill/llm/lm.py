@@ -8,11 +8,14 @@ leaves for w; the failure arc weighs l(v) = 1 - sum over the arcs of (c - D) / c
 without words gives (c(w) + 0.1) / (N + 0.1 (V + 1)), so unseen words have a probability too and
 the probabilities after any context sum to one.
 
-Counting is one shuffle of (n-gram, count) rows that each task has summed beforehand. The automaton
-grows with the corpus, so it is neither gathered nor broadcast: it is written in sorted flat files
-to the shared folder, cut by ranges of the n-gram hash, and the scoring tasks memory-map them.
-A batch of texts is traversed from left to right for all its texts at once: after each token the
-state is the longest n-gram found, and a missing arc follows the failure arcs.
+The n-grams are cut into parts by ranges of their hash, and a shuffle brings the counts of a part,
+summed by each task beforehand and packed, into one task. A second pass over the training texts
+looks up the count c of each n-gram and adds 1 - D / c to its context: over all occurrences that is
+the sum of c - D over the arcs, so contexts need not travel with the n-grams. The automaton grows
+with the corpus, so it is neither gathered nor broadcast: each part is a sorted flat file in the
+shared folder, and the tasks memory-map the files. A batch of texts is traversed from left to right
+for all its texts at once: after each token the state is the longest n-gram found, and a missing
+arc follows the failure arcs.
 
 Cases: null and empty texts are one token, the end; without training rows every token has
 probability one in the base and in the model; repeated rows count as often as they occur in
@@ -22,38 +25,38 @@ training and score alike; extra input columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.llm.files import Writer, fresh, mapped
 from lakemill.llm.words import Words, mixed, steps
-from lakemill.session import durable, new_path
+from lakemill.session import new_path
 
 ORDER = 2
 LEAST = 2
 DISCOUNT = 0.5
 ADDED = 0.1
 
-BEGIN, END = mixed(np.array([0xBE61, 0xE0D], dtype=np.uint64))
+BEGIN, END = mixed(np.array([0xBE61, 0xE0D], dtype=np.uint64)) | np.uint64(1)
 
-#: n-grams a task sums before it hands them on, and n-grams in a file.
-_HELD = 3_000_000
-_FILE_ROWS = 4_000_000
+#: n-grams a task sums before it hands them on.
+_HELD = 1_500_000
 
 
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, text, first token of each text); each text ends with END."""
+    """(token, text, first token of each text); each text ends with END. Tokens are odd, n-grams even."""
     n = words.counts() + 1
     first = np.concatenate([[0], np.cumsum(n)])
     out = np.empty(first[-1], dtype=np.uint64)
     last = np.zeros(first[-1], dtype=bool)
     last[first[1:] - 1] = True
-    out[last], out[~last] = END, words.hashes()
+    out[last], out[~last] = END, words.hashes() | np.uint64(1)
     return out, np.repeat(np.arange(len(n)), n), first
 
 
@@ -69,78 +72,185 @@ def ngrams(token: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[n
         if size == 2:
             context[place == 0] = BEGIN
         at = np.flatnonzero(place >= size - 2)
-        longer = mixed(context + np.uint64(size)) + token
+        longer = (mixed(context + np.uint64(size)) + token) & ~np.uint64(1)
         yield at, longer[at], context[at]
         gram = longer
 
 
-def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    size, gram, context, n = (np.concatenate(x) for x in zip(*parts))
+def _summed(gram: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams in order, and the sum of the values of each."""
     order = np.argsort(gram, kind="stable")
-    gram = gram[order]
-    new = np.ones(len(gram), dtype=bool)
-    new[1:] = gram[1:] != gram[:-1]
-    first = np.flatnonzero(new)
-    return size[order][first], gram[first], context[order][first], np.add.reduceat(n[order], first)
-
-
-def _counter(order: int):
-    def batch(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        size, gram, context, n = part
-        for low in range(0, len(gram), 200_000):
-            cut = slice(low, low + 200_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(size[cut].astype(np.int32)), pa.array(gram[cut].view(np.int64)), pa.array(context[cut].view(np.int64)), pa.array(n[cut])],
-                ["size", "gram", "context", "n"],
-            )
+    gram, value = gram[order], value[order]
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+    return gram[first], np.add.reduceat(value, first) if len(first) else value
 
+
+def part_of(gram: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each n-gram; parts follow the order of the n-grams."""
+    return ((gram >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of the values, the lowest of all first: what the values have in common compresses well."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _values(data: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(wide, -1).T).view(kind).reshape(-1)
+
+
+PACKED = "part int, grams binary, values binary"
+
+
+class _Sums:
+    """Sums values by n-gram and packs them by part, a bounded number at a time."""
+
+    def __init__(self, parts: int, kind: str) -> None:
+        self.parts, self.kind, self.held, self.n = parts, kind, [], 0
+
+    def add(self, gram: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(_summed(gram, value))
+        self.n += len(self.held[-1][0])
+        if self.n > _HELD:
+            yield from self.packed()
+
+    def packed(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            gram, value = _summed(*(np.concatenate(x) for x in zip(*self.held)))
+            self.held, self.n = [], 0
+            part = part_of(gram, self.parts)
+            cuts = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+            for at in range(0, len(cuts), 64):
+                spans = [(a, b) for a, b in zip(cuts[at : at + 64], [*cuts[at + 1 : at + 65], len(gram)][: len(cuts[at : at + 64])])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(part[a]) for a, _ in spans], pa.int32()),
+                        pa.array([_planes(np.diff(gram[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()),
+                        pa.array([_planes(value[a:b].astype(self.kind)) for a, b in spans], pa.binary()),
+                    ],
+                    ["part", "grams", "values"],
+                )
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], kind: str, wide: str) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of a part in order, with the sums of their values."""
+    grams, values = [np.zeros(0, np.uint64)], [np.zeros(0, wide)]
+    for batch in batches:
+        for gram, value in zip(batch.column("grams"), batch.column("values")):
+            grams.append(np.cumsum(_values(gram.as_py(), "<u8"), dtype=np.uint64))
+            values.append(_values(value.as_py(), kind).astype(wide))
+    return _summed(np.concatenate(grams), np.concatenate(values))
+
+
+def _counter(order: int, parts: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size_now = 0
+        sums = _Sums(parts, "<u4")
         for given in batches:
             for step in steps(given.column("text")):
                 token, _, first = tokens(Words.of(step, lower="ascii"))
-                for size, (_, gram, context) in enumerate(ngrams(token, first, order), 1):
-                    held.append(_summed([(np.full(len(gram), size, np.int8), gram, context, np.ones(len(gram), np.int64))]))
-                    size_now += len(held[-1][1])
-                if size_now > _HELD:
-                    held = [_summed(held)]
-                    size_now = len(held[0][1])
-                    if size_now > _HELD // 2:
-                        yield from batch(held[0])
-                        held, size_now = [], 0
-        if held:
-            yield from batch(_summed(held))
+                grams = [gram for _, gram, _ in ngrams(token, first, order)] + [np.full(len(step), BEGIN)]
+                every = np.concatenate(grams)
+                yield from sums.add(every, np.ones(len(every), np.int64))
+        yield from sums.packed()
 
     return count
 
 
+FILES = "part int, path string, rows long, total long, distinct long, texts long"
+
+
+def _count_writer(folder: str, least: int):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, n = _unpacked(batches, "<u4", "<i8")
+        word = (gram & np.uint64(1)).astype(bool)
+        kept = word | (n >= least)
+        gram, n, word = gram[kept], n[kept], word[kept]
+        if len(gram):
+            file = Writer(fresh(folder, ".counts"))
+            file.add(gram.astype("<u8"))
+            file.add(n.astype("<i8"))
+            file.close()
+            word &= gram != BEGIN  # stands before texts, but is no token
+            row = {
+                "part": TaskContext.get().partitionId(), "path": file.path, "rows": len(gram), "total": int(n[word].sum()),
+                "distinct": int(word.sum()), "texts": int(n[gram == END].sum()),
+            }
+            yield pa.RecordBatch.from_pylist([row], _FILES)
+
+    return write
+
+
+_FILES = pa.schema([("part", pa.int32()), ("path", pa.string())] + [(c, pa.int64()) for c in ("rows", "total", "distinct", "texts")])
+
+
+def _spender(counts: Automaton, parts: int):
+    """For each context the sum over its arcs of c - D, from the occurrences of the n-grams."""
+
+    def spend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums(parts, "<f8")
+        for given in batches:
+            for step in steps(given.column("text")):
+                token, _, first = tokens(Words.of(step, lower="ascii"))
+                for size, (_, gram, context) in enumerate(ngrams(token, first, counts.order), 1):
+                    if size > 1:
+                        n, _ = counts.find(gram)
+                        arc = n > 0
+                        yield from sums.add(context[arc], 1 - counts.discount / n[arc])
+        yield from sums.packed()
+
+    return spend
+
+
+def _state_writer(folder: str, counted: dict[int, tuple[str, int]]):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, spent = _unpacked(batches, "<f8", "<f8")
+        part = TaskContext.get().partitionId()
+        if part in counted:
+            path, rows = counted[part]
+            gram, n = np.array(mapped(path, "<u8", rows)), np.array(mapped(path, "<i8", rows, 8 * rows))
+            left = np.ones(rows)
+            spot = np.searchsorted(gram, context)
+            left[spot] = np.maximum(0, 1 - spent / n[spot])
+            file = Writer(fresh(folder, ".states"))
+            for values in (gram, n, left.astype("<f4")):
+                file.add(values)
+            file.close()
+            yield pa.RecordBatch.from_pylist([{"part": part, "path": file.path, "rows": rows, "total": 0, "distinct": 0, "texts": 0}], _FILES)
+
+    return write
+
+
 @dataclass
 class Automaton:
     """Where the states are, and the totals of the training tokens."""
 
     order: int
-    files: list[tuple[str, int, int]]  # path, smallest n-gram, states
+    parts: int
+    files: dict[int, tuple[str, int, bool]]  # by part: path, states, whether failure arcs are in it
     total: int
     distinct: int
     discount: float = DISCOUNT
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, weight of the failure arc) of each n-gram; 0 and 1 where there is no state."""
-        unique, inverse = np.unique(grams.view(np.int64), return_inverse=True)
+        unique, inverse = np.unique(grams, return_inverse=True)
         count, left = np.zeros(len(unique), np.int64), np.ones(len(unique), np.float32)
-        cuts = np.searchsorted(unique, [low for _, low, _ in self.files] + [np.iinfo(np.int64).max])
-        for (path, _, n), a, b in zip(self.files, cuts[:-1], cuts[1:]):
-            if b > a:
-                keys, counts, lefts = self._open(path, n)
-                spot = np.minimum(np.searchsorted(keys, unique[a:b]), n - 1)
+        part = part_of(unique, self.parts).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(unique)]):
+            if (held := self.files.get(int(part[a]))) is not None:
+                keys, counts, lefts = self._open(*held)
+                spot = np.minimum(np.searchsorted(keys, unique[a:b]), held[1] - 1)
                 hit = np.asarray(keys[spot]) == unique[a:b]
-                count[a:b][hit], left[a:b][hit] = counts[spot[hit]], lefts[spot[hit]]
+                count[a:b][hit] = counts[spot[hit]]
+                if lefts is not None:
+                    left[a:b][hit] = lefts[spot[hit]]
         return count[inverse], left[inverse]
 
-    def _open(self, path: str, n: int) -> tuple[np.ndarray, ...]:
+    def _open(self, path: str, n: int, failing: bool) -> tuple:
         if path not in _OPEN:
-            _OPEN[path] = (mapped(path, "<i8", n), mapped(path, "<i8", n, 8 * n), mapped(path, "<f4", n, 16 * n))
+            _OPEN[path] = (mapped(path, "<u8", n), mapped(path, "<i8", n, 8 * n), mapped(path, "<f4", n, 16 * n) if failing else None)
         return _OPEN[path]
 
     def measured(self, array: pa.Array) -> dict[str, np.ndarray]:
@@ -178,46 +288,24 @@ class Automaton:
 _OPEN: dict[str, tuple[np.ndarray, ...]] = {}
 
 
-def _file_writer(folder: str):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "failing")] for b in batches if len(b)]
-        if parts:
-            gram, n, failing = (np.concatenate(x) for x in zip(*parts))
-            file = Writer(fresh(folder, ".states"))
-            for values in (gram.astype("<i8"), n.astype("<i8"), failing.astype("<f4")):
-                file.add(values)
-            file.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([file.path]), pa.array([int(gram[0])]), pa.array([len(gram)])], ["path", "low", "rows"]
-            )
-
-    return write
-
-
-def fit(docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> Automaton:
+def fit(
+    docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, parts: int | None = None,
+) -> Automaton:
     """Count the n-grams of all rows and write the states to the shared folder."""
     spark = docs.sparkSession
-    counted = (
-        docs.select(F.col(text).alias("text")).mapInArrow(_counter(order), "size int, gram long, context long, n long")
-        .groupBy("size", "gram", "context").agg(F.sum("n").alias("n")).where((F.col("size") == 1) | (F.col("n") >= least))
-    )
-    counts = durable(counted, "ngrams")
-    signed = lambda x: int(x.view(np.int64))
-    totals = counts.where("size = 1").agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("gram") == signed(END), F.col("n"))), F.lit(0))
-    ).first()
-    begin = spark.range(1).select(F.lit(signed(BEGIN)).alias("gram"), F.lit(totals[2]).cast("long").alias("n"))
-    spent = counts.where("size > 1").groupBy(F.col("context").alias("gram")).agg(F.sum(F.col("n") - discount).alias("spent"))
-    states = counts.select("gram", "n").union(begin.where("n > 0")).join(spent, "gram", "left").select(
-        "gram", "n", F.when(F.col("spent").isNull(), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.col("spent") / F.col("n"))).alias("failing")
-    )
-    states = durable(states, "states")
-    parts = max(1, -(-states.count() // _FILE_ROWS))
-    files = (
-        states.repartitionByRange(parts, "gram").sortWithinPartitions("gram")
-        .mapInArrow(_file_writer(new_path(spark, "automaton")), "path string, low long, rows long").collect()
-    )
-    return Automaton(order, sorted([(r["path"], r["low"], r["rows"]) for r in files], key=lambda f: f[1]), totals[0], totals[1], discount)
+    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(text).alias("text"))
+    folder = new_path(spark, "automaton")
+
+    def dealt(rows: DataFrame, step) -> list:
+        return rows.repartitionById(parts, F.col("part")).mapInArrow(step, FILES).collect()  # one row per part
+
+    made = dealt(texts.mapInArrow(_counter(order, parts), PACKED), _count_writer(folder, least))
+    files = {r["part"]: (r["path"], r["rows"], False) for r in made}
+    counts = Automaton(order, parts, files, sum(r["total"] for r in made), sum(r["distinct"] for r in made), discount)
+    sized = {part: (path, rows) for part, (path, rows, _) in files.items()}
+    spent = dealt(texts.mapInArrow(_spender(counts, parts), PACKED), _state_writer(folder, sized))
+    return replace(counts, files=files | {r["part"]: (r["path"], r["rows"], True) for r in spent})
 
 
 SCORES = T.StructType([
