@@ -24,6 +24,7 @@ import itertools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,34 +36,72 @@ from pyspark.sql import functions as F
 from lakemill.llm.files import Writer, fresh, mapped
 from lakemill.llm.words import steps
 
-#: Words a worker remembers.
-_CACHE = 500_000
+#: Words, and runs of letters or signs in them, that a worker remembers.
+_CACHE = 600_000
+_RUNS = 400_000
 #: Separators for Python, but not for the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
+#: Words that the tokenizer cuts into runs of letters, single digits and runs of other signs, whatever
+#: stands around them: no apostrophe (contractions), no < or | (special tokens), Latin letters only.
+_PLAIN = re.compile(r"""[A-Za-z0-9À-ÖØ-öø-ÿ!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~>]+""")
+_RUN = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 _SHARD = "shard int, ids string, lengths string, keys string, width int, docs long, tokens long, nulls long"
 
 
 class WordEncoder:
-    """Ids of texts, word by word, with the tokenizers library."""
+    """Ids of texts, word by word, with the tokenizers library.
+
+    Words of plain signs are cut into the runs that the tokenizer's own pattern would find, and a run
+    is given to its model once; all other words are encoded whole.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        letters = [chr(c) for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))]
+        self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+        # Whether runs really stand for themselves depends on the tokenizer: tried on all the signs above.
+        trial = "".join(chr(c) for c in range(0x21, 0x7F) if chr(c) not in "'<|") + "".join(letters) + "Straße99 a_b"
+        self.cuts = all(
+            self._plain(w) == self._whole([w])[0] for w in [trial.replace(" ", ""), *trial, "año.", "x9!!", "ÉTÉ,", "E.U"] if w.strip()
+        )
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _run(self, run: str) -> bytes:
+        found = self.runs.get(run)
+        if found is None:
+            plain = run if run.isascii() else run.translate(self.bytes_of)
+            found = self.runs[run] = array(self.code, [t.id for t in self.model.tokenize(plain)]).tobytes()
+        return found
+
+    def _plain(self, word: str) -> bytes:
+        return b"".join([self._run(run) for run in _RUN.findall(word.lower())])
 
     def _learn(self, words: set[str]) -> None:
-        missing = list(words.difference(self.known))
+        missing = words.difference(self.known)
         if len(self.known) + len(missing) > _CACHE:
-            self.known, missing = {}, list(words)
-        for low in range(0, len(missing), 20_000):
-            part = missing[low : low + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, self.kind).tobytes()
+            self.known, missing = {}, words
+        if len(self.runs) > _RUNS:
+            self.runs = {}
+        rest = []
+        for word in missing:
+            if self.cuts and _PLAIN.fullmatch(word):
+                self.known[word] = self._plain(word)
+            else:
+                rest.append(word)
+        for low in range(0, len(rest), 20_000):
+            part = rest[low : low + 20_000]
+            self.known.update(zip(part, self._whole(part)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes."""
