@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,11 @@ class Ranks:
     merged: np.ndarray
     pattern: str
 
+    @property
+    def kind(self) -> str:
+        """The narrowest unsigned integers that hold the ids."""
+        return "<u2" if len(self.tokens) <= 1 << 16 else "<u4"
+
     @classmethod
     def load(cls, path: str, pattern: str) -> Ranks:
         """Read a rank file: lines of base64 bytes and rank. The rank is the id."""
@@ -82,16 +88,49 @@ class Encoder:
         self.lookup = dict(zip(ranks.pairs.tolist(), ranks.merged.tolist()))
         self.split = splitter(ranks.pattern)
         self.known: dict[str, bytes] = {}
+        self.single = [np.array([at], ranks.kind).tobytes() for at in range(len(ranks.tokens))]
+        self._slots()
+
+    def _slots(self) -> None:
+        """Pairs in a table of slots, each pair in the first free one from its own on."""
+        bits = max(4, (4 * len(self.ranks.pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slot_pair, self.slot_rank = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int64)
+        pair, rank = self.ranks.pairs, self.ranks.merged
+        at, self.reach = self._slot(pair), 0
+        while len(pair):
+            self.reach += 1
+            free = self.slot_pair[at] < 0
+            _, first = np.unique(at, return_index=True)
+            put = np.zeros(len(pair), dtype=bool)
+            put[first] = True
+            put &= free
+            self.slot_pair[at[put]], self.slot_rank[at[put]] = pair[put], rank[put]
+            pair, rank, at = pair[~put], rank[~put], (at[~put] + 1) & (len(self.slot_pair) - 1)
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, _NONE if they do not merge (or one of them is -1)."""
-        key = left * len(self.ranks.tokens) + right
-        spot = np.minimum(np.searchsorted(self.ranks.pairs, key), len(self.ranks.pairs) - 1)
-        hit = (self.ranks.pairs[spot] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.ranks.merged[spot], _NONE)
-
-    def _side_by_side(self, pieces: list[bytes], leaves: int) -> list[np.ndarray]:
-        """Ids of pieces of 2 to `leaves` bytes."""
+        pair = np.where((left >= 0) & (right >= 0), left * len(self.ranks.tokens) + right, -2)
+        at = self._slot(pair)
+        held = self.slot_pair[at]
+        rank = np.where(held == pair, self.slot_rank[at], _NONE)
+        # Those whose slot holds another pair look further; an empty slot ends the search.
+        rest = np.flatnonzero((held != pair) & (held >= 0))
+        for _ in range(self.reach):
+            if not len(rest):
+                break
+            at[rest] = (at[rest] + 1) & (len(self.slot_pair) - 1)
+            held = self.slot_pair[at[rest]]
+            hit = held == pair[rest]
+            rank[rest[hit]] = self.slot_rank[at[rest[hit]]]
+            rest = rest[~hit & (held >= 0)]
+        return rank
+
+    def _side_by_side(self, pieces: list[bytes], leaves: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of 2 to `leaves` bytes, end to end, and their numbers."""
         n = len(pieces)
         size = np.array([len(p) for p in pieces])
         place = np.arange(leaves)
@@ -127,9 +166,7 @@ class Encoder:
                 while (at := at >> 1)[:1].any():
                     tree[rows, at] = np.minimum(tree[rows, 2 * at], tree[rows, 2 * at + 1])
             row = row[tree[row, 1] < _NONE * leaves]
-        kept = live.sum(axis=1)
-        flat = symbol[:, :leaves][live]
-        return np.split(flat, np.cumsum(kept)[:-1])
+        return symbol[:, :leaves][live], live.sum(axis=1)
 
     def _long(self, piece: bytes) -> list[int]:
         """Ids of one piece of any length, with the tree in a flat list."""
@@ -176,21 +213,26 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Work out the ids of pieces that are not known yet."""
-        sized: dict[int, list[tuple[str, bytes]]] = {}
+        kind = self.ranks.kind
+        wide = np.dtype(kind).itemsize
+        sized: dict[int, tuple[list[str], list[bytes]]] = {}
         for piece in pieces:
             data = piece.encode()
             at = self.ids.get(data)
             if at is not None:
-                self.known[piece] = np.array([at], "<u4").tobytes()
+                self.known[piece] = self.single[at]
             elif len(data) > _SIDE_BY_SIDE:
-                self.known[piece] = np.array(self._long(data), "<u4").tobytes()
+                self.known[piece] = np.array(self._long(data), kind).tobytes()
             else:
-                sized.setdefault(max(4, 1 << (len(data) - 1).bit_length()), []).append((piece, data))
-        for leaves, group in sized.items():
-            for low in range(0, len(group), 16_384):
-                part = group[low : low + 16_384]
-                for (piece, _), ids in zip(part, self._side_by_side([d for _, d in part], leaves)):
-                    self.known[piece] = ids.astype("<u4").tobytes()
+                names, own = sized.setdefault(max(4, 1 << (len(data) - 1).bit_length()), ([], []))
+                names.append(piece)
+                own.append(data)
+        for leaves, (names, own) in sized.items():
+            for low in range(0, len(own), 16_384):
+                flat, counts = self._side_by_side(own[low : low + 16_384], leaves)
+                data, ends = flat.astype(kind).tobytes(), (np.cumsum(counts) * wide).tolist()
+                for piece, a, b in zip(names[low : low + 16_384], [0, *ends], ends):
+                    self.known[piece] = data[a:b]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -201,7 +243,7 @@ class Encoder:
             self.known, missing = {}, pieces
         self.learn(list(missing))
         known = self.known
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), "<u4") for pieces in cut]
+        return [np.frombuffer(b"".join([known[p] for p in pieces]), self.ranks.kind) for pieces in cut]
 
 
 _WORKER: dict[int, Encoder] = {}
@@ -222,7 +264,7 @@ def encoder(spark: SparkSession, ranks: Ranks):
             for step in steps(array):
                 found = mine.encode([x or "" for x in step.to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int32))))
+                parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return encode
@@ -236,7 +278,9 @@ def decoder(spark: SparkSession, ranks: Ranks):
     def decode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = sent.value.tokens.__getitem__
         for array in column:
-            yield pa.array([b"".join(map(token, x.values.to_pylist() if x.is_valid else ())) for x in array], pa.binary())
+            ids = array.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False)).tolist()
+            yield pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip([0, *ends], ends)], pa.binary())
 
     return decode
 
