@@ -111,7 +111,9 @@ def _logs(table: list[tuple[str, dict[str, int]]], langs: list[str], group) -> t
     logs = np.zeros_like(counts)
     for k in np.unique(kind):
         own = kind == k
-        logs[own] = np.log(counts[own] + _SMOOTH) - np.log(counts[own].sum(axis=0) + _SMOOTH * (own.sum() + 1))
+        # Relative frequencies with one floor for all, so that a language with few texts gains nothing.
+        totals = np.maximum(counts[own].sum(axis=0), 1)
+        logs[own] = np.log(counts[own] / totals + _SMOOTH / totals.max())
     return {unit: i for i, (unit, _) in enumerate(table)}, logs
 
 
