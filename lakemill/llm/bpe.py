@@ -6,7 +6,7 @@ smallest rank below it, so the root names the next merge. A merge changes the le
 pair, of the pair before it and of the one that vanishes: three point updates up the tree.
 
 Pieces of up to 64 bytes run side by side, one numpy row and tree each, and all do their next merge
-at once; longer pieces use the same tree on a flat list, n log n for n bytes however long. A worker
+at once; longer pieces use the same tree on a flat list, n log n for n bytes however long. A task
 remembers the ids of pieces it has met, up to a bound.
 
 Cases: null and empty texts have no ids and decode to no bytes; repeated rows are encoded alike; a
@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm.words import steps
+from lakemill.llm.words import release, steps
 
 #: White space as Unicode defines it; Python's own notion has four control characters more.
 _SPACE = "".join(
@@ -36,8 +36,8 @@ _SPACE = "".join(
 )
 _NONE = np.int64(1) << 40
 _SIDE_BY_SIDE = 64
-#: Pieces a worker remembers.
-_CACHE = 500_000
+#: Pieces a task remembers.
+_CACHE = 400_000
 
 
 def splitter(pattern: str) -> regex.Pattern:
@@ -266,6 +266,8 @@ def encoder(spark: SparkSession, ranks: Ranks):
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        mine.known = {}
+        release()
 
     return encode
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.llm.columns import spare
-from lakemill.llm.words import PLAIN, Words, mixed, steps
+from lakemill.llm.words import PLAIN, Words, mixed, release, steps
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -176,6 +176,7 @@ def _search(index: Index):
             yield pa.array(rows, pa.list_(pa.struct([
                 ("item", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64()),
             ])))
+        release()
 
     return search
 

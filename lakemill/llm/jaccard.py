@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from lakemill.llm.columns import spare
 from lakemill.llm.graph import components
-from lakemill.llm.words import Words, mixed, shingle_sets, steps
+from lakemill.llm.words import Words, mixed, release, shingle_sets, steps
 from lakemill.session import durable
 
 SHINGLE = 5
@@ -103,6 +103,7 @@ def _signature(bands: int, rows: int, size: int, with_set: bool):
                     fields.append(_lists(shingle.view(np.int64), np.bincount(text, minlength=len(step))))
                 parts.append(pa.StructArray.from_arrays(fields, [f.name for f in kind]))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([(f.name, pa.list_(pa.int64())) for f in kind]))
+        release()
 
     return signature
 
@@ -133,10 +134,20 @@ def _overlaps(sets: list[np.ndarray], others: list[np.ndarray] | None = None) ->
     return out
 
 
+def _similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of sizes a and b with these intersections are similar, some rows at a time."""
+    out = np.zeros(inter.shape, dtype=bool)
+    for low in range(0, len(a), 256):
+        part = inter[low : low + 256].astype(np.float64)
+        out[low : low + 256] = part >= threshold * (a[low : low + 256, None] + b[None, :] - part) - 1e-6
+    return out
+
+
 def _local_components(linked: np.ndarray) -> np.ndarray:
-    label = np.arange(len(linked))
+    label = np.arange(len(linked), dtype=np.int32)
+    last = np.int32(len(label))
     while True:
-        low = np.where(linked, label[None, :], len(label)).min(axis=1, initial=len(label))
+        low = np.concatenate([np.where(linked[k : k + 256], label[None, :], last).min(axis=1) for k in range(0, len(label), 256)])
         new = np.minimum(label, low)
         new = new[new]
         if (new == label).all():
@@ -162,13 +173,13 @@ class _Unit:
         if band < 0 and left != right:
             side = np.array([r[3] for r in self.rows])
             a, b = np.flatnonzero(side == left), np.flatnonzero(side == right)
-            part = _overlaps([self.sets[i] for i in a], [self.sets[i] for i in b]) if len(a) and len(b) else np.zeros((len(a), len(b)))
             out = np.zeros((n, n), dtype=bool)
-            hit = part >= self.threshold * (size[a][:, None] + size[b][None, :] - part) - 1e-4
-            out[np.ix_(a, b)] = hit
-            return out | out.T
-        inter = _overlaps(self.sets)
-        out = inter >= self.threshold * (size[:, None] + size[None, :] - inter) - 1e-4
+            if len(a) and len(b):
+                inter = _overlaps([self.sets[i] for i in a], [self.sets[i] for i in b])
+                out[np.ix_(a, b)] = hit = _similar(inter, size[a], size[b], self.threshold)
+                out[np.ix_(b, a)] = hit.T
+            return out
+        out = _similar(_overlaps(self.sets), size, size, self.threshold)
         if band >= 0:
             group = np.array([r[2] for r in self.rows], dtype=np.int64)
             met = (group[:, None] == group[None, :]) & (group != 0)[:, None]
@@ -220,6 +231,8 @@ def _verify(threshold: float):
                 rows.append((node, flat[at[i] : at[i + 1]].copy(), group, side, wide[i].copy()))
         if len(rows) > 1 and (found := result(unit, rows)):
             yield found
+        rows = []
+        release()
 
     return verify
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.llm.files import Writer, fresh, mapped
-from lakemill.llm.words import Words, mixed, steps
+from lakemill.llm.words import Words, mixed, release, steps
 from lakemill.session import new_path
 
 ORDER = 2
@@ -153,6 +153,7 @@ def _counter(order: int, parts: int):
                 every = np.concatenate(grams)
                 yield from sums.add(every, np.ones(len(every), np.int64))
         yield from sums.packed()
+        release()
 
     return count
 
@@ -320,6 +321,7 @@ def _scorer(model: Automaton):
         for array in column:
             parts = [model.measured(step) for step in steps(array)] or [model.measured(array)]
             yield pa.StructArray.from_arrays([pa.array(np.concatenate([p[f] for p in parts])) for f in SCORES.names], SCORES.names)
+        release()
 
     return score
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemill.llm.words import Words, mixed, steps
+from lakemill.llm.words import Words, mixed, release, steps
 
 #: Counts that the rules read, all over whole texts.
 MEASURES = (
@@ -126,6 +126,7 @@ def _measure(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays(
             [pa.array(np.concatenate([p[m] for p in parts]).astype(np.int64)) for m in MEASURES], list(MEASURES)
         )
+    release()
 
 
 def failure_bits(rules: tuple[Rule, ...] = RULES) -> Column:

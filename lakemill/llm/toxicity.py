@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lakemill.llm.columns import spare
 from lakemill.llm.jaccard import minhashes
 from lakemill.llm.sample import about
-from lakemill.llm.words import Words, shingle_sets
+from lakemill.llm.words import Words, release, shingle_sets
 
 TRAIN_ROWS = 10_000
 MAX_ENTRIES = 2_000
@@ -149,6 +149,7 @@ def _counted(units):
                 [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()),
                  pa.array(list(counts.values()), pa.int64()), pa.array(list(texts.values()), pa.int64())], schema=_COUNTED,
             )
+        release()
 
     return count
 
@@ -299,6 +300,7 @@ def scorer(spark: SparkSession, lexicon: Lexicon):
         matcher = Matcher(sent.value)
         for array in column:
             yield pa.array([matcher.score(x.as_py()) for x in array], pa.float64())
+        release()
 
     return F.arrow_udf(score, "double")
 

@@ -6,6 +6,8 @@ identity a 64-bit hash of the bytes, a window a hash over word hashes. Nothing l
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step works on; a longer text is a step of its own.
-STEP = 2 << 20
+STEP = 1 << 20
 
 #: What ends a word: U+0020 and U+0009 to U+000D.
 SPACE = np.zeros(256, dtype=bool)
@@ -28,6 +30,17 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def release() -> None:
+    """Give freed memory back; workers live on between tasks and would hold what the last one needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+_LIBC = ctypes.CDLL(None)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all others."""
     x = x.astype(np.uint64, copy=True)
