@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.fixed import BASE_MONTH, ROWS_PER_PERIOD, SEED
+from lakemill.functions.messages import EDGE_SPACE
 from lakemill.functions.numbers import seeded_int
 from lakemill.operators.ranks import row_index
 
@@ -22,9 +23,14 @@ def normalize_columns(df: DataFrame, keep: list[str] = []) -> DataFrame:
 
 
 def month_label(offset: Column, base: str = BASE_MONTH) -> Column:
-    """YYYY-MM of the base month plus `offset` months."""
+    """YYYY-MM of the base month plus `offset` months; an error past 9999-12, where labels would no
+    longer sort. Choose more rows per period for a table that needs so many."""
     first = F.to_date(F.lit(f"{base}-01"))
-    return F.date_format(F.add_months(first, offset.cast("int")), "yyyy-MM")
+    year, month = map(int, base.split("-"))
+    label = F.date_format(F.add_months(first, offset.cast("int")), "yyyy-MM")
+    last = (9999 - year) * 12 + 12 - month
+    late = F.raise_error(F.concat(F.lit("period past 9999-12, raise rows_per_period: "), offset.cast("string")))
+    return F.when(offset > last, late.cast("string")).otherwise(label)
 
 
 def assign_periods(
@@ -54,8 +60,8 @@ def email_id(month: Column, row: Column) -> Column:
 
 
 def label_code(raw: Column) -> Column:
-    """ham is 0, spam is 1, anything else null."""
-    word = F.lower(F.trim(raw))
+    """ham is 0, spam is 1, whatever white space is around them; anything else null."""
+    word = F.lower(F.regexp_replace(raw, EDGE_SPACE, ""))
     return F.when(word == "ham", 0).when(word == "spam", 1)
 
 

@@ -6,7 +6,7 @@ so texts are not shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.functions.cleaning import UNICODE_SPACE, split_words
@@ -182,10 +182,33 @@ def invalid_examples(df: DataFrame, text: str, regex: str, order: str, n: int =
     return bad.orderBy(order).limit(n).select(order, _as_string(text).alias("value"))
 
 
+def top_duplicates(df: DataFrame, text: str, key: str, group: list[str], n: int = 5) -> DataFrame:
+    """(group, top_duplicates): the n most repeated texts of each group with their counts, by count
+    and then by first key.
+
+    Texts are counted by digest. The best of 64 slices per group are compared, so a group with many
+    repeated texts is not ranked in one task; only the texts that win are fetched.
+    """
+    digest = F.sha2(_as_string(text), 256)
+    counts = df.groupBy(*group, digest.alias("_d")).agg(F.count(F.lit(1)).alias("n_rows"), F.min(key).alias(key)).where("n_rows > 1")
+    order = [F.desc("n_rows"), key]
+    sliced = Window.partitionBy(*group, F.pmod(F.xxhash64("_d"), F.lit(64))).orderBy(*order)
+    best = counts.withColumn("_p", F.row_number().over(sliced)).where(F.col("_p") <= n)
+    best = best.withColumn("_p", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_p") <= n)
+    named = best.select(*group, key, "n_rows", "_p").join(df.select(*group, key, _as_string(text).alias("value")), [*group, key])
+    entry = F.struct(F.col("_p"), F.col("value"), F.col("n_rows"))
+    return named.groupBy(*group).agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["value"].alias("value"), e["n_rows"].alias("n_rows"))).alias("top_duplicates")
+    )
+
+
 def quality_report(
-    bronze_clean: DataFrame, gate: DataFrame, text: str = "body_clean", label: str = "label"
+    bronze_clean: DataFrame, gate: DataFrame, text: str = "body_clean", label: str = "label", key: str = "email_id"
 ) -> DataFrame:
-    """Gate counters plus nested metrics per month, in the shape the JSON report is written in."""
+    """Gate counters plus nested metrics per month, in the shape the JSON report is written in.
+
+    Pass rows that are cleaned and written once: they are read several times.
+    """
     month = ["month_partition"]
     families = {name: check(text) for name, check in CHECKS.items()}
     families["label_distribution"] = label_distribution(label)
@@ -197,11 +220,12 @@ def quality_report(
             F.struct(*[F.col(f"`{f}.{m}`").alias(m) for m in ms]).alias(f)
             for f, ms in families.items()
         ],
-        F.struct("n_unique", "unique_rate", "duplicate_rate").alias("uniqueness"),
+        F.struct("n_unique", "unique_rate", "duplicate_rate", "top_duplicates").alias("uniqueness"),
     ).alias("quality_metrics")
     flag = F.col("`label_distribution.drift_flag`").alias("drift_flag")
     return (
         gate.join(wide, month)
         .join(uniqueness(bronze_clean, text, month), month)
+        .join(top_duplicates(bronze_clean, text, key, month), month, "left")
         .select(*gate.columns, nested, flag)
     )

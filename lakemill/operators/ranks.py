@@ -14,8 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: The sketches of all tasks meet in one; with so many bounds each stays under a few hundred kB.
+MAX_RANGES = 1000
+
+
 def _range_count(df: DataFrame) -> int:
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return min(MAX_RANGES, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def add_ranges(df: DataFrame, order: str, n_ranges: int | None = None) -> DataFrame:

@@ -54,7 +54,12 @@ def silver(
     max_chars: int = MAX_CHARS,
 ) -> DataFrame:
     rows = truncated(featured(bronze.where(F.col("label").isNotNull()), keywords, marker), max_chars)
-    return rows.where(~too_short(min_chars)).select(*SILVER_COLUMNS)
+    return gated(rows, min_chars)
+
+
+def gated(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Silver rows of featured and truncated rows."""
+    return rows.where(F.col("label").isNotNull() & ~too_short(min_chars)).select(*SILVER_COLUMNS)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -66,7 +71,11 @@ def gate_counts(
     bronze: DataFrame, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS
 ) -> DataFrame:
     """Row counters per month; short and null-label rows may overlap, the total does not."""
-    rows = truncated(add_clean(bronze), max_chars)
+    return gate_counts_of(truncated(add_clean(bronze), max_chars), min_chars)
+
+
+def gate_counts_of(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The counters of rows that are cleaned and truncated already."""
     short, unlabelled = too_short(min_chars), F.col("label").isNull()
     return (
         rows.groupBy("month_partition")

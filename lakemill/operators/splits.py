@@ -100,6 +100,8 @@ def split(
 ) -> DataFrame:
     """Add `split`: the hold-out month is test, the rest is train and a stratified val share."""
     held = F.col("month_partition") == holdout
+    if df.where(~held).isEmpty():
+        raise ValueError(f"no month but {holdout}: a hold-out split needs at least two")
     cut = StratifiedCut.fit(df.where(~held), "email_id", "label", val_share, seed)
     return df.withColumn("split", F.when(held, "test").when(cut.picked(), "val").otherwise("train"))
 
@@ -121,7 +123,7 @@ def leaked_ids(df: DataFrame, key: str = "email_id") -> DataFrame:
 
 
 def split_summary(df: DataFrame) -> DataFrame:
-    """Rows, share of all rows, spam share and months per split."""
+    """Rows, share of all rows, spam share and the list of months per split."""
     everything = Window.partitionBy(F.lit(1))
     return (
         df.groupBy("split")
@@ -132,6 +134,7 @@ def split_summary(df: DataFrame) -> DataFrame:
             F.countDistinct("month_partition").alias("n_months"),
             F.min("month_partition").alias("first_month"),
             F.max("month_partition").alias("last_month"),
+            F.array_sort(F.collect_set("month_partition")).alias("months"),
         )
         # Three rows from here on.
         .withColumn("row_share", F.col("n_rows") / F.sum("n_rows").over(everything))

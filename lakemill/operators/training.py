@@ -132,6 +132,12 @@ class SpamModel:
         )
 
 
+def evaluate_months(model: SpamModel, rows: DataFrame, start: str, threshold: float | None = None) -> DataFrame:
+    """Metrics of a model on the silver months from `start` on, at its own threshold or at a given one."""
+    recent = model.score(rows.where(F.col("month_partition") >= start)).select(F.col("label").alias("y"), "p")
+    return evaluate(recent, F.lit(float(model.threshold if threshold is None else threshold)))
+
+
 @dataclass(frozen=True)
 class Candidate:
     name: str
@@ -186,9 +192,10 @@ class CalibratedSvm:
         tagged = train.withColumn("_fold", seeded_int(F.col(key), seed, 9) % folds)
         pairs = []
         for fold in range(folds):
+            rest = tagged.where(F.col("_fold") != fold)
             svc = LinearSVC(
-                maxIter=iterations, regParam=1.0 / tagged.count(), featuresCol="features", labelCol="label"
-            ).fit(tagged.where(F.col("_fold") != fold))
+                maxIter=iterations, regParam=1.0 / rest.count(), featuresCol="features", labelCol="label"
+            ).fit(rest)
             margins = cls._margin(svc, tagged.where(F.col("_fold") == fold))
             sigmoid = LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins)
             pairs.append((svc, sigmoid))
@@ -215,6 +222,7 @@ def cross_validated_f1(
     features: list[str] = BASELINE_FEATURES,
     folds: int = 5,
     trees: int = 100,
+    depth: int = 20,
     seed: int = SEED,
 ) -> DataFrame:
     """(model, mean_f1, std_f1) of logistic regression and a forest on the numeric features."""
@@ -231,7 +239,7 @@ def cross_validated_f1(
 
         for name, column in (("lr", "features"), ("rf", "raw")):
             x, y = (scaled(train), scaled(held)) if name == "lr" else (train, held)
-            model = estimator(name, train.count(), trees=trees, depth=10, seed=seed)
+            model = estimator(name, train.count(), trees=trees, depth=depth, seed=seed)
             model = model.setFeaturesCol(column).fit(x)
             out = confusion(scored(model, y).withColumn("y", F.col("label")), F.lit(0.5))
             out = out.withColumns(rates()).select(F.lit(name).alias("model"), "f1")

@@ -21,8 +21,9 @@ def silver_rows(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver(bronze_rows(spark, folder), keywords=KEYWORDS)
 
 
-def split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver, written once, with the latest month held out."""
-    rows = durable(silver_rows(spark, folder), "silver")
+def split_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Silver keys, labels and the named columns, written once, with the latest month held out."""
+    keep = dict.fromkeys(["email_id", "label", "month_partition", *columns])
+    rows = durable(silver_rows(spark, folder).select(*keep), "silver")
     holdout = rows.agg(F.max("month_partition")).first()[0]
     return splits.split(rows, holdout)

@@ -30,15 +30,21 @@ def month_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(twin(["mails"], """
-SELECT doc_id, variant AS raw_label, CASE lower(trim(variant)) WHEN 'ham' THEN 0 WHEN 'spam' THEN 1 END AS label
-FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN ' ' || upper(raw_label) || ' '
-                                     WHEN 1 THEN raw_label ELSE raw_label || '?' END AS variant FROM mails)"""))
+SELECT doc_id, variant AS raw_label, CASE WHEN starts_with(bare, 'ham') AND length(bare) = 3 THEN 0
+    WHEN starts_with(bare, 'spam') AND length(bare) = 4 THEN 1 END AS label
+FROM (SELECT *, translate(lower(variant), ' ' || chr(9) || chr(10) || chr(160) || chr(8195), '') AS bare
+  FROM (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN ' ' || upper(raw_label) || ' ' WHEN 1 THEN raw_label
+      WHEN 2 THEN raw_label || '?' WHEN 3 THEN raw_label || chr(9) WHEN 4 THEN chr(160) || raw_label || chr(10)
+      ELSE chr(8195) || raw_label END AS variant FROM mails))"""))
 def label_map(spark: SparkSession, folder: str) -> DataFrame:
-    raw, third = F.col("raw_label"), F.col("doc_id") % 3
+    raw, kind = F.col("raw_label"), F.col("doc_id") % 6
     variant = (
-        F.when(third == 0, F.concat(F.lit(" "), F.upper(raw), F.lit(" ")))
-        .when(third == 1, raw)
-        .otherwise(F.concat(raw, F.lit("?")))
+        F.when(kind == 0, F.concat(F.lit(" "), F.upper(raw), F.lit(" ")))
+        .when(kind == 1, raw)
+        .when(kind == 2, F.concat(raw, F.lit("?")))
+        .when(kind == 3, F.concat(raw, F.lit("\t")))
+        .when(kind == 4, F.concat(F.lit("\u00a0"), raw, F.lit("\n")))
+        .otherwise(F.concat(F.lit("\u2003"), raw))
     )
     rows = mails(spark, folder).select("doc_id", variant.alias("raw_label"))
     return rows.withColumn("label", ingest.label_code(F.col("raw_label")))

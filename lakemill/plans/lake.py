@@ -6,12 +6,12 @@ reports, vocabularies and single decision rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.functions.features import add_clean
 from lakemill.functions.fixed import (
     CANDIDATES,
     DRIFT_GATE,
@@ -56,18 +56,31 @@ def to_silver(spark: SparkSession, lake: Lake) -> list[str]:
     done = files.read_table(spark, lake.path("silver"))
     if done is not None:
         bronze = ingest.pending(bronze, done)
-    new = files.append_new_months(silver.stored(silver.silver(bronze)), lake.path("silver"))
+    # Texts are cleaned once; the table, the gate and the report all read what was written.
+    cleaned = durable(silver.truncated(silver.featured(bronze)).drop("body"), "cleaned")
+    new = files.append_new_months(silver.stored(silver.gated(cleaned)), lake.path("silver"))
     if new:
-        fresh = bronze.where(F.col("month_partition").isin(new))
-        checked = silver.truncated(add_clean(fresh))
-        report = quality.quality_report(checked, silver.gate_counts(fresh))
+        fresh = cleaned.where(F.col("month_partition").isin(new))
+        report = quality.quality_report(fresh, silver.gate_counts_of(fresh))
         files.write_reports(durable(report, "reports"), lake.path("quality"))
     return new
 
 
+#: What the gold job relies on in silver.
+CONTRACT = {
+    "email_id": "string", "body_clean": "string", "label": "tinyint", "month_partition": "string",
+    **dict.fromkeys(("log_chars", "avg_word_length", "unique_word_ratio"), "float"), "exclaim_count": "int",
+}
+
+
 def to_gold(spark: SparkSession, lake: Lake, month: str, **limits) -> tuple[DataFrame, Preparation]:
-    """Split months up to `month` (held out), fit features on train, replace the snapshot."""
+    """Split months up to `month` (held out), fit features on train, replace the snapshot whole.
+
+    Stops if silver breaks the contract or if a mail is in more than one split.
+    """
     rows = files.required(files.read_table(spark, lake.path("silver")), "silver")
+    if broken := files.check_contract(rows, CONTRACT):
+        raise ValueError(f"silver breaks its contract: {'; '.join(broken)}")
     known = files.months(rows, end=month)
     if month not in known:
         raise ValueError(f"silver has no month {month}")
@@ -76,15 +89,24 @@ def to_gold(spark: SparkSession, lake: Lake, month: str, **limits) -> tuple[Data
     # A stored month is a partition: this filter prunes files.
     selected = splits.select_features(rows.where(F.col("month_partition") <= month))
     parts = splits.split(selected, month)
+    if not splits.leaked_ids(parts.select("email_id", "split")).isEmpty():
+        raise ValueError(f"mails of snapshot {month} are in more than one split")
     preparation = Preparation.fit(parts.where(F.col("split") == "train"), **limits)
     keep = ["email_id", "label", "month_partition", *NUMERIC_FEATURES, "tfidf", "features", "split"]
-    gold = preparation.transform(parts).select(*keep).withColumn("snapshot", F.lit(month))
-    gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "snapshot", "split"
-    ).parquet(lake.path("gold"))
+    gold = preparation.transform(parts).select(*keep)
+    # The snapshot's folder is replaced as a whole: a split that is no longer there leaves nothing behind.
+    gold.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("split").parquet(
+        f"{lake.path('gold')}/snapshot={month}"
+    )
     stored = spark.read.parquet(lake.path("gold")).where(F.col("snapshot") == month)
     log = splits.split_summary(stored).withColumns(
-        {"snapshot": F.lit(month), "vocab_size": F.lit(len(preparation.terms.terms)), "built_at": F.current_timestamp()}
+        {
+            "snapshot": F.lit(month), "vocab_size": F.lit(len(preparation.terms.terms)), "built_at": F.current_timestamp(),
+            "scaler": F.array(*[
+                F.struct(F.lit(f).alias("feature"), F.lit(float(m)).alias("mean"), F.lit(float(s)).alias("scale"))
+                for f, m, s in zip(preparation.scaler.features, preparation.scaler.mean, preparation.scaler.scale)
+            ]),
+        }
     )
     log.write.mode("append").parquet(lake.path("gold_log"))
     return stored, preparation
@@ -94,23 +116,37 @@ def train(
     spark: SparkSession, lake: Lake, month: str, names: list[str] = CANDIDATES,
     target: float = TARGET_PRECISION, limits: dict | None = None, **sizes,
 ) -> SpamModel:
-    """Train candidates one after the other over one stored feature table; return the winner."""
+    """Train candidates one after the other over one stored feature table; return the winner.
+
+    Every candidate is saved with its model, so that a later run can promote it without training.
+    """
     gold, preparation = to_gold(spark, lake, month, **(limits or {}))
     n_train = gold.where(F.col("split") == "train").count()
-    trained = {name: train_one(name, gold, n_train, target, **sizes) for name in names}
-    table = spark.createDataFrame([c.row(month) for c in trained.values()])
+    rows = []
+    for name in names:
+        trained = train_one(name, gold, n_train, target, **sizes)
+        path = f"{lake.path('candidate_models')}/{month}-{name}-{uuid.uuid4().hex}"
+        SpamModel(name, preparation, trained.classifier, trained.threshold).save(spark, path)
+        rows.append(trained.row(month) | {"path": path})
+    table = durable(spark.createDataFrame(rows).withColumn("trained_at", F.current_timestamp()), "candidates")
     table.write.mode("append").parquet(lake.path("candidates"))
-    best = trained[evaluation.pick_winner(table).first()["name"]]
-    return SpamModel(best.name, preparation, best.classifier, best.threshold)
+    return SpamModel.load(spark, evaluation.pick_winner(table).first()["path"])
 
 
 def stored_winner(spark: SparkSession, lake: Lake, month: str) -> DataFrame:
-    """Winner among the stored candidate rows of one snapshot."""
+    """Winner among the stored candidates of one snapshot, the newest of each name."""
     rows = files.required(files.read_table(spark, lake.path("candidates")), "candidates")
     rows = rows.where(F.col("snapshot") == month)
     if rows.isEmpty():
         raise ValueError(f"no candidates for snapshot {month}")
-    return evaluation.pick_winner(rows)
+    newest = rows.groupBy("name").agg(F.max_by(F.struct(*rows.columns), "trained_at").alias("_r")).select("_r.*")
+    return evaluation.pick_winner(newest)
+
+
+def promote_stored(spark: SparkSession, lake: Lake, month: str, delta: float = 0.0) -> DataFrame:
+    """Compare the stored winner of a snapshot with the champion and promote it if it wins; no training."""
+    path = stored_winner(spark, lake, month).first()["path"]
+    return compare_and_promote(spark, lake, month, SpamModel.load(spark, path), delta)
 
 
 def drift_report(
@@ -143,6 +179,16 @@ def registry(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame([], REGISTRY) if rows is None else rows
 
 
+def register(spark: SparkSession, lake: Lake, month: str, model: SpamModel) -> int:
+    """Save a model under the next version; it is the champion from then on."""
+    version = evaluation.next_version(registry(spark, lake)).first()["version"]
+    path = f"{lake.path('models')}/v{version}"
+    model.save(spark, path)
+    row = [(version, month, model.name, path, float(model.threshold))]
+    spark.createDataFrame(row, REGISTRY).write.mode("append").parquet(lake.path("registry"))
+    return version
+
+
 def champion(spark: SparkSession, lake: Lake) -> tuple[SpamModel, float] | None:
     """The model of the latest promoted row, with its threshold; None before the first."""
     row = registry(spark, lake).orderBy(F.desc("version")).first()
@@ -150,7 +196,7 @@ def champion(spark: SparkSession, lake: Lake) -> tuple[SpamModel, float] | None:
 
 
 def compare_and_promote(
-    spark: SparkSession, lake: Lake, month: str, challenger: SpamModel, delta: float = 0.0
+    spark: SparkSession, lake: Lake, month: str, challenger: SpamModel, delta: float = 0.0, drift_score: float | None = None,
 ) -> DataFrame:
     """Score champion and challenger on the held-out month, each with its own vocabulary.
 
@@ -177,13 +223,18 @@ def compare_and_promote(
         "decision",
     )
     if decision.first()["promoted"]:
-        version = evaluation.next_version(registry(spark, lake)).first()["version"]
-        path = f"{lake.path('models')}/v{version}"
-        challenger.save(spark, path)
-        row = [(version, month, challenger.name, path, float(challenger.threshold))]
-        spark.createDataFrame(row, REGISTRY).write.mode("append").parquet(lake.path("registry"))
-    decision.withColumn("decided_at", F.current_timestamp()).write.mode("append").parquet(lake.path("decisions"))
-    return decision
+        register(spark, lake, month, challenger)
+    return _recorded(lake, decision, drift_score)
+
+
+def _recorded(lake: Lake, decision: DataFrame, drift_score: float | None) -> DataFrame:
+    """Append a decision to the one table of decisions, skipped runs included."""
+    row = decision.select(
+        "month", F.col("challenger_f1").cast("double"), F.col("champion_f1").cast("double"), "promoted", "reason",
+        F.lit(drift_score).cast("double").alias("drift_score"),
+    )
+    row.withColumn("decided_at", F.current_timestamp()).write.mode("append").parquet(lake.path("decisions"))
+    return row
 
 
 def monthly_run(
@@ -195,16 +246,14 @@ def monthly_run(
     to_silver(spark, lake)
     report = drift.retrain_gate(drift_report(spark, lake, month, ref_start, ref_end), gate).first()
     if report["retrain"]:
-        decision = compare_and_promote(
-            spark, lake, month, train(spark, lake, month, names, limits=limits, **sizes), delta
-        )
-        return decision.select("month", "promoted", "reason").withColumn("drift_score", F.lit(report["drift_score"]))
+        challenger = train(spark, lake, month, names, limits=limits, **sizes)
+        decision = compare_and_promote(spark, lake, month, challenger, delta, float(report["drift_score"]))
+        return decision.select("month", "promoted", "reason", "drift_score")
     skipped = spark.createDataFrame(
-        [(month, False, "drift below threshold, training skipped", float(report["drift_score"]))],
-        "month string, promoted boolean, reason string, drift_score double",
+        [(month, None, None, False, "drift below threshold, training skipped")],
+        "month string, challenger_f1 double, champion_f1 double, promoted boolean, reason string",
     )
-    skipped.withColumn("decided_at", F.current_timestamp()).write.mode("append").parquet(lake.path("skipped"))
-    return skipped
+    return _recorded(lake, skipped, float(report["drift_score"])).select("month", "promoted", "reason", "drift_score")
 
 
 def first_load(

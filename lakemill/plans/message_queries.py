@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions import cleaning, features
+from lakemill.functions.fixed import DOMAIN_STOP_WORDS, STOP_WORDS
 from lakemill.functions.messages import header, input_text
 from lakemill.operators import messages
 from lakemill.plans.catalog import query
@@ -14,21 +15,29 @@ from lakemill.sources.tables import table, text_table
 
 # The mailbox: conversation turns as messages, with a subject, a time and a score by rule.
 part("inbox", [], """
-SELECT conv_id || '-' || turn AS message_id,
-  CASE conv_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE role || ' of ' || conv_id END AS subject,
-  CASE (conv_id * 7 + turn) % 9 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN '!! ?' ELSE text END AS body, left(text, 240) AS snippet,
-  TIMESTAMP '2025-03-01' + to_minutes(conv_id * 90 + turn) AS ts, ((conv_id * 13 + turn * 5) % 41) / 40.0::DOUBLE AS p FROM conversations""")
+SELECT message_id, CASE conv_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE role || ' of ' || conv_id END AS subject, body,
+  left(text, 240) AS snippet, TIMESTAMP '2025-03-01' + to_minutes(conv_id * 90 + turn) AS ts,
+  ((conv_id * 13 + turn * 5) % 41) / 40.0::DOUBLE AS p
+FROM (SELECT *, conv_id || '-' || turn AS message_id, text AS body FROM conversations
+  UNION ALL SELECT *, conv_id || '-' || turn || '-gap', CASE (conv_id * 7 + turn) % 9 WHEN 1 THEN '  ' WHEN 2 THEN '!! ?' END
+    FROM conversations WHERE (conv_id * 7 + turn) % 9 < 3)""")
 
 
 def inbox(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn as a message, and beside some of them a message without a usable body."""
     conv, turn = F.col("conv_id"), F.col("turn")
     kind = (conv * 7 + turn) % 9
-    return text_table(spark, folder, "conversations", "conv_id").select(
-        F.concat_ws("-", conv, turn).alias("message_id"),
+    gap = F.when(kind == 1, "  ").when(kind == 2, "!! ?")
+    name = F.concat_ws("-", conv, turn)
+    given = F.struct(name.alias("message_id"), F.col("text").alias("body"))
+    planted = F.struct(F.concat(name, F.lit("-gap")).alias("message_id"), gap.alias("body"))
+    rows = text_table(spark, folder, "conversations", "conv_id")
+    rows = rows.select("*", F.inline(F.when(kind < 3, F.array(given, planted)).otherwise(F.array(given))))
+    return rows.select(
+        "message_id",
         F.when(conv % 5 == 0, F.lit(None)).when(conv % 5 == 1, "").otherwise(
             F.concat("role", F.lit(" of "), conv.cast("string"))).alias("subject"),
-        F.when(kind == 0, F.lit(None)).when(kind == 1, "  ").when(kind == 2, "!! ?").otherwise(
-            F.col("text")).alias("body"),
+        "body",
         F.left("text", F.lit(240)).alias("snippet"),
         (F.lit("2025-03-01").cast("timestamp_ntz") + F.make_dt_interval(mins=(conv * 90 + turn).cast("int"))).alias("ts"),
         (((conv * 13 + turn * 5) % 41) / F.lit(40.0)).alias("p"),
@@ -114,11 +123,13 @@ def recent_feed(spark: SparkSession, folder: str) -> DataFrame:
     return messages.recent_feed(log_rows(spark, folder))
 
 
-# Multi-part messages: pages as html parts, documents as plain parts, gaps and damage by rule.
+# Multi-part messages: pages as html parts, documents as plain parts; empty and damaged parts in messages beside them.
 part("mime_parts", [], """
 SELECT 'm' || page_id AS message_id, 2 AS part_no, 'text/html' AS mime,
-  CASE page_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '%%%' ELSE translate(to_base64(encode(html)), '+/', '-_') END AS data FROM pages
-UNION ALL SELECT 'm' || doc_id, 3, 'text/plain', CASE doc_id % 3 WHEN 0 THEN '' ELSE translate(to_base64(encode(text)), '+/', '-_') END FROM documents
+  translate(to_base64(encode(html)), '+/', '-_') AS data FROM pages
+UNION ALL SELECT 'g' || page_id, 2, 'text/html', CASE page_id % 7 WHEN 1 THEN '%%%' END FROM pages WHERE page_id % 7 < 2
+UNION ALL SELECT 'm' || doc_id, 3, 'text/plain', translate(to_base64(encode(text)), '+/', '-_') FROM documents
+UNION ALL SELECT 'g' || doc_id, 3, 'text/plain', '' FROM documents WHERE doc_id % 3 = 0
 UNION ALL SELECT 'm' || doc_id, 1, 'text/plain', CASE WHEN doc_id % 5 = 0 THEN translate(to_base64(encode(source)), '+/', '-_') END FROM documents
 UNION ALL SELECT 'm' || doc_id, 0, 'multipart/mixed', CASE WHEN doc_id % 11 = 0 THEN translate(to_base64(encode(lang)), '+/', '-_') END FROM documents""")
 part("mime_text", ["mime_parts"], """
@@ -130,16 +141,17 @@ def mime_parts(spark: SparkSession, folder: str) -> DataFrame:
     def coded(text: str) -> F.Column:
         return F.translate(F.base64(F.col(text).cast("binary")), "+/", "-_")
 
-    def parts(rows: DataFrame, key: str, no: int, mime: str, data) -> DataFrame:
-        return rows.select(F.concat(F.lit("m"), F.col(key).cast("string")).alias("message_id"), F.lit(no).alias("part_no"),
+    def parts(rows: DataFrame, key: str, no: int, mime: str, data, kind: str = "m") -> DataFrame:
+        return rows.select(F.concat(F.lit(kind), F.col(key).cast("string")).alias("message_id"), F.lit(no).alias("part_no"),
                            F.lit(mime).alias("mime"), data.alias("data"))
 
     pages, docs = (text_table(spark, folder, n, k) for n, k in (("pages", "page_id"), ("documents", "doc_id")))
     page, doc = F.col("page_id"), F.col("doc_id")
     return (
-        parts(pages, "page_id", 2, "text/html",
-              F.when(page % 7 == 0, F.lit(None)).when(page % 7 == 1, "%%%").otherwise(coded("html")))
-        .unionByName(parts(docs, "doc_id", 3, "text/plain", F.when(doc % 3 == 0, "").otherwise(coded("text"))))
+        parts(pages, "page_id", 2, "text/html", coded("html"))
+        .unionByName(parts(pages.where(page % 7 < 2), "page_id", 2, "text/html", F.when(page % 7 == 1, "%%%"), "g"))
+        .unionByName(parts(docs, "doc_id", 3, "text/plain", coded("text")))
+        .unionByName(parts(docs.where(doc % 3 == 0), "doc_id", 3, "text/plain", F.lit(""), "g"))
         .unionByName(parts(docs, "doc_id", 1, "text/plain", F.when(doc % 5 == 0, coded("source"))))
         .unionByName(parts(docs, "doc_id", 0, "multipart/mixed", F.when(doc % 11 == 0, coded("lang"))))
     )
@@ -153,8 +165,7 @@ def body_from_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT conv_id || '-' || turn AS message_id, CASE turn % 4 WHEN 0 THEN role WHEN 1 THEN text WHEN 2 THEN '' ELSE 'second' END AS subject
-FROM conversations""")
+SELECT conv_id || '-' || turn AS message_id, CASE turn % 4 WHEN 2 THEN '' ELSE text END AS subject FROM conversations""")
 def header_lookup(spark: SparkSession, folder: str) -> DataFrame:
     turn = F.col("turn") % 4
 
@@ -163,10 +174,10 @@ def header_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
     sender = pair("From", F.col("role"))
     headers = (
-        F.when(turn == 0, F.array(sender, pair("SUBJECT", F.col("role"))))
+        F.when(turn == 0, F.array(sender, pair("SUBJECT", F.col("text"))))
         .when(turn == 1, F.array(pair("subject", F.col("text")), sender))
         .when(turn == 2, F.array(sender))
-        .otherwise(F.array(pair("Subject", F.lit("first")), pair("sUbJeCt", F.lit("second"))))
+        .otherwise(F.array(pair("Subject", F.lit("first")), pair("sUbJeCt", F.col("text"))))
     )
     rows = table(spark, folder, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("message_id"), headers.alias("headers")
@@ -202,8 +213,7 @@ def strip_sql(text: str) -> str:
   'http[^{UNICODE_SPACE}]+|www\\.[^{UNICODE_SPACE}]+', '', 'g'), '[^a-zA-Z{UNICODE_SPACE}]', '', 'g'), '[{UNICODE_SPACE}]+', ' ', 'g'))"""
 
 
-STOPS = ["the", "and", "that", "for", "with", "les", "der", "die"]
-STOP_LIST = ", ".join(f"'{w}'" for w in [*STOPS, "click", "here", "free", "offer", "limited"])
+STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in [*STOP_WORDS, *DOMAIN_STOP_WORDS])
 
 part("stripped", [], f"SELECT doc_id, text, list_filter(string_split(lower({strip_sql('text')}), ' '), lambda w: w <> '') AS text_tokens FROM documents")
 part("stopped", ["stripped"], f"""
@@ -222,7 +232,7 @@ def strip_markup(spark: SparkSession, folder: str) -> DataFrame:
 
 def stopped_rows(spark: SparkSession, folder: str) -> DataFrame:
     docs = text_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
-    return features.add_stopword_filter(docs, "text", STOPS)
+    return features.add_stopword_filter(docs, "text", STOP_WORDS)
 
 
 @query(twin(["stopped"], "SELECT doc_id, removed::INTEGER AS n_stopwords_removed, text_processed FROM stopped"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.operators import evaluation, silver, training
+from lakemill.functions.fixed import BASELINE_FEATURES, NUMERIC_FEATURES
+from lakemill.operators import evaluation, ingest, silver, training
 from lakemill.operators.messages import prepared
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.plans import lake as jobs
@@ -18,15 +19,11 @@ from lakemill.sources import files
 from lakemill.sources.tables import mails, table
 from lakemill.streaming import feed
 
-# Sizes for the registered runs; the defaults of the library are those of the full job.
-SIZES = {"trees": 20, "depth": 8, "rounds": 5}
-LIMITS = {"max_terms": 500}
-
 
 def gold_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, Preparation, int]:
-    rows = split_rows(spark, folder)
+    rows = split_rows(spark, folder, "body_clean", *NUMERIC_FEATURES)
     train = rows.where(F.col("split") == "train")
-    preparation = Preparation.fit(train, **LIMITS)
+    preparation = Preparation.fit(train)
     gold = durable(
         preparation.transform(rows).select("email_id", "label", "split", "tfidf", "features"), "gold", "split"
     )
@@ -38,7 +35,7 @@ def _register_training() -> None:
         def run(spark: SparkSession, folder: str, name=name) -> DataFrame:
             """Candidate row: threshold on val, metrics on val and test."""
             gold, _, n_train = gold_rows(spark, folder)
-            row = train_one(name, gold, n_train, 0.5, **SIZES).row("latest")
+            row = train_one(name, gold, n_train).row("latest")
             return spark.createDataFrame([row])
 
         query(name=f"train_{'gbt' if name == 'xgb' else name}")(run)
@@ -50,19 +47,21 @@ _register_training()
 @query()
 def train_svm(spark: SparkSession, folder: str) -> DataFrame:
     gold, _, _ = gold_rows(spark, folder)
-    model = training.CalibratedSvm.fit(gold.where(F.col("split") == "train"), "email_id", iterations=10)
+    model = training.CalibratedSvm.fit(gold.where(F.col("split") == "train"), "email_id")
     rows = model.score(gold.where(F.col("split") != "train")).select("split", F.col("label").alias("y"), "p")
     return evaluation.evaluate(rows, F.lit(0.5), ["split"])
 
 
 @query()
 def cv_f1(spark: SparkSession, folder: str) -> DataFrame:
-    return training.cross_validated_f1(durable(silver_rows(spark, folder), "silver"), trees=20)
+    return training.cross_validated_f1(
+        durable(silver_rows(spark, folder).select("email_id", "label", *BASELINE_FEATURES), "baseline")
+    )
 
 
 def spam_model(spark: SparkSession, folder: str) -> SpamModel:
     gold, preparation, n_train = gold_rows(spark, folder)
-    best = train_one("lr", gold, n_train, 0.5)
+    best = train_one("lr", gold, n_train)
     return SpamModel("lr", preparation, best.classifier, best.threshold)
 
 
@@ -74,8 +73,7 @@ def evaluate_saved(spark: SparkSession, folder: str) -> DataFrame:
     model = SpamModel.load(spark, path)
     rows = durable(silver_rows(spark, folder), "silver")
     start = files.months(rows)[-1]
-    scored = model.score(rows.where(F.col("month_partition") >= start)).select(F.col("label").alias("y"), "p")
-    return evaluation.evaluate(scored, F.lit(model.threshold))
+    return training.evaluate_months(model, rows, start)
 
 
 @query()
@@ -87,7 +85,7 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
 def shadow_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Champion and challenger side by side on every message."""
     gold, preparation, n_train = gold_rows(spark, folder)
-    pair = {n: train_one(n, gold, n_train, 0.5) for n in ("lr", "nb")}
+    pair = {n: train_one(n, gold, n_train) for n in ("lr", "nb")}
     rows = preparation.transform(prepared(inbox(spark, folder)))
     champion = training.scored(pair["lr"].classifier, rows).withColumnRenamed("p", "champion_p")
     both = training.scored(pair["nb"].classifier, champion).withColumnRenamed("p", "challenger_p")
@@ -96,32 +94,33 @@ def shadow_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def monthly_loop(spark: SparkSession, folder: str) -> DataFrame:
-    """Bronze, silver, first champion, then one monthly run with an open gate."""
-    lake = jobs.Lake(new_path(spark, "lake"))
+    """Bronze, silver, first champion, then one monthly run with an open gate and all candidates."""
+    return _monthly_loop(spark, folder, jobs.Lake(new_path(spark, "lake")))
+
+
+def _monthly_loop(spark: SparkSession, folder: str, lake: jobs.Lake) -> DataFrame:
     jobs.to_bronze(mails(spark, folder), lake, "doc_id", PERIOD_ROWS)
     jobs.to_silver(spark, lake)
     known = files.months(files.read_table(spark, lake.path("silver")))
-    small = {"names": ["lr", "nb"], "limits": LIMITS}
-    if len(known) > 2:
-        jobs.first_load(spark, lake, known[-2], **small)
-    return jobs.monthly_run(spark, lake, known[-1], known[0], known[-2], gate=0.0, **small)
+    jobs.first_load(spark, lake, known[-1])
+    return jobs.monthly_run(spark, lake, known[-1], known[0], known[-2], gate=0.0)
 
 
-@query(twin(["bronze"], """
-SELECT month_partition, count(*) AS n_rows, count(raw_label) AS n_labelled, sum(length(body))::BIGINT AS n_chars
-FROM bronze GROUP BY month_partition"""))
+@query(twin(["bronze"], "SELECT month_partition, body, raw_label FROM bronze"))
 def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly raw CSV files written and read back through the header normalisation."""
+    """Monthly raw CSV files of two header layouts written and read back row by row."""
     path = new_path(spark, "csv")
-    rows = bronze_rows(spark, folder).select(
-        F.col("body").alias(" Text "), F.col("raw_label").alias("LABEL"), "month_partition"
+    rows = bronze_rows(spark, folder).select("body", "raw_label", "month_partition")
+    even = F.substring("month_partition", 6, 2).cast("int") % 2 == 0
+    files.write_csv(
+        rows.where(even).select(F.col("body").alias(" Text "), F.col("raw_label").alias("LABEL"), "month_partition"),
+        path, "month_partition",
     )
-    files.write_csv(rows, path, "month_partition")
-    return files.read_monthly_csv(spark, path).groupBy("month_partition").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("raw_label").alias("n_labelled"),
-        F.sum(F.length("body")).alias("n_chars"),
+    files.write_csv(
+        rows.where(~even).select(F.col("raw_label").alias("Category"), F.col("body").alias("MESSAGE "), "month_partition"),
+        path, "month_partition", mode="append",
     )
+    return files.read_monthly_csv(spark, path)
 
 
 @query(twin(["silver"], "SELECT month_partition, count(*) AS n_rows, sum(char_count)::BIGINT AS n_chars FROM silver GROUP BY month_partition"))
@@ -137,9 +136,21 @@ def silver_store(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _event_feed(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    return feed.file_feed(spark, folder, schema, "events.parquet")
+PORTIONS = 3
+
+
+def _replayed(spark: SparkSession, folder: str, start) -> None:
+    """Let the events arrive in time order, in several portions; the stream stops after each one and
+    goes on from its checkpoint. `start` gets the feed and starts the query."""
+    events = table(spark, folder, "events")
+    arrived = new_path(spark, "arrived")
+    at = F.col("ts").cast("timestamp").cast("double")
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    portion = F.least(F.floor((at - F.lit(first)) / F.lit(max(1.0, last - first)) * PORTIONS), F.lit(PORTIONS - 1))
+    for k in range(PORTIONS):
+        # Empty portions arrive as well: an empty file.
+        events.where(portion == k).write.mode("append").parquet(arrived)
+        start(feed.file_feed(spark, arrived, events.schema)).awaitTermination()
 
 
 EVENT_LOG = "CASE WHEN event_type = 'error' THEN 'spam' ELSE 'not_spam' END"
@@ -152,8 +163,13 @@ def stream_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tumbling-day counts of the event feed, kept current by updates."""
     out = new_path(spark, "daily")
     verdicts = F.when(F.col("event_type") == "error", "spam").otherwise("not_spam")
-    log = _event_feed(spark, folder).select(F.col("ts").cast("timestamp").alias("timestamp"), verdicts.alias("prediction"))
-    feed.updates_to(feed.daily_counts(log), f"{out}/rows", f"{out}/checkpoint", once=True).awaitTermination()
+
+    def start(rows: DataFrame):
+        log = rows.select(F.col("ts").cast("timestamp").alias("timestamp"), verdicts.alias("prediction"))
+        return feed.updates_to(feed.daily_counts(log), f"{out}/rows", f"{out}/checkpoint", once=True)
+
+    _replayed(spark, folder, start)
+    feed.compact_updates(spark, f"{out}/rows", "day")
     return feed.latest_updates(spark, f"{out}/rows", "day")
 
 
@@ -161,12 +177,16 @@ def stream_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Message ids of the event feed after de-duplication within a watermark longer than the feed."""
     out = new_path(spark, "dedupe")
-    ids = _event_feed(spark, folder).select(
-        F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("message_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
-    )
-    unique = feed.deduplicated(ids, late="60 days").select("message_id")
-    feed.append_to(unique, f"{out}/rows", f"{out}/checkpoint", once=True).awaitTermination()
+
+    def start(rows: DataFrame):
+        ids = rows.select(
+            F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("message_id"),
+            F.col("ts").cast("timestamp").alias("ts"),
+        )
+        unique = feed.deduplicated(ids, late="60 days").select("message_id")
+        return feed.append_to(unique, f"{out}/rows", f"{out}/checkpoint", once=True)
+
+    _replayed(spark, folder, start)
     return spark.read.schema("message_id string").parquet(f"{out}/rows")
 
 
@@ -178,22 +198,139 @@ SELECT event_id, event_type, ts FROM events WHERE ts > TIMESTAMP '2024-01-20'"""
 def stream_since(spark: SparkSession, folder: str) -> DataFrame:
     """The feed from its start time on: earlier messages are not backfilled."""
     out = new_path(spark, "since")
-    rows = feed.since(_event_feed(spark, folder), "2024-01-20").select("event_id", "event_type")
-    feed.append_to(rows, f"{out}/rows", f"{out}/checkpoint", once=True).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{out}/rows")
+
+    def start(rows: DataFrame):
+        later = feed.since(rows, "2024-01-20").select("event_id", "event_type")
+        return feed.append_to(later, f"{out}/rows", f"{out}/checkpoint", once=True)
+
+    _replayed(spark, folder, start)
+    return spark.read.schema("event_id long, event_type string").parquet(f"{out}/rows")
 
 
 @query()
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """The mailbox scored as a stream; every batch asks for the current model."""
+    """The mailbox, and messages without a time beside it, scored as a stream in three runs; every
+    batch asks the registry for the current model, which is replaced after the first run."""
     out = new_path(spark, "scored")
-    path = new_path(spark, "model")
-    spam_model(spark, folder).save(spark, path)
+    lake = jobs.Lake(new_path(spark, "lake"))
     arrived = f"{out}/arrived"
     rows = inbox(spark, folder)
-    rows.write.parquet(arrived)
-    stream = feed.file_feed(spark, arrived, rows.schema)
-    feed.refreshed_log(
-        stream, lambda s: SpamModel.load(s, path), f"{out}/rows", f"{out}/checkpoint", once=True
-    ).awaitTermination()
+    timeless = rows.where(F.col("message_id").endswith("-0")).select(
+        F.concat("message_id", F.lit("-untimed")).alias("message_id"), "subject", "body", "snippet",
+        F.lit(None).cast("timestamp_ntz").alias("ts"), "p",
+    )
+    rows = rows.unionByName(timeless)
+    gold, preparation, n_train = gold_rows(spark, folder)
+    for k, name in enumerate(("lr", "nb", None)):
+        if name:
+            best = train_one(name, gold, n_train)
+            jobs.register(spark, lake, f"run-{k}", SpamModel(name, preparation, best.classifier, best.threshold))
+        rows.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == k).write.mode("append").parquet(arrived)
+        feed.refreshed_log(
+            feed.file_feed(spark, arrived, rows.schema), lambda s: jobs.champion(s, lake)[0], f"{out}/rows",
+            f"{out}/checkpoint", once=True,
+        ).awaitTermination()
     return spark.read.parquet(f"{out}/rows").drop("batch")
+
+
+@query(twin(["kept_inputs"], """
+SELECT count(*) + count(*) FILTER (ends_with(message_id, '-0')) AS n_rows, count(*) FILTER (ends_with(message_id, '-0')) AS n_errors,
+  count(DISTINCT message_id) + count(*) FILTER (ends_with(message_id, '-0')) AS n_ids, true AS probabilities_hold FROM kept_inputs"""))
+def stream_score_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of the scored stream whatever the model: every usable message once, errors where planted."""
+    p = F.col("spam_probability").cast("double")
+    return stream_score(spark, folder).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("applied_label") == "ERROR").alias("n_errors"),
+        F.countDistinct("message_id").alias("n_ids"), F.bool_and(p.between(0, 1)).alias("probabilities_hold"),
+    )
+
+
+SPLIT_COUNTS = """
+SELECT name, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val,
+  count(*) FILTER (split = 'test') AS n_test, count(*) FILTER (split = 'test' AND label = 1) AS test_spam, true AS rates_hold
+FROM split_rows, (SELECT unnest([{names}]) AS name) GROUP BY name"""
+
+
+@query(twin(["split_rows"], SPLIT_COUNTS.format(names="'lr', 'nb', 'rf', 'xgb'")))
+def candidate_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of every trained candidate whatever its weights: split sizes, the spam of the
+    confusion counts, rates between 0 and 1, and a threshold at which the label follows the score."""
+    gold, _, n_train = gold_rows(spark, folder)
+    sizes = gold.groupBy("split").count().collect()
+    n = {r["split"]: r["count"] for r in sizes}
+    rows = []
+    for name in training.MODEL_CLASSES:
+        best = train_one(name, gold, n_train)
+        threshold = best.threshold
+        scored = training.scored(best.classifier, gold.where(F.col("split") == "test"))
+        scored = durable(scored.select(F.col("label").alias("y"), "p"), "scored")
+        m = evaluation.evaluate(scored, F.lit(float(threshold))).first().asDict()
+        held = all(0 <= m[k] <= 1 for k in ("precision", "recall", "f1", "accuracy", "average_precision"))
+        held = held and 0 <= threshold <= 1 and scored.where(~F.col("p").between(0, 1)).isEmpty()
+        rows.append((name, n["train"], n["val"], n["test"], m["tp"] + m["fn"], held))
+    return spark.createDataFrame(rows, "name string, n_train long, n_val long, n_test long, test_spam long, rates_hold boolean")
+
+
+@query(twin(["weights", "split_rows"], f"""
+SELECT s.email_id, s.split, count(w.idx) AS n_terms, round(coalesce(sqrt(sum(w.weight * w.weight)), 0), 6) AS norm, {", ".join(
+    f"any_value(round(({c} - (SELECT avg({c}) FROM split_rows WHERE split = 'train'))"
+    f" / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0::DOUBLE ELSE stddev_pop({c}) END FROM split_rows WHERE split = 'train'), 6)) AS {c}"
+    for c in NUMERIC_FEATURES)}
+FROM split_rows s LEFT JOIN weights w USING (email_id) GROUP BY s.email_id, s.split"""))
+def gold_vector_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The gold vectors taken apart: number and norm of the term weights, and the scaled tail."""
+    gold, preparation, _ = gold_rows(spark, folder)
+    width = len(preparation.terms.terms)
+    v = F.unwrap_udt("features")
+    # Vectors are stored dense or sparse; both are read by place.
+    places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    cells = F.arrays_zip(places.alias("i"), v["values"].alias("w"))
+    terms = F.filter(cells, lambda c: (c["i"] < width) & (c["w"] != 0))
+
+    def tail(k: int) -> F.Column:
+        own = F.filter("_cells", lambda c: c["i"] == width + k)
+        return F.round(F.coalesce(F.try_element_at(own, F.lit(1))["w"], F.lit(0.0)), 6)
+
+    rows = gold.select("email_id", "split", terms.alias("_terms"), cells.alias("_cells"))
+    norm = F.sqrt(F.aggregate("_terms", F.lit(0.0), lambda a, c: a + c["w"] * c["w"]))
+    return rows.select(
+        "email_id", "split", F.size("_terms").cast("long").alias("n_terms"), F.round(norm, 6).alias("norm"),
+        *[tail(k).alias(c) for k, c in enumerate(NUMERIC_FEATURES)],
+    )
+
+
+@query(twin(["silver"], """
+SELECT max(month_partition) AS month, false AS skipped, (SELECT count(DISTINCT month_partition) FROM silver) AS n_months,
+  8::BIGINT AS n_candidates, 2::BIGINT AS n_decisions, true AS registry_holds FROM silver"""))
+def monthly_loop_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of the monthly loop whatever the models: candidates stored, decisions recorded, and a
+    registry whose versions count up from one, the last one the champion's."""
+    lake = jobs.Lake(new_path(spark, "lake"))
+    decision = _monthly_loop(spark, folder, lake)
+    versions = [r["version"] for r in jobs.registry(spark, lake).orderBy("version").collect()]
+    decisions = spark.read.parquet(lake.path("decisions"))
+    promoted = decisions.where("promoted").count()
+    following = evaluation.next_version(jobs.registry(spark, lake)).first()["version"]
+    held = versions == list(range(1, promoted + 1)) and following == promoted + 1 and jobs.champion(spark, lake) is not None
+    known = files.months(files.read_table(spark, lake.path("silver")))
+    return decision.select(
+        "month", F.contains("reason", F.lit("skipped")).alias("skipped"), F.lit(len(known)).cast("long").alias("n_months"),
+        F.lit(spark.read.parquet(lake.path("candidates")).count()).cast("long").alias("n_candidates"),
+        F.lit(decisions.count()).cast("long").alias("n_decisions"), F.lit(held).alias("registry_holds"),
+    )
+
+
+@query(twin(["silver"], """
+SELECT count(*) AS n_rows, count(*) FILTER (label = 1 AND month_partition >= (SELECT max(month_partition) FROM silver)) AS n_spam,
+  true AS marked_only_spam, 0::BIGINT AS n_broken FROM silver"""))
+def marker_and_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """A marker put into all spam from the last month on, as a planted drift, and the silver contract."""
+    rows = durable(silver.stored(silver_rows(spark, folder)).select(*jobs.CONTRACT), "silver")
+    last = files.months(rows)[-1]
+    marked = ingest.inject_marker(rows.withColumn("body", F.col("body_clean")), "plantedtoken", last, rate=1.0)
+    hit = F.contains("body", F.lit("plantedtoken"))
+    return marked.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(hit).alias("n_spam"),
+        F.bool_and(~hit | ((F.col("label") == 1) & (F.col("month_partition") >= last))).alias("marked_only_spam"),
+        F.lit(len(files.check_contract(rows, jobs.CONTRACT))).cast("long").alias("n_broken"),
+    )

@@ -14,32 +14,40 @@ from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, silver_rows
 from lakemill.plans.ingest_queries import marked_mails
 from lakemill.plans.twins import PERIOD_ROWS, UNICODE_SPACE, even, part, twin
+from lakemill.session import durable
 from lakemill.sources.tables import mail_keys, mails, table
 
-# Raw texts with planted gaps, so that every rate is exercised.
+# Raw texts, and beside some of them rows with gaps, so that every rate is exercised.
 part("gappy", ["bronze"], """
-SELECT doc_id, email_id, month_partition, label, CASE doc_id % 23
-  WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN 'Unknown' WHEN 4 THEN '12345'
-  WHEN 5 THEN 'x' WHEN 6 THEN ' ' || body WHEN 7 THEN 'n/a' ELSE body END AS txt FROM bronze""")
+SELECT doc_id, email_id, month_partition, label, body AS txt FROM bronze
+UNION ALL SELECT doc_id, email_id || '-gap', month_partition, label, CASE doc_id % 23
+  WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN 'Unknown' WHEN 4 THEN '12345' WHEN 5 THEN 'x' WHEN 6 THEN ' ' || body
+  WHEN 7 THEN 'n/a' END FROM bronze WHERE doc_id % 23 < 8""")
 part("words", ["gappy"], "SELECT *, coalesce(txt, 'None') AS s FROM gappy")
 
 
 def gappy_rows(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("doc_id") % 23
     text = (
-        F.when(kind == 0, F.lit(None).cast("string"))
-        .when(kind == 1, "")
+        F.when(kind == 1, "")
         .when(kind == 2, "   ")
         .when(kind == 3, "Unknown")
         .when(kind == 4, "12345")
         .when(kind == 5, "x")
         .when(kind == 6, F.concat(F.lit(" "), "body"))
         .when(kind == 7, "n/a")
-        .otherwise(F.col("body"))
     )
-    planted = mails(spark, folder).withColumn("body", text)
-    rows = ingest.bronze(planted, rows_per_period=PERIOD_ROWS, keys=mail_keys(spark, folder))
-    return rows.select("email_id", "month_partition", "label", F.col("body").alias("txt"))
+    given = mails(spark, folder)
+    planted = given.where(kind < 8).withColumn("body", text)
+    keys = mail_keys(spark, folder)
+    rows = [ingest.bronze(part, rows_per_period=PERIOD_ROWS, keys=keys) for part in (given, planted)]
+    rows[1] = rows[1].withColumn("email_id", F.concat("email_id", F.lit("-gap")))
+    return rows[0].unionByName(rows[1]).select("email_id", "month_partition", "label", F.col("body").alias("txt"))
+
+
+def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Label and numeric features, worked out once; profiles read them several times."""
+    return durable(silver_rows(spark, folder).select("label", *PROFILE_FEATURES), "profiled")
 
 
 def rate(condition: str, digits: int = 4) -> str:
@@ -141,6 +149,18 @@ def dq_approx_unique(spark: SparkSession, folder: str) -> DataFrame:
     return quality.approx_unique(gappy_rows(spark, folder), "txt", ["month_partition"])
 
 
+@query(twin(["words"], "SELECT month_partition, count(DISTINCT s) AS n_unique, true AS within_bounds FROM words GROUP BY month_partition"))
+def dq_approx_unique_error(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate distinct counts beside the exact ones: within a tenth (or two) of them."""
+    rows = gappy_rows(spark, folder)
+    month = ["month_partition"]
+    exact = quality.uniqueness(rows, "txt", month).select(*month, "n_unique")
+    rough = quality.approx_unique(rows, "txt", month)
+    name = next(c for c in rough.columns if c not in month)
+    near = F.abs(F.col(name) - F.col("n_unique")) <= F.greatest(F.col("n_unique") * 0.1, F.lit(2))
+    return exact.join(rough, month).select(*month, "n_unique", near.alias("within_bounds"))
+
+
 @query(twin(["words"], f"SELECT {rate(chr(39).join(['regexp_matches(s, ', '^(?:[A-Z][a-z]+ )', ')']), 6)} AS valid_rate FROM words"))
 def dq_regex_validity(spark: SparkSession, folder: str) -> DataFrame:
     return quality.validity(gappy_rows(spark, folder), "txt", "[A-Z][a-z]+ ")
@@ -159,9 +179,9 @@ def null_counts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.null_counts(gappy_rows(spark, folder))
 
 
-@query(twin(["gappy"], """
+@query(twin(["bronze"], """
 SELECT month_partition, count(*) AS initial_rows, count(*) FILTER (label IS NULL) AS dropped_null_label
-FROM gappy GROUP BY month_partition"""), name="quality_report_counts")
+FROM bronze GROUP BY month_partition"""), name="quality_report_counts")
 def quality_report_counts(spark: SparkSession, folder: str) -> DataFrame:
     gate = silver.gate_counts(bronze_rows(spark, folder))
     return gate.select("month_partition", "initial_rows", "dropped_null_label")
@@ -170,9 +190,38 @@ def quality_report_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     """Nested report per month as it is written to JSON."""
-    rows = bronze_rows(spark, folder)
-    cleaned = silver.truncated(add_clean(rows))
-    return quality.quality_report(cleaned, silver.gate_counts(rows))
+    rows = bronze_rows(spark, folder).select("email_id", "body", "label", "month_partition")
+    cleaned = durable(silver.truncated(add_clean(rows)).drop("body"), "cleaned")
+    return quality.quality_report(cleaned, silver.gate_counts_of(cleaned))
+
+
+def _report_twin() -> str:
+    families = [f for f in quality.CHECKS] + ["label_distribution"]
+    pairs = [(f, m, c) for f in families for m, c in METRICS[f].items()]
+    pairs += [("uniqueness", m, c) for m, c in METRICS["uniqueness"].items()]
+    metrics = ", ".join(f"({c})::DOUBLE AS {f}_{m}" for f, m, c in pairs)
+    return twin(["bronze_clean"], f""", words AS (SELECT email_id, month_partition, label, substr(body_clean, 1, 100000) AS txt, substr(body_clean, 1, 100000) AS s FROM bronze_clean),
+    copies AS (SELECT month_partition, s, count(*) AS n, min(email_id) AS first FROM words GROUP BY 1, 2 HAVING count(*) > 1),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY month_partition ORDER BY n DESC, first) AS place FROM copies)
+    SELECT month_partition, count(*) AS initial_rows, count(*) FILTER (length(s) >= 50 AND label IS NOT NULL) AS final_rows,
+      count(*) FILTER (length(s) < 50) AS dropped_short_body, count(*) FILTER (label IS NULL) AS dropped_null_label, {metrics},
+      (SELECT list(md5(s) || ':' || n ORDER BY place) FROM placed p WHERE p.month_partition = words.month_partition AND place <= 5) AS top_duplicates
+    FROM words GROUP BY month_partition""")
+
+
+@query(_report_twin())
+def quality_report_flat(spark: SparkSession, folder: str) -> DataFrame:
+    """The nested report with one column per metric."""
+    rows = quality_report(spark, folder)
+    nested = rows.schema["quality_metrics"].dataType
+    metrics = [
+        F.col(f"quality_metrics.{f.name}.{m.name}").cast("double").alias(f"{f.name}_{m.name}")
+        for f in nested for m in f.dataType if m.name != "top_duplicates"
+    ]
+    top = F.transform("quality_metrics.uniqueness.top_duplicates", lambda e: F.concat_ws(":", F.md5(e["value"]), e["n_rows"]))
+    return rows.select(
+        "month_partition", "initial_rows", "final_rows", "dropped_short_body", "dropped_null_label", *metrics, top.alias("top_duplicates")
+    )
 
 
 @query(twin(["bronze"], """
@@ -275,7 +324,7 @@ SELECT feature, label, bin, count(*) AS n_rows FROM (
         WINDOW w AS (PARTITION BY feature, label)))
 GROUP BY ALL"""))
 def histograms(spark: SparkSession, folder: str) -> DataFrame:
-    return profiling.histograms(silver_rows(spark, folder), PROFILE_FEATURES, "label")
+    return profiling.histograms(feature_rows(spark, folder), PROFILE_FEATURES, "label")
 
 
 CORR_SQL = " UNION ALL ".join(
@@ -287,12 +336,12 @@ CORR_SQL = " UNION ALL ".join(
 
 @query(twin(["silver"], f"SELECT * FROM ({CORR_SQL}) WHERE correlation IS NOT NULL"))
 def correlation_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return profiling.correlation_pairs(silver_rows(spark, folder), PROFILE_FEATURES)
+    return profiling.correlation_pairs(feature_rows(spark, folder), PROFILE_FEATURES)
 
 
 @query(twin(["silver"], f"SELECT * FROM ({CORR_SQL}) WHERE abs(correlation) > 0.9"))
 def high_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    return profiling.high_correlation(silver_rows(spark, folder), PROFILE_FEATURES)
+    return profiling.high_correlation(feature_rows(spark, folder), PROFILE_FEATURES)
 
 
 @query("""
@@ -310,7 +359,7 @@ def mutual_information(spark: SparkSession, folder: str) -> DataFrame:
 SELECT label, feature, round(quantile_cont(value, 0.5), 9) AS p50, round(quantile_cont(value, 0.995), 9) AS p995
 FROM long_features GROUP BY label, feature"""))
 def quantiles_by_label(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profiling.label_quantiles(silver_rows(spark, folder), PROFILE_FEATURES, [0.5, 0.995])
+    rows = profiling.label_quantiles(feature_rows(spark, folder), PROFILE_FEATURES, [0.5, 0.995])
     return rows.select(
         "label", "feature", F.round(F.col("q")[0], 9).alias("p50"), F.round(F.col("q")[1], 9).alias("p995")
     )

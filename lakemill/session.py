@@ -47,8 +47,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_MADE: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/lakemill/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lakemill/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this process has written with `new_path` and `durable`; call it once the results
+    that read it are no longer needed. Returns the number of paths."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    made = len(_MADE)
+    while _MADE:
+        path = path_of(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return made
 
 
 def durable(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

@@ -15,8 +15,10 @@ from pyspark.sql.types import StructType
 
 from lakemill.operators import messages
 from lakemill.operators.training import SpamModel
+from lakemill.session import durable
 
 TICK = "30 seconds"
+SLICES = 16
 
 
 def file_feed(spark: SparkSession, path: str, schema: StructType, pattern: str | None = None, files_per_batch: int = 100) -> DataFrame:
@@ -31,15 +33,24 @@ def since(feed: DataFrame, start: str, time: str = "ts") -> DataFrame:
 
 
 def deduplicated(feed: DataFrame, key: str = "message_id", time: str = "ts", late: str = "1 day") -> DataFrame:
-    """First occurrence per message id; ids are remembered for as long as rows may be late."""
-    return feed.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    """One row per message id; ids are remembered for as long as rows may be late.
+
+    Repeats are dropped per slice of an id first, so an id that arrives again and again reaches the
+    task of its key at most SLICES times per state lifetime.
+    """
+    others = [c for c in feed.columns if c != key]
+    slice_ = F.pmod(F.xxhash64(*others, F.lit("slice")), F.lit(SLICES))
+    rows = feed.withWatermark(time, late).withColumn("_slice", slice_)
+    return rows.dropDuplicatesWithinWatermark([key, "_slice"]).drop("_slice").dropDuplicatesWithinWatermark([key])
 
 
 def scored_log(feed: DataFrame, model: SpamModel, threshold: float | None = None) -> DataFrame:
     """Mailbox log rows of a (static or streaming) message frame."""
     limit = F.lit(float(model.threshold if threshold is None else threshold))
     rows = messages.decided(model.score(messages.prepared(feed)), limit)
-    return messages.mail_log(rows, F.col("ts"), F.lit(False))
+    # A message that cannot be labelled (no id, no time, no score) is marked; the others go on.
+    failed = F.col("message_id").isNull() | F.col("ts").isNull() | F.col("spam_probability").isNull()
+    return messages.mail_log(rows, F.col("ts"), failed)
 
 
 def daily_counts(log: DataFrame, time: str = "timestamp", late: str = "1 day") -> DataFrame:
@@ -76,7 +87,24 @@ def latest_updates(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Current value per key of what `updates_to` wrote."""
     rows = spark.read.parquet(path)
     rest = [c for c in rows.columns if c not in (key, "batch")]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_last")).select(key, "_last.*")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("batch").cast("long")).alias("_last")).select(key, "_last.*")
+
+
+def compact_updates(spark: SparkSession, path: str, key: str) -> None:
+    """Replace all finished batches by one that holds the current value per key.
+
+    Run it between two runs of the stream. The last batch gets the values first, and values of
+    earlier batches never win over it, so an interrupted run loses nothing and can be repeated.
+    """
+    last = spark.read.parquet(path).agg(F.max(F.col("batch").cast("long"))).first()[0]
+    current = durable(latest_updates(spark, path, key), "updates")
+    current.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={last}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in system.listStatus(folder):
+        name = entry.getPath().getName()
+        if name.startswith("batch=") and int(name[6:]) < last:
+            system.delete(entry.getPath(), True)
 
 
 def refreshed_log(

@@ -111,3 +111,9 @@ def test_scaler_with_a_constant_column(spark):
     assert model.mean == (2.0, 5.0) and model.scale == (1.0, 1.0)
     rows = df.select(*[z.alias(c) for c, z in model.scaled().items()]).collect()
     assert sorted(tuple(r) for r in rows) == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_a_single_month_cannot_be_held_out(spark):
+    df = spark.createDataFrame([("a", 0, "2025-01")], "email_id string, label int, month_partition string")
+    with pytest.raises(ValueError, match="at least two"):
+        splits.split(df, "2025-01")

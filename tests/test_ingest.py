@@ -125,3 +125,39 @@ def test_contract(spark):
     df = spark.createDataFrame([("a", 1)], "email_id string, label int")
     assert files.check_contract(df, {"email_id": "string", "label": "int"}) == []
     assert len(files.check_contract(df, {"email_id": "bigint", "log_chars": "double"})) == 2
+
+
+def test_labels_with_any_white_space(spark):
+    raw = ["spam\t", "ham\n", " spam", " SPAM ", " Ham\r\n", "sp am", "", None]
+    rows = spark.createDataFrame([(r,) for r in raw], "r string").select(ingest.label_code(F.col("r")).alias("l")).collect()
+    assert [r["l"] for r in rows] == [1, 0, 1, 1, 0, None, None, None]
+
+
+def test_periods_end_with_the_calendar(spark):
+    def label(k):
+        return spark.createDataFrame([(k,)], "k int").select(ingest.month_label(F.col("k"))).first()[0]
+
+    assert label(95_701) == "9999-12"
+    with pytest.raises(Exception, match="9999-12"):
+        label(95_702)
+
+
+def test_files_of_both_layouts_in_one_folder(spark, folder):
+    spark.createDataFrame([("buy now", "spam")], "text string, label string").coalesce(1).write.csv(f"{folder}/a", header=True)
+    spark.createDataFrame([("ham", "hello")], "label string, text string").coalesce(1).write.csv(f"{folder}/b", header=True)
+    spark.createDataFrame([("ham", "hi")], "Category string, ` Message` string").coalesce(1).write.csv(f"{folder}/c", header=True)
+    rows = files.read_raw_csv(spark, f"{folder}/*").collect()
+    assert sorted(tuple(r) for r in rows) == [("buy now", "spam"), ("hello", "ham"), ("hi", "ham")]
+
+
+def test_ranks_with_very_many_shuffle_partitions(spark):
+    keys = [(k * 37) % 1009 for k in range(1009)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        plan = row_index(df, "k")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert {r["k"]: r["idx"] for r in plan.collect()} == {k: k for k in keys}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -77,3 +77,61 @@ def test_silver_types(spark, folder):
     jobs.to_silver(spark, lake)
     contract = {"email_id": "string", "label": "tinyint", "char_count": "int", "log_chars": "float", "month_partition": "string", "received_at": "timestamp_ntz"}
     assert files.check_contract(files.read_table(spark, lake.path("silver")), contract) == []
+
+
+def test_gold_job_guards_and_replaces_its_snapshot(spark, folder, monkeypatch):
+    lake = jobs.Lake(folder)
+    jobs.to_bronze(mails(spark, 180), lake, "doc_id", 60)
+    jobs.to_silver(spark, lake)
+    stale = f"{lake.path('gold')}/snapshot=2025-01/split=old"
+    spark.range(3).write.parquet(stale)
+    gold, _ = jobs.to_gold(spark, lake, "2025-01", **LIMITS)
+    assert {r["split"] for r in gold.select("split").distinct().collect()} == {"train", "val", "test"}
+    log = spark.read.parquet(lake.path("gold_log")).first()
+    assert [s["feature"] for s in log["scaler"]] == jobs.NUMERIC_FEATURES and len(log["months"]) >= 1
+    monkeypatch.setitem(jobs.CONTRACT, "label", "string")
+    with pytest.raises(ValueError, match="contract"):
+        jobs.to_gold(spark, lake, "2025-01", **LIMITS)
+    monkeypatch.setitem(jobs.CONTRACT, "label", "tinyint")
+    monkeypatch.setattr(jobs.splits, "leaked_ids", lambda df: df)
+    with pytest.raises(ValueError, match="more than one split"):
+        jobs.to_gold(spark, lake, "2025-01", **LIMITS)
+
+
+def test_promotion_from_stored_candidates_and_one_table_of_decisions(spark, folder):
+    lake = jobs.Lake(folder)
+    jobs.to_bronze(mails(spark, 180), lake, "doc_id", 60)
+    jobs.first_load(spark, lake, "2024-12", ["lr"], LIMITS)
+    jobs.train(spark, lake, "2025-01", ["lr", "nb"], limits=LIMITS)
+    jobs.train(spark, lake, "2025-01", ["lr", "nb"], limits=LIMITS)
+    stored = spark.read.parquet(lake.path("candidates")).where("snapshot = '2025-01'")
+    assert stored.count() == 4 and stored.select("path").distinct().count() == 4
+    newest = stored.groupBy("name").agg(F.max_by("path", "trained_at").alias("path"))
+    assert jobs.stored_winner(spark, lake, "2025-01").first()["path"] in {r["path"] for r in newest.collect()}
+    assert jobs.promote_stored(spark, lake, "2025-01", delta=-2.0).first()["promoted"]
+    assert jobs.registry(spark, lake).count() == 2
+    jobs.monthly_run(spark, lake, "2025-01", "2024-11", "2024-12", gate=2.0)
+    rows = spark.read.parquet(lake.path("decisions")).orderBy("decided_at").collect()
+    assert [r["promoted"] for r in rows] == [True, True, False] and "skipped" in rows[2]["reason"]
+
+
+def test_threshold_can_be_given(spark, folder):
+    from lakemill.operators.training import evaluate_months
+
+    lake = jobs.Lake(folder)
+    jobs.to_bronze(mails(spark, 180), lake, "doc_id", 60)
+    jobs.first_load(spark, lake, "2025-01", ["lr"], LIMITS)
+    model, _ = jobs.champion(spark, lake)
+    silver = files.read_table(spark, lake.path("silver"))
+    none = evaluate_months(model, silver, "2025-01", threshold=1.1).first()
+    assert (none["tp"], none["fp"]) == (0, 0) and evaluate_months(model, silver, "2025-01").first()["tp"] > 0
+
+
+def test_written_frames_can_be_released(spark, monkeypatch, tmp_path):
+    from lakemill import session
+
+    monkeypatch.setattr(session, "_MADE", [])
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    df = session.durable(spark.range(5), "released")
+    assert df.count() == 5 and session.release(spark) == 1
+    assert not list((tmp_path / "lakemill").glob("released-*"))

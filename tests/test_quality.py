@@ -61,3 +61,10 @@ def test_drop_reasons_reconcile(spark):
     df = spark.createDataFrame([(*d, "m") for d in data], "email_id string, body string, label int, month_partition string")
     got = {r["reason"]: r["n_rows"] for r in silver.drop_reasons(df).collect()}
     assert got == {"kept": 1, "duplicate_text": 1, "invalid_label": 1, "empty_after_clean": 1, "short_text": 1, "null_text": 1}
+
+
+def test_top_duplicates_per_month(spark):
+    rows = [(f"e{i}", "m1", "x" if i < 5 else "y" if i < 8 else f"u{i}") for i in range(10)] + [("f1", "m2", "only")]
+    df = spark.createDataFrame(rows, "email_id string, month_partition string, t string")
+    got = {r["month_partition"]: [(e["value"], e["n_rows"]) for e in r["top_duplicates"]] for r in quality.top_duplicates(df, "t", "email_id", ["month_partition"]).collect()}
+    assert got == {"m1": [("x", 5), ("y", 3)]}

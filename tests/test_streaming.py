@@ -98,3 +98,26 @@ def test_each_batch_uses_the_current_model(spark, folder):
     current["p"] = 0.1
     put("b")
     assert run() == {"a": ("spam", "0.900000"), "b": ("not_spam", "0.100000")}
+
+
+def test_compaction_keeps_the_current_values(spark, folder):
+    def run():
+        log = stream(spark, folder).withColumnRenamed("ts", "timestamp")
+        feed.updates_to(feed.daily_counts(log), f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
+        return {r["day"].day: r["n_total"] for r in feed.latest_updates(spark, f"{folder}/out", "day").collect()}
+
+    arrive(spark, folder, [("a", at(1), "spam"), ("b", at(2), "spam")])
+    run()
+    arrive(spark, folder, [("c", at(2, 1), "spam")])
+    assert run() == {1: 1, 2: 2}
+    feed.compact_updates(spark, f"{folder}/out", "day")
+    assert spark.read.parquet(f"{folder}/out").select("batch").distinct().count() == 1
+    arrive(spark, folder, [("d", at(2, 2), "spam"), ("e", at(3), "spam")])
+    assert run() == {1: 1, 2: 3, 3: 1}
+
+
+def test_an_id_that_arrives_very_often_is_kept_once(spark, folder):
+    arrive(spark, folder, [("hot", at(1, k % 20), f"p{k}") for k in range(300)] + [("cold", at(1), "p")])
+    ids = feed.deduplicated(stream(spark, folder)).select("message_id")
+    feed.append_to(ids, f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(f"{folder}/out").collect()) == ["cold", "hot"]
