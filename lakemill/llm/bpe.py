@@ -19,6 +19,7 @@ import base64
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.llm import batches
 from lakemill.llm.words import release, steps
 
 #: White space as Unicode defines it; Python's own notion has four control characters more.
@@ -37,7 +39,7 @@ _SPACE = "".join(
 _NONE = np.int64(1) << 40
 _SIDE_BY_SIDE = 64
 #: Pieces a task remembers.
-_CACHE = 400_000
+_CACHE = 300_000
 
 
 def splitter(pattern: str) -> regex.Pattern:
@@ -85,12 +87,15 @@ class Encoder:
         self.ranks = ranks
         self.ids = {token: at for at, token in enumerate(ranks.tokens) if token}
         self.byte = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.lookup = dict(zip(ranks.pairs.tolist(), ranks.merged.tolist()))
         self.split = splitter(ranks.pattern)
         self.known: dict[str, bytes] = {}
         self.single = [np.array([at], ranks.kind).tobytes() for at in range(len(ranks.tokens))]
         self._slots()
 
+    @cached_property
+    def lookup(self) -> dict[int, int]:
+        return dict(zip(self.ranks.pairs.tolist(), self.ranks.merged.tolist()))
+
     def _slots(self) -> None:
         """Pairs in a table of slots, each pair in the first free one from its own on."""
         bits = max(4, (4 * len(self.ranks.pairs)).bit_length())
@@ -228,10 +233,11 @@ class Encoder:
                 names.append(piece)
                 own.append(data)
         for leaves, (names, own) in sized.items():
-            for low in range(0, len(own), 16_384):
-                flat, counts = self._side_by_side(own[low : low + 16_384], leaves)
+            step = (1 << 19) // leaves
+            for low in range(0, len(own), step):
+                flat, counts = self._side_by_side(own[low : low + step], leaves)
                 data, ends = flat.astype(kind).tobytes(), (np.cumsum(counts) * wide).tolist()
-                for piece, a, b in zip(names[low : low + 16_384], [0, *ends], ends):
+                for piece, a, b in zip(names[low : low + step], [0, *ends], ends):
                     self.known[piece] = data[a:b]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -251,6 +257,7 @@ _WORKER: dict[int, Encoder] = {}
 
 def encoder(spark: SparkSession, ranks: Ranks):
     """UDF of a text: its ids."""
+    batches.small(spark)
     sent = spark.sparkContext.broadcast(ranks)  # the vocabulary, a few MB whatever the input
 
     @F.arrow_udf("array<int>")
@@ -274,6 +281,7 @@ def encoder(spark: SparkSession, ranks: Ranks):
 
 def decoder(spark: SparkSession, ranks: Ranks):
     """UDF of an array of ids: their bytes."""
+    batches.small(spark)
     sent = spark.sparkContext.broadcast(ranks)
 
     @F.arrow_udf("binary")
@@ -283,6 +291,7 @@ def decoder(spark: SparkSession, ranks: Ranks):
             ids = array.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False)).tolist()
             yield pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip([0, *ends], ends)], pa.binary())
+        release()
 
     return decode
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.llm import batches
+
 START = "start"
 
 
@@ -115,6 +117,7 @@ def formatted(
 ) -> DataFrame:
     """Segments (conv_id, turn_no, part, text, loss, valid), in order within each partition;
     a conversation lies in one partition. `valid` says whether the turns so far are in order."""
+    batches.small(turns.sparkSession)
     rows = turns.select(
         F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
     )

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm import batches
 from lakemill.llm.columns import spare
 from lakemill.llm.words import PLAIN, Words, mixed, release, steps
 
@@ -196,6 +197,7 @@ def found(
     limit: int = INDEX_BYTES,
 ) -> Column:
     """The matches (item, similarity, first_word, n_words) of each text as an array, never null."""
+    batches.small(benchmark.sparkSession)
     parts = [_search(index)(texts) for index in _indexes(benchmark, item, text, threshold, limit)]
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 

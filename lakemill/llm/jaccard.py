@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm import batches
 from lakemill.llm.columns import spare
 from lakemill.llm.graph import components
 from lakemill.llm.words import Words, mixed, release, shingle_sets, steps
@@ -260,6 +261,7 @@ def classes(
     have a Jaccard similarity of at least `threshold` with this one's; chosen is true for the rows
     of one text and key of each class.
     """
+    batches.small(docs.sparkSession)
     bands, rows = banding(threshold, recall)
     sign = _signature(bands, rows, size, with_set=False)
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm import batches
 from lakemill.llm.sample import about
 
 TRAIN_ROWS = 12_000
@@ -119,6 +120,7 @@ def _logs(table: list[tuple[str, dict[str, int]]], langs: list[str], group) -> t
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", bound: int = TRAIN_ROWS) -> Model:
     """Learn from the rows with a text and a language."""
+    batches.small(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
@@ -181,6 +183,7 @@ PREDICTION = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructF
 
 def predictor(spark: SparkSession, model: Model):
     """UDF of a text: (lang_pred, score)."""
+    batches.small(spark)
     sent = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(PREDICTION)

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm import batches
 from lakemill.llm.files import Writer, fresh, mapped
 from lakemill.llm.words import Words, mixed, release, steps
 from lakemill.session import new_path
@@ -294,6 +295,7 @@ def fit(
 ) -> Automaton:
     """Count the n-grams of all rows and write the states to the shared folder."""
     spark = docs.sparkSession
+    batches.small(spark)
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(text).alias("text"))
     folder = new_path(spark, "automaton")
@@ -328,4 +330,5 @@ def _scorer(model: Automaton):
 
 def scored(docs: DataFrame, model: Automaton, *keep: str | Column, text: str = "text") -> DataFrame:
     """(the kept columns, n_tokens, n_known, base_score, score) per input row."""
+    batches.small(docs.sparkSession)
     return docs.select(*keep, _scorer(model)(F.col(text)).alias("_s")).select("*", "_s.*").drop("_s")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.llm import batches
 from lakemill.llm.words import Words, mixed, release, steps
 
 #: Counts that the rules read, all over whole texts.
@@ -136,6 +137,7 @@ def failure_bits(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(key, the measurements, failed): one row per document, `failed` one bit per rule."""
+    batches.small(docs.sparkSession)
     rows = docs.select(F.col(key), _measure(F.col(text)).alias("_m")).select(key, "_m.*")
     return rows.withColumn("failed", failure_bits(rules))
 

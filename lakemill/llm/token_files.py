@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.llm import batches
 from lakemill.llm.files import Writer, fresh, mapped
 from lakemill.llm.words import steps
 
@@ -174,6 +175,7 @@ def written(
 ) -> str:
     """Write the dataset of `docs` into `folder`; returns the folder."""
     spark = docs.sparkSession
+    batches.small(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     made = (

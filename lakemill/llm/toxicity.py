@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.llm import batches
 from lakemill.llm.columns import spare
 from lakemill.llm.jaccard import minhashes
 from lakemill.llm.sample import about
@@ -220,6 +221,7 @@ def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = TRAIN_ROWS,
 ) -> Lexicon:
     """Learn from the documents that have a label. `labels` are (key, label 0 or 1)."""
+    batches.small(docs.sparkSession)
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(
         F.max(F.col(label).cast("long")).alias("toxic")
     )
@@ -294,6 +296,7 @@ def _featured(spark: SparkSession, lexicon: Lexicon):
 
 def scorer(spark: SparkSession, lexicon: Lexicon):
     """UDF of a text: its score between 0 and 1."""
+    batches.small(spark)
     sent = spark.sparkContext.broadcast(lexicon)
 
     def score(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
