@@ -9,11 +9,14 @@ without words gives (c(w) + 0.1) / (N + 0.1 (V + 1)), so unseen words have a pro
 the probabilities after any context sum to one.
 
 The n-grams are cut into parts by ranges of their hash, and a shuffle brings the counts of a part,
-summed by each task beforehand and packed, into one task. A second pass over the training texts
+summed by each task beforehand and packed, into one task. The parts are counted in two rounds over
+the texts, so that no more than half of the packed counts is on disk at a time. A last pass over the training texts
 looks up the count c of each n-gram and adds 1 - D / c to its context: over all occurrences that is
-the sum of c - D over the arcs, so contexts need not travel with the n-grams. The automaton grows
-with the corpus, so it is neither gathered nor broadcast: each part is a sorted flat file in the
-shared folder, and the tasks memory-map the files. A batch of texts is traversed from left to right
+the sum of c - D over the arcs, so contexts need not travel with the n-grams. An n-gram seen once has
+one arc of count 1 at most: if all n-grams are states, its failure arc weighs D wherever it can be a
+context, and else 1, so of these n-grams only the hashes are stored. The automaton grows with the
+corpus, so it is neither gathered nor broadcast: each part is a sorted flat file in the shared folder
+(and one of failure weights), and the tasks memory-map the files. A batch of texts is traversed from left to right
 for all its texts at once: after each token the state is the longest n-gram found, and a missing
 arc follows the failure arcs.
 
@@ -25,12 +28,13 @@ training and score alike; extra input columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +43,7 @@ from lakemill.llm.files import Writer, fresh, mapped
 from lakemill.llm.words import Words, mixed, release, steps
 from lakemill.session import new_path
 
+#: Of `fit`, unless a caller chooses; the registered query keeps all n-grams up to three words.
 ORDER = 2
 LEAST = 2
 DISCOUNT = 0.5
@@ -46,6 +51,9 @@ ADDED = 0.1
 
 BEGIN, END = mixed(np.array([0xBE61, 0xE0D], dtype=np.uint64)) | np.uint64(1)
 
+#: Passes over the texts that count the n-grams, a share of the parts each.
+ROUNDS = 2
+
 #: n-grams a task sums before it hands them on.
 _HELD = 1_500_000
 
@@ -144,7 +152,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch], kind: str, wide: str) -> tuple[
     return _summed(np.concatenate(grams), np.concatenate(values))
 
 
-def _counter(order: int, parts: int):
+def _counter(order: int, parts: int, low: int, high: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(parts, "<u4")
         for given in batches:
@@ -152,6 +160,8 @@ def _counter(order: int, parts: int):
                 token, _, first = tokens(Words.of(step, lower="ascii"))
                 grams = [gram for _, gram, _ in ngrams(token, first, order)] + [np.full(len(step), BEGIN)]
                 every = np.concatenate(grams)
+                part = part_of(every, parts)
+                every = every[(part >= low) & (part < high)]
                 yield from sums.add(every, np.ones(len(every), np.int64))
         yield from sums.packed()
         release()
@@ -159,23 +169,25 @@ def _counter(order: int, parts: int):
     return count
 
 
-FILES = "part int, path string, rows long, total long, distinct long, texts long"
+FILES = "part int, path string, rows long, once long, total long, distinct long, texts long"
 
 
-def _count_writer(folder: str, least: int):
+def _count_writer(folder: str, least: int, low: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, n = _unpacked(batches, "<u4", "<i8")
         word = (gram & np.uint64(1)).astype(bool)
         kept = word | (n >= least)
         gram, n, word = gram[kept], n[kept], word[kept]
         if len(gram):
+            once = n == 1
             file = Writer(fresh(folder, ".counts"))
-            file.add(gram.astype("<u8"))
-            file.add(n.astype("<i8"))
+            file.add(gram[~once].astype("<u8"))
+            file.add(n[~once].astype("<i8"))
+            file.add(gram[once].astype("<u8"))
             file.close()
             word &= gram != BEGIN  # stands before texts, but is no token
             row = {
-                "part": TaskContext.get().partitionId(), "path": file.path, "rows": len(gram), "total": int(n[word].sum()),
+                "part": low + TaskContext.get().partitionId(), "path": file.path, "rows": int((~once).sum()), "once": int(once.sum()), "total": int(n[word].sum()),
                 "distinct": int(word.sum()), "texts": int(n[gram == END].sum()),
             }
             yield pa.RecordBatch.from_pylist([row], _FILES)
@@ -183,42 +195,44 @@ def _count_writer(folder: str, least: int):
     return write
 
 
-_FILES = pa.schema([("part", pa.int32()), ("path", pa.string())] + [(c, pa.int64()) for c in ("rows", "total", "distinct", "texts")])
+_FILES = pa.schema([("part", pa.int32()), ("path", pa.string())] + [(c, pa.int64()) for c in ("rows", "once", "total", "distinct", "texts")])
 
 
 def _spender(counts: Automaton, parts: int):
-    """For each context the sum over its arcs of c - D, from the occurrences of the n-grams."""
+    """For each context seen twice or more the sum over its arcs of c - D, from the occurrences of the n-grams."""
 
     def spend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(parts, "<f8")
         for given in batches:
             for step in steps(given.column("text")):
                 token, _, first = tokens(Words.of(step, lower="ascii"))
-                for size, (_, gram, context) in enumerate(ngrams(token, first, counts.order), 1):
+                n = None
+                for size, (at, gram, context) in enumerate(ngrams(token, first, counts.order), 1):
+                    before, n = n, np.zeros(len(token), np.int64)
+                    n[at], _ = counts.find(gram)
                     if size > 1:
-                        n, _ = counts.find(gram)
-                        arc = n > 0
-                        yield from sums.add(context[arc], 1 - counts.discount / n[arc])
+                        total, _ = counts.of_contexts(size, first, before)
+                        arc = (n[at] > 0) & (total[at] > 1)
+                        yield from sums.add(context[arc], 1 - counts.discount / n[at][arc])
         yield from sums.packed()
 
     return spend
 
 
-def _state_writer(folder: str, counted: dict[int, tuple[str, int]]):
+def _left_writer(folder: str, counted: dict[int, tuple[str, int]]):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, spent = _unpacked(batches, "<f8", "<f8")
         part = TaskContext.get().partitionId()
         if part in counted:
             path, rows = counted[part]
-            gram, n = np.array(mapped(path, "<u8", rows)), np.array(mapped(path, "<i8", rows, 8 * rows))
+            gram, n = mapped(path, "<u8", rows), mapped(path, "<i8", rows, 8 * rows)
             left = np.ones(rows)
             spot = np.searchsorted(gram, context)
             left[spot] = np.maximum(0, 1 - spent / n[spot])
-            file = Writer(fresh(folder, ".states"))
-            for values in (gram, n, left.astype("<f4")):
-                file.add(values)
+            file = Writer(fresh(folder, ".left"))
+            file.add(left.astype("<f4"))
             file.close()
-            yield pa.RecordBatch.from_pylist([{"part": part, "path": file.path, "rows": rows, "total": 0, "distinct": 0, "texts": 0}], _FILES)
+            yield pa.RecordBatch.from_pylist([{"part": part, "path": file.path, "rows": rows}], _FILES)
 
     return write
 
@@ -229,10 +243,11 @@ class Automaton:
 
     order: int
     parts: int
-    files: dict[int, tuple[str, int, bool]]  # by part: path, states, whether failure arcs are in it
+    files: dict[int, tuple[str, int, int, str | None]]  # by part: path, states seen more than once and once, path of failure weights
     total: int
     distinct: int
     discount: float = DISCOUNT
+    left_once: float = 1.0  # weight of the failure arc of states seen once
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, weight of the failure arc) of each n-gram; 0 and 1 where there is no state."""
@@ -242,18 +257,33 @@ class Automaton:
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(unique)]):
             if (held := self.files.get(int(part[a]))) is not None:
-                keys, counts, lefts = self._open(*held)
-                spot = np.minimum(np.searchsorted(keys, unique[a:b]), held[1] - 1)
-                hit = np.asarray(keys[spot]) == unique[a:b]
-                count[a:b][hit] = counts[spot[hit]]
+                keys, counts, lefts, once = self._open(*held)
+                spot, hit = _places(keys, unique[a:b])
+                count[a:b][hit] = counts[spot]
                 if lefts is not None:
-                    left[a:b][hit] = lefts[spot[hit]]
+                    left[a:b][hit] = lefts[spot]
+                _, hit = _places(once, unique[a:b])
+                count[a:b][hit], left[a:b][hit] = 1, self.left_once
         return count[inverse], left[inverse]
 
-    def _open(self, path: str, n: int, failing: bool) -> tuple:
-        if path not in _OPEN:
-            _OPEN[path] = (mapped(path, "<u8", n), mapped(path, "<i8", n, 8 * n), mapped(path, "<f4", n, 16 * n) if failing else None)
-        return _OPEN[path]
+    def _open(self, path: str, n: int, once: int, lefts: str | None) -> tuple:
+        if (path, lefts) not in _OPEN:
+            _OPEN[path, lefts] = (
+                mapped(path, "<u8", n), mapped(path, "<i8", n, 8 * n), mapped(lefts, "<f4", n) if lefts else None,
+                mapped(path, "<u8", once, 16 * n),
+            )
+        return _OPEN[path, lefts]
+
+    def of_contexts(self, size: int, first: np.ndarray, count: np.ndarray, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(count, weight of the failure arc) of the context of each token: the n-gram that ended one token earlier."""
+        total, failing = np.zeros(len(count)), np.ones(len(count))
+        total[1:] = count[:-1]
+        if left is not None:
+            failing[1:] = left[:-1]
+        if size == 2:
+            c, f = self.find(np.array([BEGIN], dtype=np.uint64))
+            total[first[:-1]], failing[first[:-1]] = c[0], f[0]
+        return total, failing
 
     def measured(self, array: pa.Array) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, base score and score of the model."""
@@ -268,12 +298,7 @@ class Automaton:
                 weight = (count + ADDED) / (self.total + ADDED * (self.distinct + 1))
                 base = np.log10(weight)
                 continue
-            # Count and failure weight of the context: the n-gram that ended one token earlier.
-            total, failing = np.zeros(len(token)), np.ones(len(token))
-            total[1:], failing[1:] = before_count[:-1], before_left[:-1]
-            if size == 2:
-                c, f = self.find(np.array([BEGIN], dtype=np.uint64))
-                total[first[:-1]], failing[first[:-1]] = c[0], f[0]
+            total, failing = self.of_contexts(size, first, before_count, before_left)
             state = np.zeros(len(token), dtype=bool)
             state[at] = total[at] > 0
             arc = np.maximum(count - self.discount, 0)
@@ -287,7 +312,30 @@ class Automaton:
         }
 
 
-_OPEN: dict[str, tuple[np.ndarray, ...]] = {}
+def _places(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each n-gram that is among the keys, whether it is)."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(len(grams), bool)
+    spot = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+    hit = np.asarray(keys[spot]) == grams
+    return spot[hit], hit
+
+
+_OPEN: dict[tuple[str, str | None], tuple] = {}
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go when it ends, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def fit(
@@ -300,15 +348,21 @@ def fit(
     texts = docs.select(F.col(text).alias("text"))
     folder = new_path(spark, "automaton")
 
-    def dealt(rows: DataFrame, step) -> list:
-        return rows.repartitionById(parts, F.col("part")).mapInArrow(step, FILES).collect()  # one row per part
-
-    made = dealt(texts.mapInArrow(_counter(order, parts), PACKED), _count_writer(folder, least))
-    files = {r["part"]: (r["path"], r["rows"], False) for r in made}
-    counts = Automaton(order, parts, files, sum(r["total"] for r in made), sum(r["distinct"] for r in made), discount)
-    sized = {part: (path, rows) for part, (path, rows, _) in files.items()}
-    spent = dealt(texts.mapInArrow(_spender(counts, parts), PACKED), _state_writer(folder, sized))
-    return replace(counts, files=files | {r["part"]: (r["path"], r["rows"], True) for r in spent})
+    def dealt(rows: DataFrame, step, low: int = 0, high: int = parts) -> list:
+        with _tidy(spark):
+            return rows.repartitionById(high - low, F.col("part") - low).mapInArrow(step, FILES).collect()  # one row per part
+
+    cuts = [parts * k // ROUNDS for k in range(ROUNDS + 1)]
+    made = [
+        row for low, high in zip(cuts, cuts[1:]) if low < high
+        for row in dealt(texts.mapInArrow(_counter(order, parts, low, high), PACKED), _count_writer(folder, least, low), low, high)
+    ]
+    files = {r["part"]: (r["path"], r["rows"], r["once"], None) for r in made}
+    totals = sum(r["total"] for r in made), sum(r["distinct"] for r in made)
+    counts = Automaton(order, parts, files, *totals, discount, discount if least <= 1 else 1.0)
+    sized = {part: (path, rows) for part, (path, rows, *_) in files.items()}
+    spent = dealt(texts.mapInArrow(_spender(counts, parts), PACKED), _left_writer(folder, sized))
+    return replace(counts, files=files | {r["part"]: (*files[r["part"]][:3], r["path"]) for r in spent})
 
 
 SCORES = T.StructType([

@@ -131,7 +131,7 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram base and backoff model scores of each document; learned from those not held out."""
     docs = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 10) == 0
-    model = lm.fit(docs.where(~held_out))
+    model = lm.fit(docs.where(~held_out), order=3, least=1)  # trigrams, none left out
     rows = lm.scored(docs, model, "doc_id", held_out.alias("held_out"))
     return rows.withColumn("train_tokens", F.lit(model.total).cast("long"))
 

@@ -1,10 +1,12 @@
 import math
 import re
+import zlib
 from collections import Counter
 
 import pytest
 
 from lakemill.llm import lm
+from lakemill.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -77,3 +79,21 @@ def test_odd_documents(odd_docs, no_docs):
     empty = lm.fit(no_docs)
     assert (empty.total, empty.distinct) == (0, 0)
     assert all(r.base_score == r.score == 0 for r in lm.scored(odd_docs, empty, "doc_id").collect())
+
+
+def test_the_query_scores_by_all_ngrams_up_to_three_words(spark, texts):
+    rows = QUERIES["op7_lm_scoring"](spark, "/root/testdata/sf0.001").collect()
+    walk = Walk([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10], 3, least=1)
+    assert {r.train_tokens for r in rows} == {walk.n}
+    for r in rows:
+        assert r.score == pytest.approx(walk.score(texts[r.doc_id]), rel=1e-5)
+
+
+def test_states_seen_once_and_one_training_text(spark):
+    rows = spark.createDataFrame([(1, "a b a c a b d")], "doc_id long, text string")
+    more = spark.createDataFrame([(1, "a b a c a b d"), (2, "b a c"), (3, "d e a"), (4, None)], "doc_id long, text string")
+    for order in (2, 3, 4):
+        for least in (1, 2, 3):
+            model, walk = lm.fit(rows, order=order, least=least), Walk(["a b a c a b d"], order, least)
+            for r in lm.scored(more, model, "text").collect():
+                assert r.score == pytest.approx(walk.score(r.text), rel=1e-5)
