@@ -12,7 +12,7 @@ hold an entry but occur almost only in texts that are not toxic become exception
 fitted on texts that had no part in the lexicon they are measured with (two halves, each measured
 with the other's). The classifier is fitted on about TRAIN_ROWS labelled rows (a documented bound)
 and has at most MAX_ENTRIES entries and as many exceptions. Copies and near copies of one text
-count as one text in training, so their words weigh no more.
+with one label count as one text in training, so their words weigh no more; the smallest key stays.
 
 Cases: null and empty texts have no words and get the score of a text without matches; with no
 labelled rows, or rows of one kind only, every text gets their share of toxic ones; repeated rows
@@ -37,15 +37,17 @@ from pyspark.sql import functions as F
 
 from lakemill.llm import batches
 from lakemill.llm.columns import spare
-from lakemill.llm.jaccard import minhashes
+from lakemill.llm.jaccard import _overlaps, _signature, _similar, banding
 from lakemill.llm.sample import about
-from lakemill.llm.words import Words, release, shingle_sets
+from lakemill.llm.words import release
+from lakemill.session import durable
 
 TRAIN_ROWS = 10_000
 MAX_ENTRIES = 2_000
 MIN_TOXIC = 4
 MIN_ODDS = 2.0
 MIN_RATIO = 20.0
+SIMILAR = 0.8
 _STARTS = (4, 5, 6, 7, 8)
 
 #: Look-alike letters, and what they are read as.
@@ -188,21 +190,60 @@ def _weighed(totals: dict[int, int], halves: tuple[int, ...], least: int) -> tup
     return F.when((texts >= least) & (odds >= MIN_ODDS) & (ratio >= MIN_RATIO), odds), ratio
 
 
-def _sketches(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for array in column:
-        held, hashes = minhashes(*shingle_sets(Words.of(array, lower="all"), 5), 3, 1)
-        out = np.zeros((len(array), 3), dtype=np.uint64)
-        out[held] = hashes
-        yield pa.array(out.view(np.int64).tolist(), pa.list_(pa.int64()))
+_DROPPED = pa.schema([("toxic", pa.int64()), ("node", pa.binary())])
+
+
+def _copies(sets: list[np.ndarray]) -> np.ndarray:
+    """Places of the sets that have a Jaccard similarity of at least SIMILAR with an earlier one."""
+    size = np.array([len(x) for x in sets], dtype=np.float64)
+
+    def like(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+        inter = _overlaps([sets[i] for i in some], [sets[i] for i in others])
+        return _similar(inter, size[some], size[others], SIMILAR) & (others[None, :] < some[:, None])
+
+    every = np.arange(len(sets))
+    first = np.concatenate([like(every[k : k + 512], every[:1])[:, 0] for k in range(0, len(sets), 512)])
+    rest = every[~first]  # most copies are copies of the first, so few are compared with all
+    more = [rest[k : k + 512][like(rest[k : k + 512], every).any(axis=1)] for k in range(0, len(rest), 512)]
+    return np.concatenate([every[first], *more])
+
+
+def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by label, bucket and key; those similar to an earlier one of their bucket go out."""
+    unit, nodes, sets = None, [], []
+
+    def found() -> pa.RecordBatch:
+        at = _copies(sets)
+        return pa.RecordBatch.from_arrays([pa.array([unit[0]] * len(at), pa.int64()), pa.array([nodes[i] for i in at], pa.binary())], schema=_DROPPED)
+
+    for batch in batches:
+        for toxic, bucket, node, grams in zip(*(batch.column(c) for c in ("toxic", "bucket", "node", "grams"))):
+            if (own := (toxic.as_py(), bucket.as_py())) != unit:
+                if len(sets) > 1:
+                    yield found()
+                unit, nodes, sets = own, [], []
+            nodes.append(node.as_py())
+            sets.append(grams.values.to_numpy().copy())
+    if len(sets) > 1:
+        yield found()
+    release()
 
 
 def _distinct_texts(rows: DataFrame) -> DataFrame:
-    """One row per text, near copies included: of rows that agree in a MinHash of their five-word shingles one stays."""
-    sketch = F.arrow_udf(_sketches, "array<bigint>")
-    rows = rows.withColumn("_s", sketch("text"))
-    for i in range(3):
-        rows = rows.withColumn("_k", F.col("_s")[i]).dropDuplicates(["_k"])
-    return rows.drop("_s", "_k")
+    """(id, text, toxic, part) without copies: a row goes if a row of its label with a smaller key has the same
+    text, or five-word shingles of a Jaccard similarity of at least SIMILAR (found by bands, all verified)."""
+    bands, wide = banding(SIMILAR)
+    sign = _signature(bands, wide, 5, with_set=True)
+    once = rows.groupBy("toxic", "part", "text").agg(F.min("id").alias("id"))
+    signed = durable(once.withColumn("node", F.unhex(F.md5("text"))).withColumn("s", sign("text")), "labelled")
+    slots = signed.select("toxic", "node", F.explode("s.bands").alias("bucket"))
+    shared = slots.join(slots.groupBy("toxic", "bucket").count().where("count > 1"), ["toxic", "bucket"])
+    groups = shared.join(signed.select("toxic", "node", "id", F.col("s.grams").alias("grams")), ["toxic", "node"])
+    dropped = (
+        groups.select("toxic", "bucket", "id", "node", "grams").repartition("toxic", "bucket")
+        .sortWithinPartitions("toxic", "bucket", "id", "node").mapInArrow(_dropped, "toxic long, node binary").distinct()
+    )
+    return signed.join(dropped, ["toxic", "node"], "left_anti").select("id", "text", "toxic", "part")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -226,7 +267,7 @@ def fit(
         F.max(F.col(label).cast("long")).alias("toxic")
     )
     marks = F.broadcast(about(marks, F.col("id"), bound))  # about `bound` rows of two numbers
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(marks, "id").select("text", "toxic")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(marks, "id").select("id", "text", "toxic")
     half = F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)) * 2
     rows = _distinct_texts(rows.where("text IS NOT NULL").withColumn("part", half + (F.col("toxic") > 0).cast("long"))).cache()
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}

@@ -49,3 +49,19 @@ def test_nothing_to_learn_from(spark, odd_docs):
     one_kind = spark.createDataFrame([(6, 0), (None, 1), (7, None)], "doc_id long, toxic int")
     for labels in (none, one_kind):
         assert {r.predicted for r in toxicity.scores(odd_docs, toxicity.fit(odd_docs, labels), "doc_id").collect()} == {0}
+
+
+def test_only_copies_of_one_label_count_as_one_text(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for i in range(60):  # a fifth or a third of the shingles are shared: not copies
+        passage = [word() for _ in range(60)]
+        rows += [(3 * i + k, " ".join(passage + [word() for _ in range(60)]), 0, 0) for k in range(2)]
+    text = [word() for _ in range(200)]
+    near = [" ".join(text[:k] + [word()] + text[k + 1 :]) for k in (10, 60, 110)]
+    rows += [(1000 + k, t, 0, 0) for k, t in enumerate(near)] + [(900, near[0], 1, 1), (1100, near[0], 1, 1), (1101, near[0], 0, 0)]
+    frame = spark.createDataFrame(rows, "id long, text string, toxic long, part long")
+    want = {(i, toxic) for i, _, toxic, _ in rows} - {(1001, 0), (1002, 0), (1100, 1), (1101, 0)}
+    for given in (frame, frame.orderBy(frame.id.desc())):
+        assert {(r.id, r.toxic) for r in toxicity._distinct_texts(given).collect()} == want
