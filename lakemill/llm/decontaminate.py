@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-A benchmark item of n words is compared with windows of n words. Fingerprints are 64-bit SimHashes
+A benchmark item of n words is compared with windows of n words, and with the whole of each text that
+has fewer. An item under five words has one shingle, all its words. Fingerprints are 64-bit SimHashes
 of the windows' five-word shingles, weighted by how often a shingle occurs. The index holds the
 fingerprints of the items by eight blocks of eight bits: two fingerprints within a Hamming distance
 of 23 differ by at most two bits in some block, so listing every item under all block values within
@@ -14,7 +15,7 @@ At a similarity of exactly 0.8 the fingerprints differ by 9.7 bits on average (d
 the radius misses about two in a million such windows, and fewer of more similar ones.
 
 Words are lower-cased and cut at white space and ASCII punctuation. Cases: items and documents that
-are null or empty, and items under five words, match nothing; repeated items and rows are each
+are null or empty match nothing; repeated items and rows are each
 reported; of equally similar windows the first is reported; an empty benchmark gives no matches;
 other input columns are left out (`matches`) or kept (`clean`).
 """
@@ -113,13 +114,14 @@ class Index:
             raise ValueError("eight blocks within two bits each guarantee a radius of at most 23")
         self.threshold, self.radius = threshold, radius
         words = Words.of(pa.array([t for _, t in items], pa.string()), lower="all", ends=PLAIN)
-        at, shingle = words.windows(SHINGLE)
+        windows = {size: words.windows(size) for size in range(1, SHINGLE + 1)}
         sized: dict[int, list[tuple[int, np.ndarray]]] = {}
         for i, n in enumerate(words.counts()):
-            if n >= SHINGLE:
+            if n:
+                at, shingle = windows[min(int(n), SHINGLE)]
                 sized.setdefault(int(n), []).append((items[i][0], shingle[words.text[at] == i]))
         self.sizes = {n: _Sized(bags) for n, bags in sorted(sized.items())}
-        self.shingles = np.unique(np.concatenate([s.shingles for s in self.sizes.values()] or [np.zeros(0, np.uint64)]))
+        self.shingles = np.unique(np.concatenate([s.shingles for n, s in self.sizes.items() if n >= SHINGLE] or [np.zeros(0, np.uint64)]))
 
     @staticmethod
     def _member(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -132,21 +134,45 @@ class Index:
         at, shingle = words.windows(SHINGLE)
         anchors = np.flatnonzero(self._member(self.shingles, shingle))
         best: dict[tuple[int, int], tuple] = {}
-        for size, sized in self.sizes.items() if len(anchors) else ():
+        for size, sized in self.sizes.items():
+            if size < SHINGLE:
+                few, whole = words.windows(size)
+                start = np.flatnonzero(self._member(sized.shingles, whole))
+                for low in range(0, len(start), 4096):
+                    self._verified(words, few, whole, start[low : low + 4096], size, sized, best)
+                continue
             width = size - SHINGLE + 1
             own = anchors[self._member(sized.shingles, shingle[anchors])]
             if not len(own):
                 continue
+            self._shorter(words, at, shingle, own, size, sized, best)
             start = np.unique((own[:, None] - np.arange(width)[None, :]).reshape(-1))
             start = start[(start >= 0) & (start + width <= len(at))]
             start = start[words.text[at[start]] == words.text[at[start + width - 1]]]
             for low in range(0, len(start), 4096):
-                self._verified(words, at, shingle, start[low : low + 4096], width, sized, best)
+                self._verified(words, at, shingle, start[low : low + 4096], size, sized, best)
         return [(text, sized_item, *found) for (text, _, sized_item), found in sorted(best.items(), key=lambda x: x[0][:2])]
 
-    def _verified(self, words: Words, at, shingle, start, width: int, sized: _Sized, best: dict) -> None:
+    def _shorter(self, words: Words, at, shingle, own, size: int, sized: _Sized, best: dict) -> None:
+        """Texts with fewer words than the items of this size, as one window each."""
+        n = words.counts()
+        least = self.threshold * (size - SHINGLE + 1) - 1e-9  # shingles of a text that can be similar
+        for text in np.unique(words.text[at[own]]):
+            if n[text] >= size or n[text] - SHINGLE + 1 < least:
+                continue
+            low = np.searchsorted(at, words.first[text])
+            bag = shingle[low : low + n[text] - SHINGLE + 1]
+            _, item = sized.within(np.array([simhash(bag)], dtype=np.uint64), self.radius)
+            for k in item:
+                value = similarity(bag, sized.bags[k][1])
+                key = (int(text), (size, int(k)), sized.bags[k][0])
+                if value >= self.threshold and value > best.get(key, (0.0,))[0]:
+                    best[key] = (value, 0, int(n[text]))
+
+    def _verified(self, words: Words, at, shingle, start, size: int, sized: _Sized, best: dict) -> None:
         if not len(start):
             return
+        width = max(1, size - SHINGLE + 1)
         spots = start[:, None] + np.arange(width)[None, :]
         used = np.unique(spots)
         sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_signs(shingle[used]), axis=0, dtype=np.int32)])
@@ -159,9 +185,9 @@ class Index:
             for w in mine[held >= self.threshold * (2 * width - held) - 1e-9]:
                 value = similarity(shingle[spots[w]], sized.bags[k][1])
                 text = int(words.text[at[start[w]]])
-                key = (text, (width, int(k)), sized.bags[k][0])
+                key = (text, (size, int(k)), sized.bags[k][0])
                 if value >= self.threshold and value > best.get(key, (0.0,))[0]:
-                    best[key] = (value, int(at[start[w]] - words.first[text]), width + SHINGLE - 1)
+                    best[key] = (value, int(at[start[w]] - words.first[text]), size)
 
 
 def _search(index: Index):

@@ -51,3 +51,13 @@ def test_a_window_counts_repeated_shingles(spark):
     item = "one two three four five one two three four five one two three four five"
     found = Index([(1, item)]).search(__import__("pyarrow").array([item, "one two three four five six seven"]))
     assert [(f[0], f[1], f[2]) for f in found] == [(0, 1, 1.0)]
+
+
+def test_texts_shorter_than_an_item_and_items_under_five_words():
+    words = [f"w{i}" for i in range(16)]
+    index = Index([(1, " ".join(words)), (2, "three short words"), (3, "One"), (4, None)])
+    docs = ["other text of eight words that stays clean", " ".join(words[:-1]), " ".join(words[1:-1]), " ".join(words[:12]), None, "and three, Short words!", "one"]
+    found = index.search(__import__("pyarrow").array(docs))
+    assert [(t, i, round(v, 6), first, n) for t, i, v, first, n in found] == [
+        (1, 1, round(11 / 12, 6), 0, 15), (2, 1, round(10 / 12, 6), 0, 14), (5, 2, 1.0, 1, 3), (6, 3, 1.0, 0, 1),
+    ]
