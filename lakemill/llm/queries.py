@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import bpe, chat, decontaminate, jaccard, langid, lm, pii, rules, token_files, toxicity
+from lakemill.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, pii, rules, runs, suffix_dedup, token_files, toxicity
 from lakemill.llm.sample import remainder
 from lakemill.session import new_path
 from lakemill.sources.tables import table
@@ -200,3 +200,45 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
     )
+
+
+@query()
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """`documents` without the bytes of any string of 200 bytes that occurs twice, first copies included."""
+    rows = suffix_dedup.removed(table(spark, folder, "documents"), 200, keep="none")
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def with_runs(docs: DataFrame) -> DataFrame:
+    """`docs` in which every tenth text, by a hash of its id, repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    planted = docs.withColumn("_w", F.when(h % 10 == 0, words)).withColumn("_g", F.floor(h / 10))
+    planted = planted.withColumn("_n", F.size("_w")).withColumn("_a", F.expr("_g % greatest(_n, 1)"))
+    planted = planted.withColumn("_p", F.expr("1 + (_n - _a) div (3 + _g % 8)"))
+    repeated = F.expr(
+        "array_join(transform(sequence(0, _n - 1), i -> element_at(_w, CAST(1 + if(i < _a, i, _a + (i - _a) % _p) AS INT))), ' ')"
+    )
+    return planted.withColumn("text", F.when(F.col("_n") > 0, repeated).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@query()
+def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of `documents`, every tenth of which holds a planted one."""
+    rows = runs.found(with_runs(table(spark, folder, "documents").select("doc_id", "text")), least=24, exponent=3)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest of `documents`; every fifth row, by a hash of its id, is presented with its text in lower case."""
+    tampered = remainder(F.col("doc_id"), 5) == 0
+    lower = F.when(tampered, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    return merkle.manifest(
+        table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], shown={"text": lower}
+    )
