@@ -18,7 +18,8 @@ strings of one anchor form a strip, at most length - k + 1 strings long.
    one copy of each is cut out of its text; the contents of an anchor are sorted as suffixes by prefix
    doubling in numpy and their factors read off.
 3. An anchor with more than `BLOCK` different contents is cut into blocks. A block hands on one copy
-   of each of its strings, and these are compared between blocks by digest: nothing is dropped.
+   of each of its strings, packed by shares of their digests, and a share finds equal ones: nothing is
+   dropped.
 4. The marked strings travel back to the texts that hold them, and the covered bytes are cut out there.
 
 Texts move twice, by the hash of the text, and only narrow rows otherwise. Joins are plain equi-joins
@@ -41,10 +42,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm import batches
+from lakemill.llm.merkle import ranked
 from lakemill.llm.words import STEP, _Powers, mixed, release, steps, texts
 from lakemill.session import durable
 
@@ -256,14 +258,45 @@ def factors(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
     return body, offset, earlier, later, cls
 
 
-_MARK = "anchor long, content long, offsets array<int>, digest long, offset int, rank long"
+_MARK = "anchor long, content long, offsets array<int>"
+_HANDED = np.dtype([("anchor", "<i8"), ("digest", "<i8"), ("content", "<i8"), ("turn", "<i8"), ("at", "<i8"), ("offset", "<i4")])
 
 
-def _sorter(length: int, first: bool):
-    """Factors of the contents of each anchor; strings of an anchor in several blocks are handed on."""
+def _changes(rows: np.ndarray, *names: str) -> np.ndarray:
+    """Whether a row differs from the one before in some field."""
+    return np.append(True, np.logical_or.reduce([rows[n][1:] != rows[n][:-1] for n in names]))[: len(rows)]
+
+
+def _comparer(first: bool):
+    """Strings of a share that several blocks hold; all of them, or all but the first."""
+
+    def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(x, _HANDED) for batch in batches_ for x in batch.column("handed").to_pylist()]
+        if not held:
+            return
+        rows = np.concatenate(held)
+        rows = rows[np.lexsort((rows["at"], rows["turn"], rows["digest"], rows["anchor"]))]
+        new = _changes(rows, "anchor", "digest")
+        sizes = np.diff(np.append(np.flatnonzero(new), len(rows)))
+        rows = rows[~new if first else np.repeat(sizes > 1, sizes)]
+        rows = rows[np.lexsort((rows["content"], rows["anchor"]))]
+        begin = np.flatnonzero(_changes(rows, "anchor", "content"))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows["anchor"][begin]), pa.array(rows["content"][begin]),
+                pa.ListArray.from_arrays(pa.array(np.append(begin, len(rows)).astype(np.int32)), pa.array(rows["offset"])),
+            ],
+            ["anchor", "content", "offsets"],
+        )
+
+    return run
+
+
+def _sorter(length: int, first: bool, shares: int):
+    """Factors of the contents of each anchor; strings of an anchor in several blocks are handed on, one
+    of each, packed by shares of their digests."""
     kind = pa.schema([
-        ("anchor", pa.int64()), ("content", pa.int64()), ("offsets", pa.list_(pa.int32())), ("digest", pa.int64()),
-        ("offset", pa.int32()), ("rank", pa.int64()),
+        ("anchor", pa.int64()), ("content", pa.int64()), ("offsets", pa.list_(pa.int32())), ("share", pa.int32()), ("handed", pa.binary()),
     ])
 
     def solved(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -276,21 +309,27 @@ def _sorter(length: int, first: bool):
             [
                 pa.array(anchor[owner]), pa.array(content[owner]),
                 pa.ListArray.from_arrays(pa.array(np.append(begin, len(hit)).astype(np.int32)), pa.array(offset[hit].astype(np.int32))),
-                pa.nulls(len(owner), pa.int64()), pa.nulls(len(owner), pa.int32()), pa.nulls(len(owner), pa.int64()),
+                pa.nulls(len(owner), pa.int32()), pa.nulls(len(owner), pa.binary()),
             ],
             schema=kind,
         )
         split = np.array([r[3] > 1 for r in rows])
         lead = np.flatnonzero(split[body] & ~earlier)
-        for low in range(0, len(lead), 50_000):
-            some = lead[low : low + 50_000]
-            raw = [rows[b][4][o : o + length] for b, o in zip(body[some].tolist(), offset[some].tolist())]
-            digest = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=8).digest() for x in raw]), np.int64)
-            rank = np.array([r[5] for r in rows], np.int64)[body[some]] + offset[some]
+        if len(lead):
+            raw = (rows[b][4][o : o + length] for b, o in zip(body[lead].tolist(), offset[lead].tolist()))
+            handed = np.empty(len(lead), _HANDED)
+            handed["digest"] = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=8).digest() for x in raw]), np.int64)
+            turn, place = (np.array([r[i] for r in rows], np.int64)[body[lead]] for i in (6, 5))
+            for name, value in zip(("anchor", "content", "turn", "at", "offset"), (anchor[body[lead]], content[body[lead]], turn, place + offset[lead], offset[lead])):
+                handed[name] = value
+            share = handed["digest"].astype(np.uint64) % np.uint64(shares)
+            order = np.argsort(share, kind="stable")
+            ends = np.searchsorted(share[order], np.arange(shares + 1))
+            some = np.flatnonzero(np.diff(ends))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(anchor[body[some]]), pa.array(content[body[some]]), pa.nulls(len(some), kind.field(2).type),
-                    pa.array(digest), pa.array(offset[some].astype(np.int32)), pa.array(rank),
+                    pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), kind.field(2).type),
+                    pa.array(some.astype(np.int32)), pa.array([handed[order[ends[k] : ends[k + 1]]].tobytes() for k in some], pa.binary()),
                 ],
                 schema=kind,
             )
@@ -299,7 +338,7 @@ def _sorter(length: int, first: bool):
         rows: list[tuple] = []
         size, before = 0, None
         for batch in batches_:
-            for row in zip(*(batch.column(n).to_pylist() for n in ("anchor", "content", "block", "blocks", "body", "place"))):
+            for row in zip(*(batch.column(n).to_pylist() for n in ("anchor", "content", "block", "blocks", "body", "place", "turn"))):
                 # Blocks of one anchor stay apart: their order is not that of the texts.
                 if row[:1] + row[2:3] != before and (size >= _SORTED or rows and rows[-1][3] > 1):
                     yield from solved(rows)
@@ -323,10 +362,15 @@ def _remover(length: int, key: str):
         for batch in rows:
             at = 0
             for part in steps(batch.column("text")):
-                marks = batch.column("marks").slice(at, len(part))
-                lead = batch.column("lead").slice(at, len(part)).to_numpy(zero_copy_only=False).astype(bool)
                 ids = batch.column(key).slice(at, len(part))
+                leads = batch.column("lead").slice(at, len(part)).to_numpy(zero_copy_only=False).astype(bool)
+                # Copies follow each other and share their marks: each text is worked on once.
+                code = part.dictionary_encode().indices.to_numpy() * 2 + leads
+                _, one, of = np.unique(code, return_index=True, return_inverse=True)
+                chosen = pa.array(one)
+                marks, lead, part_ = batch.column("marks").slice(at, len(part)).take(chosen), leads[one], part.take(chosen)
                 at += len(part)
+                part = part_
                 data, edges = texts(part)
                 sizes = np.diff(edges)
                 owner, (a, c, mine) = _listed(marks, ["anchor", "content", "mine"])
@@ -342,11 +386,12 @@ def _remover(length: int, key: str):
                 opened[1:] &= ~gone[:-1]
                 opened[edges[:-1][sizes > 0]] = gone[edges[:-1][sizes > 0]]
                 spans = np.concatenate([[0], np.cumsum(opened)])
-                kept, left = data[~gone].tobytes(), edges - total[edges]
+                raw, left = data[~gone].tobytes(), edges - total[edges]
+                kept = [raw[x:y] for x, y in zip(left[:-1].tolist(), left[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids, pa.array(sizes), pa.array(np.diff(total[edges])), pa.array(np.diff(spans[edges])),
-                        pa.array([kept[x:y] for x, y in zip(left[:-1].tolist(), left[1:].tolist())], pa.binary()),
+                        ids, pa.array(sizes[of]), pa.array(np.diff(total[edges])[of]), pa.array(np.diff(spans[edges])[of]),
+                        pa.array([kept[k] for k in of.tolist()], pa.binary()),
                     ],
                     [key, "n_bytes", "n_removed", "n_spans", "kept"],
                 )
@@ -392,6 +437,7 @@ def removed(docs: DataFrame, length: int = 200, keep: str = "first", key: str =
         raise ValueError(f"keep is 'first' or 'none', not {keep!r}")
     spark, first = docs.sparkSession, keep == "first"
     batches.small(spark)
+    sides = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tid")
     )
@@ -399,68 +445,63 @@ def removed(docs: DataFrame, length: int = 200, keep: str = "first", key: str =
     strips = durable(
         long.select("tid", "text").mapInArrow(_occurrences(length), "anchor long, content long, tid long, times long"), "strips"
     )
-    shared = (
+    # What is joined to a long table is written first, so that both sides of the join are plain shuffles
+    # and the engine may split a frequent key of the long one.
+    shared = durable(
         strips.groupBy(F.col("anchor").alias("_a"))
         .agg(F.sum("times").alias("n"), (F.min("content") != F.max("content")).alias("varied"))
-        .where("n > 1").select("_a", "varied")
+        .where("n > 1").select("_a", "varied"),
+        "anchors",
     )
     seen = durable(strips.join(shared, F.col("anchor") == F.col("_a")).select("anchor", "content", "tid", "times", "varied"), "repeats")
+    turn = F.lit(0).cast("long").alias("turn")
     if first:
         oldest = long.groupBy(F.col("tid").alias("_t")).agg(F.min("id").alias("oldest"), F.bool_or(F.col("id").isNull()).alias("blank"))
         oldest = oldest.select("_t", F.when(~F.col("blank"), F.col("oldest")).alias("oldest"))
-        held = seen.join(oldest, F.col("tid") == F.col("_t")).drop("_t")
-        lead = F.min(F.struct("oldest", "tid"))["tid"]
+        turns = ranked(oldest.withColumn("g", F.lit(0).cast("long")), ["oldest", "_t"]).select("_t", "oldest", F.col("at").alias("turn"))
+        held = seen.join(turns, F.col("tid") == F.col("_t")).drop("_t")
+        lead = F.min(F.struct("turn", "tid"))["tid"]
     else:
         held, lead = seen, F.min("tid")
     contents = durable(
         held.groupBy("anchor", "content").agg(F.sum("times").alias("times"), F.first("varied").alias("varied"), lead.alias("tid")), "contents"
     )
     open_ = contents.where("varied")
-    blocks = open_.groupBy(F.col("anchor").alias("_a")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    wanted = (
+    blocks = durable(
+        open_.groupBy(F.col("anchor").alias("_a")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks"
+    )
+    wanted = durable(
         open_.join(blocks, F.col("anchor") == F.col("_a"))
         .withColumn("block", F.pmod(F.xxhash64("content"), "blocks").cast("int"))
-        .groupBy("tid").agg(F.collect_list(F.struct("anchor", "content", "block", "blocks")).alias("wanted"))
+        .groupBy("tid").agg(F.collect_list(F.struct("anchor", "content", "block", "blocks")).alias("wanted")),
+        "wanted",
     )
     bodies = long.select(F.col("tid").alias("_t"), "text").join(wanted, F.col("tid") == F.col("_t")).select("tid", "text", "wanted")
     cut = bodies.mapInArrow(_cutter(length), _CUT)
-    if first:
-        cut = cut.join(oldest, F.col("tid") == F.col("_t")).drop("_t")
-        order = ["oldest", "tid", "place"]
-    else:
-        order = ["content"]
-    sides = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = cut.join(turns, F.col("tid") == F.col("_t")).drop("_t") if first else cut.select("*", turn)
+    order = ["turn", "place"] if first else ["content"]
     cut = cut.repartition(sides, "anchor", "block").sortWithinPartitions("anchor", "block", *order)
-    found = durable(cut.mapInArrow(_sorter(length, first), _MARK), "factors")
-    between = found.where("digest IS NOT NULL")
-    if first:
-        place = contents.join(oldest, F.col("tid") == F.col("_t")).select(
-            F.col("anchor").alias("_a"), F.col("content").alias("_c"), "oldest", "tid"
-        )
-        between = between.join(place, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c")))
-        same = Window.partitionBy("anchor", "digest").orderBy("oldest", "tid", "rank")
-        between = between.withColumn("copy", F.row_number().over(same) > 1)
-    else:
-        between = between.withColumn("copy", F.count(F.lit(1)).over(Window.partitionBy("anchor", "digest")) > 1)
-    between = between.where("copy").groupBy("anchor", "content").agg(F.collect_list("offset").alias("offsets"))
-    marks = found.where("digest IS NULL").select("anchor", "content", "offsets").unionByName(between)
+    found = durable(cut.mapInArrow(_sorter(length, first, sides), f"{_MARK}, share int, handed binary"), "factors")
+    between = found.where("handed IS NOT NULL").select("share", "handed").repartition(sides, "share").mapInArrow(_comparer(first), _MARK)
+    marks = found.where("handed IS NULL").select("anchor", "content", "offsets").unionByName(between)
     marks = marks.groupBy("anchor", "content").agg(F.flatten(F.collect_list("offsets")).alias("offsets"))
-    joined = contents.join(marks, ["anchor", "content"], "left")
-    if first:
-        verdict = joined.where("times > 1 OR offsets IS NOT NULL").withColumn("owner", F.col("tid"))
-    else:
-        verdict = joined.where("times > 1 OR offsets IS NOT NULL").withColumn("owner", F.when(F.col("times") == 1, F.col("tid")))
-    verdict = verdict.select(F.col("anchor").alias("_a"), F.col("content").alias("_c"), "owner", "offsets")
+    # Of a content that one place spares, the owner's first place loses the listed strings only.
+    owner = F.col("tid") if first else F.when(F.col("times") == 1, F.col("tid"))
+    verdict = durable(
+        contents.join(marks, ["anchor", "content"], "left").where("times > 1 OR offsets IS NOT NULL")
+        .select(F.col("anchor").alias("_a"), F.col("content").alias("_c"), owner.alias("owner"), "offsets"),
+        "verdicts",
+    )
     mine = F.coalesce(F.col("tid") == F.col("owner"), F.lit(False))
-    told = (
+    told = durable(
         seen.join(verdict, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c")))
         .groupBy(F.col("tid").alias("_t"))
-        .agg(F.collect_list(F.struct("anchor", "content", mine.alias("mine"), F.when(mine, F.col("offsets")).alias("offsets"))).alias("marks"))
+        .agg(F.collect_list(F.struct("anchor", "content", mine.alias("mine"), F.when(mine, F.col("offsets")).alias("offsets"))).alias("marks")),
+        "marks",
     )
     last = rows.join(told, F.col("tid") == F.col("_t"), "left").drop("_t")
     if first:
-        last = last.join(oldest, F.col("tid") == F.col("_t"), "left")
-        last = last.withColumn("lead", F.col("id").eqNullSafe(F.col("oldest")))
+        last = last.join(oldest, F.col("tid") == F.col("_t"), "left").withColumn("lead", F.col("id").eqNullSafe(F.col("oldest")))
     else:
         last = last.withColumn("lead", F.lit(True))
     last = last.select(F.col("id").alias(key), "text", "lead", "marks")
