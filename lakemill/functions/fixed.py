@@ -71,6 +71,7 @@ PSI_BINS = 10
 PSI_FLOOR = 1e-6
 PSI_CUTOFF = 0.1
 PSI_FULL = 0.25
+KS_EXACT = 10_000
 P_CUTOFF = 0.05
 CHI2_CUTOFF = 3.841458820694124
 DRIFT_GATE = 0.25
@@ -79,7 +80,7 @@ REF_MONTHS = 6
 # Scoring and selection.
 TARGET_PRECISION = 0.99
 DEFAULT_THRESHOLD = 0.5
-CANDIDATES = ["lr", "nb", "rf", "xgb"]
+CANDIDATES = ["lr", "nb", "rf", "hgb"]
 EMPTY_NOTE = "input contained no usable tokens after cleaning"
 
 # Words of the mail trade added to the stop words.

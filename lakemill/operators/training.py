@@ -7,12 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LinearSVC,
-    LinearSVCModel,
-    LogisticRegression,
-    LogisticRegressionModel,
     NaiveBayes,
     NaiveBayesModel,
     RandomForestClassificationModel,
@@ -20,54 +14,72 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.fixed import BASELINE_FEATURES, SEED, TARGET_PRECISION
 from lakemill.functions.numbers import seeded_int
+from lakemill.operators import blocks, boosting, linear
+from lakemill.operators.boosting import BoostedTrees
 from lakemill.operators.evaluation import confusion, evaluate, pick_threshold, rates
+from lakemill.operators.linear import LinearModel
 from lakemill.operators.scaling import ScalerModel
 from lakemill.operators.terms import TermModel, add_terms
+from lakemill.session import durable
 
 # Naive Bayes needs non-negative input, so it sees the text block only.
 TEXT_ONLY = {"nb"}
 MODEL_CLASSES = {
-    "lr": LogisticRegressionModel,
+    "lr": LinearModel,
     "nb": NaiveBayesModel,
     "rf": RandomForestClassificationModel,
-    "xgb": GBTClassificationModel,
+    "hgb": BoostedTrees,
 }
+#: Other names a candidate may be asked for by.
+ALIASES = {"xgb": "hgb", "gbt": "hgb"}
+Classifier = Model | LinearModel | BoostedTrees
 
 
 def features_column(name: str) -> str:
     return "tfidf" if name in TEXT_ONLY else "features"
 
 
-def estimator(name: str, n_train: int, trees: int = 100, depth: int = 20, rounds: int = 100, seed: int = SEED):
-    """Candidate by name. Losses are summed over rows at C=1, hence regParam = 1/n here."""
-    common = {"featuresCol": features_column(name), "labelCol": "label"}
+def vector_size(df: DataFrame, column: str) -> int:
+    v = F.unwrap_udt(column)
+    row = df.select(F.coalesce(v["size"], F.size(v["values"])).alias("n")).first()
+    if row is None:
+        raise ValueError("no rows to learn from")
+    return row["n"]
+
+
+def fitted(
+    name: str, train: DataFrame, column: str | None = None, trees: int = 100, depth: int = 20, rounds: int = 100, seed: int = SEED,
+) -> Classifier:
+    """Candidate by name, learned from `label` and a vector column."""
+    column = column or features_column(name)
     if name == "lr":
-        return LogisticRegression(
-            maxIter=1000, regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False, **common
-        )
+        held = blocks.packed(train, column)
+        model, _ = linear.logistic(held, vector_size(train, column))
+        held.unpersist()
+        return model
+    if name == "hgb":
+        return boosting.fit(train, column, settings=boosting.Settings(rounds=rounds))
+    common = {"featuresCol": column, "labelCol": "label"}
     if name == "nb":
-        return NaiveBayes(modelType="multinomial", smoothing=1.0, **common)
+        return NaiveBayes(modelType="multinomial", smoothing=1.0, **common).fit(train)
     if name == "rf":
-        return RandomForestClassifier(
+        forest = RandomForestClassifier(
             numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed, **common
         )
-    if name == "xgb":
-        return GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.3, maxBins=128, seed=seed, **common)
+        return forest.fit(train)
     raise ValueError(f"unknown candidate {name}")
 
 
-def spam_probability(column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
-
-
-def scored(model: Model, df: DataFrame) -> DataFrame:
+def scored(model: Classifier, df: DataFrame, column: str = "features") -> DataFrame:
     """Add `p`, the probability of spam."""
-    out = model.transform(df).withColumn("p", spam_probability())
+    if not isinstance(model, Model):
+        return df.withColumn("p", model.probability(F.col(column)))
+    out = model.transform(df).withColumn("p", vector_to_array(F.col("probability"))[1])
     return out.drop("rawPrediction", "probability", "prediction")
 
 
@@ -96,7 +108,7 @@ class SpamModel:
 
     name: str
     preparation: Preparation
-    classifier: Model
+    classifier: Classifier
     threshold: float
 
     def score(self, df: DataFrame) -> DataFrame:
@@ -104,7 +116,10 @@ class SpamModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Write to a new path; nothing is ever replaced in place."""
-        self.classifier.write().save(f"{path}/classifier")
+        if isinstance(self.classifier, Model):
+            self.classifier.write().save(f"{path}/classifier")
+        else:
+            self.classifier.save(f"{path}/classifier")
         meta = {
             "name": self.name,
             "threshold": self.threshold,
@@ -141,7 +156,7 @@ def evaluate_months(model: SpamModel, rows: DataFrame, start: str, threshold: fl
 @dataclass(frozen=True)
 class Candidate:
     name: str
-    classifier: Model
+    classifier: Classifier
     threshold: float
     hit_target: bool
     val: dict
@@ -162,58 +177,30 @@ class Candidate:
         }
 
 
-def train_one(
-    name: str, gold: DataFrame, n_train: int, target: float = TARGET_PRECISION, **sizes
-) -> Candidate:
+def train_one(name: str, gold: DataFrame, target: float = TARGET_PRECISION, **sizes) -> Candidate:
     """Fit on train, choose the threshold on val, measure on val and test.
 
     `gold` carries split, label, tfidf and features; write or cache it once for all candidates.
     """
-    model = estimator(name, n_train, **sizes).fit(gold.where(F.col("split") == "train"))
-    rows = scored(model, gold.where(F.col("split") != "train")).select(
-        "split", F.col("label").alias("y"), "p"
+    name = ALIASES.get(name, name)
+    model = fitted(name, gold.where(F.col("split") == "train"), **sizes)
+    # Threshold and metrics pass over the scores several times; the model runs once.
+    rows = durable(
+        scored(model, gold.where(F.col("split") != "train")).select("split", F.col("label").cast("int").alias("y"), "p"), "scores"
     )
     pick = pick_threshold(rows.where(F.col("split") == "val").drop("split"), target=target).first()
     metrics = {r["split"]: r.asDict() for r in evaluate(rows, F.lit(pick["threshold"]), ["split"]).collect()}
     return Candidate(name, model, pick["threshold"], pick["hit_target"], metrics["val"], metrics["test"])
 
 
-@dataclass(frozen=True)
-class CalibratedSvm:
-    """Linear margins turned into probabilities, averaged over folds."""
-
-    folds: tuple[tuple[LinearSVCModel, LogisticRegressionModel], ...]
+def calibrated_svm(train: DataFrame, key: str, folds: int = 5, seed: int = SEED) -> LinearModel:
+    """Squared-hinge margins of each fold's complement, calibrated on the fold; their mean probability.
 
-    @classmethod
-    def fit(
-        cls, train: DataFrame, key: str, folds: int = 5, seed: int = SEED, iterations: int = 100
-    ) -> CalibratedSvm:
-        """Each fold's margin model trains on the other folds and is calibrated on its own."""
-        tagged = train.withColumn("_fold", seeded_int(F.col(key), seed, 9) % folds)
-        pairs = []
-        for fold in range(folds):
-            rest = tagged.where(F.col("_fold") != fold)
-            svc = LinearSVC(
-                maxIter=iterations, regParam=1.0 / rest.count(), featuresCol="features", labelCol="label"
-            ).fit(rest)
-            margins = cls._margin(svc, tagged.where(F.col("_fold") == fold))
-            sigmoid = LogisticRegression(featuresCol="_margin", labelCol="label").fit(margins)
-            pairs.append((svc, sigmoid))
-        return cls(tuple(pairs))
-
-    @staticmethod
-    def _margin(svc: LinearSVCModel, df: DataFrame) -> DataFrame:
-        raw = svc.transform(df).withColumn("_m", vector_to_array("rawPrediction")[1])
-        raw = raw.drop("rawPrediction", "prediction")
-        return VectorAssembler(inputCols=["_m"], outputCol="_margin").transform(raw).drop("_m")
-
-    def score(self, df: DataFrame) -> DataFrame:
-        total = F.lit(0.0)
-        for i, (svc, sigmoid) in enumerate(self.folds):
-            df = scored(sigmoid, self._margin(svc, df)).withColumnRenamed("p", f"_p{i}").drop("_margin")
-            total = total + F.col(f"_p{i}")
-        df = df.withColumn("p", total / len(self.folds))
-        return df.drop(*[f"_p{i}" for i in range(len(self.folds))])
+    All folds learn in the same passes."""
+    held = blocks.packed(train, fold=seeded_int(F.col(key), seed, 9) % folds)
+    model, _ = linear.calibrated_svm(held, vector_size(train, "features"), folds)
+    held.unpersist()
+    return model
 
 
 def cross_validated_f1(
@@ -226,22 +213,14 @@ def cross_validated_f1(
     seed: int = SEED,
 ) -> DataFrame:
     """(model, mean_f1, std_f1) of logistic regression and a forest on the numeric features."""
-    rows = rows.withColumn("_fold", (seeded_int(F.col(key), seed, 17) % folds).cast("int"))
-    assembled = VectorAssembler(inputCols=features, outputCol="raw").transform(rows).select("_fold", "label", "raw", *features)
-    results = None
+    tagged = rows.withColumn("_fold", (seeded_int(F.col(key), seed, 17) % folds).cast("int"))
+    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(tagged).select("_fold", "label", "features")
+    held = blocks.packed(assembled, fold=F.col("_fold"))
+    results = [("lr", f) for f in linear.fold_f1(held, len(features), folds)]
+    held.unpersist()
     for fold in range(folds):
-        train, held = assembled.where(F.col("_fold") != fold), assembled.where(F.col("_fold") == fold)
-        scaler = ScalerModel.fit(train, features)
-
-        def scaled(df: DataFrame) -> DataFrame:
-            z = df.withColumns(scaler.scaled())
-            return VectorAssembler(inputCols=features, outputCol="features").transform(z)
-
-        for name, column in (("lr", "features"), ("rf", "raw")):
-            x, y = (scaled(train), scaled(held)) if name == "lr" else (train, held)
-            model = estimator(name, train.count(), trees=trees, depth=depth, seed=seed)
-            model = model.setFeaturesCol(column).fit(x)
-            out = confusion(scored(model, y).withColumn("y", F.col("label")), F.lit(0.5))
-            out = out.withColumns(rates()).select(F.lit(name).alias("model"), "f1")
-            results = out if results is None else results.unionByName(out)
-    return results.groupBy("model").agg(F.avg("f1").alias("mean_f1"), F.stddev_pop("f1").alias("std_f1"))
+        model = fitted("rf", assembled.where(F.col("_fold") != fold), "features", trees=trees, depth=depth, seed=seed)
+        out = scored(model, assembled.where(F.col("_fold") == fold)).withColumn("y", F.col("label"))
+        results.append(("rf", confusion(out, F.lit(0.5)).withColumns(rates()).first()["f1"]))
+    made = rows.sparkSession.createDataFrame(results, "model string, f1 double")
+    return made.groupBy("model").agg(F.avg("f1").alias("mean_f1"), F.stddev_pop("f1").alias("std_f1"))

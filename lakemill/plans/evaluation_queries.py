@@ -176,6 +176,24 @@ SELECT {key}, max(abs(cr / tr - cn / tn)) AS ks_stat, any_value(tr)::BIGINT AS r
   SELECT {key}, sum(ref) OVER w::DOUBLE AS cr, sum(new) OVER w::DOUBLE AS cn,
     sum(ref) OVER (PARTITION BY {key})::DOUBLE AS tr, sum(new) OVER (PARTITION BY {key})::DOUBLE AS tn
   FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY value)) GROUP BY {key}""")
+    part(f"{prefix}_asked", [f"{prefix}_ks"], f"""
+SELECT DISTINCT least(ref_n, new_n) AS m, greatest(ref_n, new_n) AS n, round(ks_stat * ref_n * new_n)::BIGINT AS k
+FROM {prefix}_ks WHERE greatest(ref_n, new_n) <= 10000""")
+    part(f"{prefix}_lattice", [f"{prefix}_asked"], f"""
+SELECT m, n, k, 0::BIGINT AS i, j, (CASE WHEN j * m < k THEN 1 ELSE 0 END)::DOUBLE AS u
+FROM {prefix}_asked, LATERAL (SELECT unnest(range(n + 1)) AS j)
+UNION ALL
+SELECT m, n, k, i + 1, j, CASE WHEN abs((i + 1) * n - j * m) < k THEN (i + 1)::DOUBLE / (i + 1 + n)
+  * sum(CASE WHEN abs((i + 1) * n - j * m) < k THEN u ELSE 0 END) OVER (PARTITION BY m, n, k ORDER BY j) ELSE 0 END
+FROM {prefix}_lattice WHERE i < m""", recursive=True)
+    part(f"{prefix}_p", [f"{prefix}_lattice"], f"""
+SELECT {key}, ks_stat, ref_n, new_n, CASE WHEN k IS NULL AND lam < 0.2 THEN 1.0::DOUBLE
+  WHEN k IS NULL THEN least(greatest(2 * list_sum(list_transform(range(1, 101),
+    lambda t: CASE WHEN t % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * t * t * lam * lam))), 0.0), 1.0)
+  WHEN k <= 0 THEN 1.0 ELSE least(greatest(1 - u, 0.0), 1.0) END AS ks_p_value
+FROM (SELECT *, ks_stat * sqrt(ref_n::DOUBLE * new_n / (ref_n + new_n)) AS lam FROM {prefix}_ks) s
+LEFT JOIN (SELECT m, n, k, u FROM {prefix}_lattice WHERE i = m AND j = n) l
+  ON m = least(ref_n, new_n) AND n = greatest(ref_n, new_n) AND k = round(ks_stat * ref_n * new_n)::BIGINT""")
     part(f"{prefix}_ranked", needs, f"""
 SELECT {key}, value, ref, sum(ref) OVER (PARTITION BY {key} ORDER BY value) - ref AS before,
   sum(ref) OVER (PARTITION BY {key}) AS total FROM {source} WHERE ref > 0""")
@@ -228,15 +246,15 @@ def psi_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.psi(line_counts(spark, folder), ["l_returnflag"]))
 
 
-@query(twin(["event_ks"], "SELECT event_type, ref_n, new_n, round(ks_stat, 9) AS ks_stat FROM event_ks"))
+@query(twin(["event_p"], "SELECT event_type, ref_n, new_n, round(ks_stat, 9) AS ks_stat, round(ks_p_value, 9) AS ks_p_value FROM event_p"))
 def ks_numeric(spark: SparkSession, folder: str) -> DataFrame:
     counts = drift.window_counts(tagged_events(spark, folder), "value", ["event_type"])
-    return rounded(drift.ks(counts, ["event_type"]).drop("ks_p_value"))
+    return rounded(drift.ks(counts, ["event_type"]))
 
 
-@query(twin(["line_ks"], "SELECT l_returnflag, ref_n, new_n, round(ks_stat, 9) AS ks_stat FROM line_ks"))
+@query(twin(["line_p"], "SELECT l_returnflag, ref_n, new_n, round(ks_stat, 9) AS ks_stat, round(ks_p_value, 9) AS ks_p_value FROM line_p"))
 def ks_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(drift.ks(line_counts(spark, folder), ["l_returnflag"]).drop("ks_p_value"))
+    return rounded(drift.ks(line_counts(spark, folder), ["l_returnflag"]))
 
 
 @query("""
@@ -272,10 +290,7 @@ SELECT term, 0.0::DOUBLE, (SELECT count(*) FROM {windows} WHERE is_ref) - sum(re
   (SELECT count(*) FROM {windows} WHERE NOT is_ref) - sum(new)::BIGINT FROM {prefix}_held GROUP BY term
 HAVING (SELECT count(*) FROM {windows} WHERE is_ref) > sum(ref) OR (SELECT count(*) FROM {windows} WHERE NOT is_ref) > sum(new)""")
     ks_psi_parts(prefix, f"{prefix}_counts", [f"{prefix}_counts"], "term")
-    part(f"{prefix}_terms", [f"{prefix}_ks", f"{prefix}_psi"], f"""
-SELECT term, ks_stat, ref_n, new_n, psi, CASE WHEN lam < 0.2 THEN 1.0::DOUBLE ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
-  lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * k * k * lam * lam))), 0.0), 1.0) END AS ks_p_value
-FROM (SELECT *, ks_stat * sqrt(ref_n::DOUBLE * new_n / (ref_n + new_n)) AS lam FROM {prefix}_ks JOIN {prefix}_psi USING (term))""")
+    part(f"{prefix}_terms", [f"{prefix}_p", f"{prefix}_psi"], f"SELECT * FROM {prefix}_p JOIN {prefix}_psi USING (term)")
 
 
 term_drift_parts("drift", "windows", "string_split(body_clean, ' ')")

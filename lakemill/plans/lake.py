@@ -121,12 +121,11 @@ def train(
     Every candidate is saved with its model, so that a later run can promote it without training.
     """
     gold, preparation = to_gold(spark, lake, month, **(limits or {}))
-    n_train = gold.where(F.col("split") == "train").count()
     rows = []
     for name in names:
-        trained = train_one(name, gold, n_train, target, **sizes)
+        trained = train_one(name, gold, target, **sizes)
         path = f"{lake.path('candidate_models')}/{month}-{name}-{uuid.uuid4().hex}"
-        SpamModel(name, preparation, trained.classifier, trained.threshold).save(spark, path)
+        SpamModel(trained.name, preparation, trained.classifier, trained.threshold).save(spark, path)
         rows.append(trained.row(month) | {"path": path})
     table = durable(spark.createDataFrame(rows).withColumn("trained_at", F.current_timestamp()), "candidates")
     table.write.mode("append").parquet(lake.path("candidates"))

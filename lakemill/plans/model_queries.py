@@ -20,25 +20,24 @@ from lakemill.sources.tables import mails, table
 from lakemill.streaming import feed
 
 
-def gold_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, Preparation, int]:
+def gold_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, Preparation]:
     rows = split_rows(spark, folder, "body_clean", *NUMERIC_FEATURES)
     train = rows.where(F.col("split") == "train")
     preparation = Preparation.fit(train)
     gold = durable(
         preparation.transform(rows).select("email_id", "label", "split", "tfidf", "features"), "gold", "split"
     )
-    return gold, preparation, gold.where(F.col("split") == "train").count()
+    return gold, preparation
 
 
 def _register_training() -> None:
     for name in training.MODEL_CLASSES:
         def run(spark: SparkSession, folder: str, name=name) -> DataFrame:
             """Candidate row: threshold on val, metrics on val and test."""
-            gold, _, n_train = gold_rows(spark, folder)
-            row = train_one(name, gold, n_train).row("latest")
-            return spark.createDataFrame([row])
+            gold, _ = gold_rows(spark, folder)
+            return spark.createDataFrame([train_one(name, gold).row("latest")])
 
-        query(name=f"train_{'gbt' if name == 'xgb' else name}")(run)
+        query(name=f"train_{name}")(run)
 
 
 _register_training()
@@ -46,10 +45,10 @@ _register_training()
 
 @query()
 def train_svm(spark: SparkSession, folder: str) -> DataFrame:
-    gold, _, _ = gold_rows(spark, folder)
-    model = training.CalibratedSvm.fit(gold.where(F.col("split") == "train"), "email_id")
-    rows = model.score(gold.where(F.col("split") != "train")).select("split", F.col("label").alias("y"), "p")
-    return evaluation.evaluate(rows, F.lit(0.5), ["split"])
+    gold, _ = gold_rows(spark, folder)
+    model = training.calibrated_svm(gold.where(F.col("split") == "train"), "email_id")
+    rows = training.scored(model, gold.where(F.col("split") != "train")).select("split", F.col("label").alias("y"), "p")
+    return evaluation.evaluate(durable(rows, "scores"), F.lit(0.5), ["split"])
 
 
 @query()
@@ -60,8 +59,8 @@ def cv_f1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spam_model(spark: SparkSession, folder: str) -> SpamModel:
-    gold, preparation, n_train = gold_rows(spark, folder)
-    best = train_one("lr", gold, n_train)
+    gold, preparation = gold_rows(spark, folder)
+    best = train_one("lr", gold)
     return SpamModel("lr", preparation, best.classifier, best.threshold)
 
 
@@ -84,8 +83,8 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def shadow_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Champion and challenger side by side on every message."""
-    gold, preparation, n_train = gold_rows(spark, folder)
-    pair = {n: train_one(n, gold, n_train) for n in ("lr", "nb")}
+    gold, preparation = gold_rows(spark, folder)
+    pair = {n: train_one(n, gold) for n in ("lr", "nb")}
     rows = preparation.transform(prepared(inbox(spark, folder)))
     champion = training.scored(pair["lr"].classifier, rows).withColumnRenamed("p", "champion_p")
     both = training.scored(pair["nb"].classifier, champion).withColumnRenamed("p", "challenger_p")
@@ -220,10 +219,10 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("ts"), "p",
     )
     rows = rows.unionByName(timeless)
-    gold, preparation, n_train = gold_rows(spark, folder)
+    gold, preparation = gold_rows(spark, folder)
     for k, name in enumerate(("lr", "nb", None)):
         if name:
-            best = train_one(name, gold, n_train)
+            best = train_one(name, gold)
             jobs.register(spark, lake, f"run-{k}", SpamModel(name, preparation, best.classifier, best.threshold))
         rows.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == k).write.mode("append").parquet(arrived)
         feed.refreshed_log(
@@ -251,16 +250,16 @@ SELECT name, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (spli
 FROM split_rows, (SELECT unnest([{names}]) AS name) GROUP BY name"""
 
 
-@query(twin(["split_rows"], SPLIT_COUNTS.format(names="'lr', 'nb', 'rf', 'xgb'")))
+@query(twin(["split_rows"], SPLIT_COUNTS.format(names="'lr', 'nb', 'rf', 'hgb'")))
 def candidate_checks(spark: SparkSession, folder: str) -> DataFrame:
     """What holds of every trained candidate whatever its weights: split sizes, the spam of the
     confusion counts, rates between 0 and 1, and a threshold at which the label follows the score."""
-    gold, _, n_train = gold_rows(spark, folder)
+    gold, _ = gold_rows(spark, folder)
     sizes = gold.groupBy("split").count().collect()
     n = {r["split"]: r["count"] for r in sizes}
     rows = []
     for name in training.MODEL_CLASSES:
-        best = train_one(name, gold, n_train)
+        best = train_one(name, gold)
         threshold = best.threshold
         scored = training.scored(best.classifier, gold.where(F.col("split") == "test"))
         scored = durable(scored.select(F.col("label").alias("y"), "p"), "scored")
@@ -279,7 +278,7 @@ SELECT s.email_id, s.split, count(w.idx) AS n_terms, round(coalesce(sqrt(sum(w.w
 FROM split_rows s LEFT JOIN weights w USING (email_id) GROUP BY s.email_id, s.split"""))
 def gold_vector_parts(spark: SparkSession, folder: str) -> DataFrame:
     """The gold vectors taken apart: number and norm of the term weights, and the scaled tail."""
-    gold, preparation, _ = gold_rows(spark, folder)
+    gold, preparation = gold_rows(spark, folder)
     width = len(preparation.terms.terms)
     v = F.unwrap_udt("features")
     # Vectors are stored dense or sparse; both are read by place.

@@ -39,8 +39,13 @@ def md5_int(key: str, seed: int, start: int) -> str:
 PARTS: dict[str, tuple[list[str], str]] = {}
 
 
-def part(name: str, needs: list[str], body: str) -> None:
+RECURSIVE: set[str] = set()
+
+
+def part(name: str, needs: list[str], body: str, recursive: bool = False) -> None:
     PARTS[name] = (needs, body)
+    if recursive:
+        RECURSIVE.add(name)
 
 
 def twin(needs: list[str], body: str) -> str:
@@ -56,7 +61,7 @@ def twin(needs: list[str], body: str) -> str:
     for name in needs:
         add(name)
     ctes = ",\n".join(f"{n} AS (\n{PARTS[n][1]}\n)" for n in ordered)
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' * bool(RECURSIVE.intersection(ordered))}{ctes}\n{body}"
 
 
 part("mails", [], """
