@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemill.functions.fixed import (
     CANDIDATES,
@@ -26,6 +28,7 @@ from lakemill.operators.terms import TermModel, add_terms
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.session import durable
 from lakemill.sources import files
+from lakemill.sources.commits import CommitLog, Generations
 
 
 @dataclass(frozen=True)
@@ -94,22 +97,48 @@ def to_gold(spark: SparkSession, lake: Lake, month: str, **limits) -> tuple[Data
     preparation = Preparation.fit(parts.where(F.col("split") == "train"), **limits)
     keep = ["email_id", "label", "month_partition", *NUMERIC_FEATURES, "tfidf", "features", "split"]
     gold = preparation.transform(parts).select(*keep)
-    # The snapshot's folder is replaced as a whole: a split that is no longer there leaves nothing behind.
-    gold.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("split").parquet(
-        f"{lake.path('gold')}/snapshot={month}"
-    )
-    stored = spark.read.parquet(lake.path("gold")).where(F.col("snapshot") == month)
-    log = splits.split_summary(stored).withColumns(
-        {
-            "snapshot": F.lit(month), "vocab_size": F.lit(len(preparation.terms.terms)), "built_at": F.current_timestamp(),
-            "scaler": F.array(*[
-                F.struct(F.lit(f).alias("feature"), F.lit(float(m)).alias("mean"), F.lit(float(s)).alias("scale"))
-                for f, m, s in zip(preparation.scaler.features, preparation.scaler.mean, preparation.scaler.scale)
-            ]),
-        }
-    )
-    log.write.mode("append").parquet(lake.path("gold_log"))
-    return stored, preparation
+    store = snapshot(lake, month)
+    path = store.staged()
+    gold.write.partitionBy("split").parquet(path)
+    stored = spark.read.parquet(path)
+    summary = [r.asDict() for r in splits.split_summary(stored).collect()]  # one row per split
+    scaler = preparation.scaler
+    store.publish(spark, path, {
+        "snapshot": month, "splits": summary, "vocab_size": len(preparation.terms.terms),
+        "scaler": [{"feature": f, "mean": float(m), "scale": float(s)} for f, m, s in zip(scaler.features, scaler.mean, scaler.scale)],
+    })
+    return stored.withColumn("snapshot", F.lit(month)), preparation
+
+
+def snapshot(lake: Lake, month: str) -> Generations:
+    """The generations of one gold snapshot."""
+    return Generations(f"{lake.path('gold')}/snapshot={month}")
+
+
+def read_gold(spark: SparkSession, lake: Lake, month: str, entry: dict | None = None) -> DataFrame:
+    """The current generation of a snapshot, or a pinned one; later builds do not change it."""
+    return files.required(snapshot(lake, month).read(spark, entry), f"gold snapshot {month}")
+
+
+BUILD = (
+    "snapshot string, generation string, built_at timestamp, vocab_size long, "
+    "scaler array<struct<feature: string, mean: double, scale: double>>"
+)
+
+
+def gold_log(spark: SparkSession, lake: Lake, month: str) -> DataFrame:
+    """One row per split of every build of a snapshot, from the entries that published them."""
+    entries = snapshot(lake, month).log.entries(spark)
+    summary = splits.split_summary(read_gold(spark, lake, month)).schema if entries else None
+    if summary is None:
+        return spark.createDataFrame([], BUILD)
+    rows = [
+        (e["snapshot"], e["generation"], datetime.fromtimestamp(e["at"]), e["vocab_size"],
+         [(s["feature"], s["mean"], s["scale"]) for s in e["scaler"]], *[part[f] for f in summary.names])
+        for e in entries for part in e["splits"]
+    ]
+    build = spark.createDataFrame([], BUILD).schema
+    return spark.createDataFrame(rows, StructType([*build.fields, *summary.fields]))
 
 
 def train(
@@ -171,27 +200,52 @@ def drift_report(
 
 
 REGISTRY = "version int, month string, name string, path string, threshold double"
+DECISIONS = "month string, challenger_f1 double, champion_f1 double, promoted boolean, reason string, drift_score double"
+
+
+def decision_log(lake: Lake) -> CommitLog:
+    """Decisions and promotions in one log: a promoted decision and its version are one entry."""
+    return CommitLog(lake.path("registry"))
+
+
+def _promoted(entries: list[dict]) -> list[dict]:
+    return [e for e in entries if e.get("version")]
 
 
 def registry(spark: SparkSession, lake: Lake) -> DataFrame:
-    rows = files.read_table(spark, lake.path("registry"))
-    return spark.createDataFrame([], REGISTRY) if rows is None else rows
+    rows = [(e["version"], e["month"], e["name"], e["path"], e["threshold"]) for e in _promoted(decision_log(lake).entries(spark))]
+    return spark.createDataFrame(rows, REGISTRY)
+
+
+def decisions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """All decisions in the order they were taken, skipped runs included."""
+    names = [f.split()[0] for f in DECISIONS.split(", ")]
+    rows = [(e["n"], *[e[c] for c in names]) for e in decision_log(lake).entries(spark) if e.get("reason")]
+    return spark.createDataFrame(rows, f"n int, {DECISIONS}")
+
+
+def saved_model(spark: SparkSession, lake: Lake, month: str, model: SpamModel) -> dict:
+    """Save a model under a path of its own; an entry of the log makes it a version."""
+    path = f"{lake.path('models')}/{month}-{model.name}-{uuid.uuid4().hex}"
+    model.save(spark, path)
+    return {"month": month, "name": model.name, "path": path, "threshold": float(model.threshold)}
+
+
+def next_in(entries: list[dict]) -> int:
+    """The version after those of the entries."""
+    return 1 + max((e["version"] for e in _promoted(entries)), default=0)
 
 
 def register(spark: SparkSession, lake: Lake, month: str, model: SpamModel) -> int:
     """Save a model under the next version; it is the champion from then on."""
-    version = evaluation.next_version(registry(spark, lake)).first()["version"]
-    path = f"{lake.path('models')}/v{version}"
-    model.save(spark, path)
-    row = [(version, month, model.name, path, float(model.threshold))]
-    spark.createDataFrame(row, REGISTRY).write.mode("append").parquet(lake.path("registry"))
-    return version
+    saved = saved_model(spark, lake, month, model)
+    return decision_log(lake).commit(spark, lambda entries: saved | {"version": next_in(entries)})["version"]
 
 
 def champion(spark: SparkSession, lake: Lake) -> tuple[SpamModel, float] | None:
-    """The model of the latest promoted row, with its threshold; None before the first."""
-    row = registry(spark, lake).orderBy(F.desc("version")).first()
-    return None if row is None else (SpamModel.load(spark, row["path"]), row["threshold"])
+    """The model of the latest promotion, with its threshold; None before the first."""
+    held = _promoted(decision_log(lake).entries(spark))
+    return (SpamModel.load(spark, held[-1]["path"]), held[-1]["threshold"]) if held else None
 
 
 def compare_and_promote(
@@ -202,7 +256,6 @@ def compare_and_promote(
     Promotion writes a new versioned path and a registry row; otherwise nothing changes.
     """
     test = files.read_table(spark, lake.path("silver")).where(F.col("month_partition") == month)
-    held = champion(spark, lake)
 
     def measured(model: SpamModel, threshold: float, role: str) -> DataFrame:
         rows = model.score(test).select(F.col("label").alias("y"), "p")
@@ -210,30 +263,32 @@ def compare_and_promote(
             {"role": F.lit(role), "name": F.lit(model.name), "threshold": F.lit(threshold), "month": F.lit(month)}
         )
 
-    metrics = measured(challenger, challenger.threshold, "challenger")
-    if held:
-        metrics = metrics.unionByName(measured(*held, "champion"))
-    metrics = durable(metrics, "comparison")
-    metrics.write.mode("append").parquet(lake.path("comparisons"))
-    decision = durable(
-        evaluation.promotion(
+    own = durable(measured(challenger, challenger.threshold, "challenger"), "comparison")
+    saved: dict = {}
+
+    def decided(entries: list[dict]) -> dict:
+        """Compare with the champion of these entries; after a lost race there may be another one."""
+        held = _promoted(entries)
+        metrics = own
+        if held:
+            metrics = own.unionByName(measured(SpamModel.load(spark, held[-1]["path"]), held[-1]["threshold"], "champion"))
+        metrics = durable(metrics, "comparison")
+        metrics.write.mode("append").parquet(lake.path("comparisons"))
+        verdict = evaluation.promotion(
             metrics.where(F.col("role") == "champion"), metrics.where(F.col("role") == "challenger"), month, delta
-        ),
-        "decision",
-    )
-    if decision.first()["promoted"]:
-        register(spark, lake, month, challenger)
-    return _recorded(lake, decision, drift_score)
+        ).first()
+        entry = {c: verdict[c] for c in ("month", "challenger_f1", "champion_f1", "promoted", "reason")} | {"drift_score": drift_score}
+        if not verdict["promoted"]:
+            return entry
+        if not saved:
+            saved.update(saved_model(spark, lake, month, challenger))
+        return entry | saved | {"version": next_in(entries)}
 
+    return _row(spark, decision_log(lake).commit(spark, decided))
 
-def _recorded(lake: Lake, decision: DataFrame, drift_score: float | None) -> DataFrame:
-    """Append a decision to the one table of decisions, skipped runs included."""
-    row = decision.select(
-        "month", F.col("challenger_f1").cast("double"), F.col("champion_f1").cast("double"), "promoted", "reason",
-        F.lit(drift_score).cast("double").alias("drift_score"),
-    )
-    row.withColumn("decided_at", F.current_timestamp()).write.mode("append").parquet(lake.path("decisions"))
-    return row
+
+def _row(spark: SparkSession, entry: dict) -> DataFrame:
+    return spark.createDataFrame([tuple(entry[f.split()[0]] for f in DECISIONS.split(", "))], DECISIONS)
 
 
 def monthly_run(
@@ -248,11 +303,12 @@ def monthly_run(
         challenger = train(spark, lake, month, names, limits=limits, **sizes)
         decision = compare_and_promote(spark, lake, month, challenger, delta, float(report["drift_score"]))
         return decision.select("month", "promoted", "reason", "drift_score")
-    skipped = spark.createDataFrame(
-        [(month, None, None, False, "drift below threshold, training skipped")],
-        "month string, challenger_f1 double, champion_f1 double, promoted boolean, reason string",
-    )
-    return _recorded(lake, skipped, float(report["drift_score"])).select("month", "promoted", "reason", "drift_score")
+    skipped = {
+        "month": month, "challenger_f1": None, "champion_f1": None, "promoted": False,
+        "reason": "drift below threshold, training skipped", "drift_score": float(report["drift_score"]),
+    }
+    entry = decision_log(lake).commit(spark, lambda _: skipped)
+    return _row(spark, entry).select("month", "promoted", "reason", "drift_score")
 
 
 def first_load(

@@ -16,6 +16,7 @@ from lakemill.plans.message_queries import inbox
 from lakemill.plans.twins import PERIOD_ROWS, part, twin
 from lakemill.session import durable, new_path
 from lakemill.sources import files
+from lakemill.sources.commits import Generations
 from lakemill.sources.tables import mails, table
 from lakemill.streaming import feed
 
@@ -105,6 +106,61 @@ def _monthly_loop(spark: SparkSession, folder: str, lake: jobs.Lake) -> DataFram
     return jobs.monthly_run(spark, lake, known[-1], known[0], known[-2], gate=0.0)
 
 
+@query(twin(["split_rows"], """
+SELECT split, count(*) AS n_rows, count(*) FILTER (label = 1) AS n_spam, count(*) FILTER (split <> 'test') AS n_pinned, 2::BIGINT AS n_builds
+FROM split_rows GROUP BY split"""))
+def gold_generations(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot built twice, while a third build dies before its switch: what readers get now, and what
+    a reader still gets that holds the first generation."""
+    rows = durable(split_rows(spark, folder, *NUMERIC_FEATURES), "split-rows")
+    store = Generations(new_path(spark, "gold-generations"))
+    for part_ in (rows.where("split <> 'test'"), rows):
+        path = store.staged()
+        part_.write.partitionBy("split").parquet(path)
+        store.publish(spark, path, {"n_rows": part_.count()})
+    rows.where("split = 'val'").write.parquet(store.staged())
+    first = store.log.entries(spark)[0]
+    pinned = store.read(spark, first).groupBy("split").agg(F.count(F.lit(1)).alias("n_pinned"))
+    now = store.read(spark).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_spam"))
+    return now.join(pinned, "split", "left").fillna(0, ["n_pinned"]).withColumn(
+        "n_builds", F.lit(len(store.log.entries(spark))).cast("long")
+    )
+
+
+@query(twin(["split_rows"], """
+SELECT version, name, (SELECT count(*) FROM split_rows WHERE split = 'test') AS n_scored, true AS probabilities_hold
+FROM (SELECT unnest([1, 2, 3]) AS version, unnest(['nb', 'lr', 'nb']) AS name)"""))
+def registry_race(spark: SparkSession, folder: str) -> DataFrame:
+    """Two promotions that interleave: both read version 1, the slower one reads again and becomes version
+    3. Every version has a model of its own, which scores the test rows."""
+    gold, preparation = gold_rows(spark, folder)
+    lake = jobs.Lake(new_path(spark, "lake"))
+    models = {}
+    for name in ("nb", "lr"):
+        best = train_one(name, gold)
+        models[name] = SpamModel(name, preparation, best.classifier, best.threshold)
+    jobs.register(spark, lake, "first", models["nb"])
+    log, slow = jobs.decision_log(lake), jobs.saved_model(spark, lake, "slow", models["nb"])
+    raced: list[int] = []
+
+    def entry(known: list[dict]) -> dict:
+        if not raced:
+            raced.append(jobs.register(spark, lake, "fast", models["lr"]))
+        return slow | {"version": jobs.next_in(known)}
+
+    log.commit(spark, entry)
+    test = gold.where("split = 'test'")
+    out = None
+    for row in jobs.registry(spark, lake).collect():
+        model = SpamModel.load(spark, row["path"])
+        rows = training.scored(model.classifier, test).agg(
+            F.count(F.lit(1)).alias("n_scored"), F.bool_and(F.col("p").between(0, 1)).alias("probabilities_hold")
+        )
+        rows = rows.select(F.lit(row["version"]).alias("version"), F.lit(row["name"]).alias("name"), "n_scored", "probabilities_hold")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(twin(["bronze"], "SELECT month_partition, body, raw_label FROM bronze"))
 def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly raw CSV files of two header layouts written and read back row by row."""
@@ -307,7 +363,7 @@ def monthly_loop_checks(spark: SparkSession, folder: str) -> DataFrame:
     lake = jobs.Lake(new_path(spark, "lake"))
     decision = _monthly_loop(spark, folder, lake)
     versions = [r["version"] for r in jobs.registry(spark, lake).orderBy("version").collect()]
-    decisions = spark.read.parquet(lake.path("decisions"))
+    decisions = jobs.decisions(spark, lake)
     promoted = decisions.where("promoted").count()
     following = evaluation.next_version(jobs.registry(spark, lake)).first()["version"]
     held = versions == list(range(1, promoted + 1)) and following == promoted + 1 and jobs.champion(spark, lake) is not None

@@ -83,11 +83,9 @@ def test_gold_job_guards_and_replaces_its_snapshot(spark, folder, monkeypatch):
     lake = jobs.Lake(folder)
     jobs.to_bronze(mails(spark, 180), lake, "doc_id", 60)
     jobs.to_silver(spark, lake)
-    stale = f"{lake.path('gold')}/snapshot=2025-01/split=old"
-    spark.range(3).write.parquet(stale)
     gold, _ = jobs.to_gold(spark, lake, "2025-01", **LIMITS)
     assert {r["split"] for r in gold.select("split").distinct().collect()} == {"train", "val", "test"}
-    log = spark.read.parquet(lake.path("gold_log")).first()
+    log = jobs.gold_log(spark, lake, "2025-01").first()
     assert [s["feature"] for s in log["scaler"]] == jobs.NUMERIC_FEATURES and len(log["months"]) >= 1
     monkeypatch.setitem(jobs.CONTRACT, "label", "string")
     with pytest.raises(ValueError, match="contract"):
@@ -111,7 +109,7 @@ def test_promotion_from_stored_candidates_and_one_table_of_decisions(spark, fold
     assert jobs.promote_stored(spark, lake, "2025-01", delta=-2.0).first()["promoted"]
     assert jobs.registry(spark, lake).count() == 2
     jobs.monthly_run(spark, lake, "2025-01", "2024-11", "2024-12", gate=2.0)
-    rows = spark.read.parquet(lake.path("decisions")).orderBy("decided_at").collect()
+    rows = jobs.decisions(spark, lake).orderBy("n").collect()
     assert [r["promoted"] for r in rows] == [True, True, False] and "skipped" in rows[2]["reason"]
 
 
