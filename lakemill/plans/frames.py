@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.operators import ingest, silver, splits
-from lakemill.plans.twins import KEYWORDS, PERIOD_ROWS
+from lakemill.plans.twins import KEYWORDS, period_rows
 from lakemill.session import durable
 from lakemill.sources.tables import mail_keys, mails
 
 
+def rows_of_period(spark: SparkSession, folder: str) -> int:
+    """Rows of a period of the given mails, by their number."""
+    return period_rows(mail_keys(spark, folder).count())
+
+
 def bronze_rows(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.bronze(
-        mails(spark, folder), rows_per_period=PERIOD_ROWS, keys=mail_keys(spark, folder)
+        mails(spark, folder), rows_per_period=rows_of_period(spark, folder), keys=mail_keys(spark, folder)
     )
 
 

@@ -11,8 +11,8 @@ from lakemill.functions.fixed import SILVER_FEATURES
 from lakemill.functions.folding import fold_ascii
 from lakemill.operators import ingest, silver
 from lakemill.plans.catalog import query
-from lakemill.plans.frames import bronze_rows, silver_rows
-from lakemill.plans.twins import KEYWORDS, PERIOD_ROWS, clean_parts, part, twin
+from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows
+from lakemill.plans.twins import KEYWORDS, clean_parts, part, twin
 from lakemill.sources.tables import mail_keys, mails
 
 FEATURE_LIST = ", ".join(SILVER_FEATURES)
@@ -20,12 +20,12 @@ FEATURE_LIST = ", ".join(SILVER_FEATURES)
 
 @query(twin(["months"], "SELECT doc_id, idx, chunk, month_partition, row_in_month FROM months"))
 def period_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.assign_periods(mail_keys(spark, folder), "doc_id", PERIOD_ROWS)
+    return ingest.assign_periods(mail_keys(spark, folder), "doc_id", rows_of_period(spark, folder))
 
 
 @query(twin(["months"], "SELECT DISTINCT chunk, month_partition FROM months"))
 def month_labels(spark: SparkSession, folder: str) -> DataFrame:
-    periods = ingest.assign_periods(mail_keys(spark, folder), "doc_id", PERIOD_ROWS)
+    periods = ingest.assign_periods(mail_keys(spark, folder), "doc_id", rows_of_period(spark, folder))
     return periods.select("chunk", "month_partition").distinct()
 
 

@@ -11,9 +11,9 @@ from lakemill.operators.messages import prepared
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.plans import lake as jobs
 from lakemill.plans.catalog import query
-from lakemill.plans.frames import bronze_rows, silver_rows, split_rows
+from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows, split_rows
 from lakemill.plans.message_queries import inbox
-from lakemill.plans.twins import PERIOD_ROWS, part, twin
+from lakemill.plans.twins import part, twin
 from lakemill.session import durable, new_path
 from lakemill.sources import files
 from lakemill.sources.commits import Generations
@@ -99,7 +99,7 @@ def monthly_loop(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _monthly_loop(spark: SparkSession, folder: str, lake: jobs.Lake) -> DataFrame:
-    jobs.to_bronze(mails(spark, folder), lake, "doc_id", PERIOD_ROWS)
+    jobs.to_bronze(mails(spark, folder), lake, "doc_id", rows_of_period(spark, folder))
     jobs.to_silver(spark, lake)
     known = files.months(files.read_table(spark, lake.path("silver")))
     jobs.first_load(spark, lake, known[-1])

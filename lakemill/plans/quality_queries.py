@@ -11,9 +11,9 @@ from lakemill.functions.features import add_clean
 from lakemill.functions.fixed import PROFILE_FEATURES
 from lakemill.operators import ingest, profiling, quality, silver
 from lakemill.plans.catalog import query
-from lakemill.plans.frames import bronze_rows, silver_rows
+from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows
 from lakemill.plans.ingest_queries import marked_mails
-from lakemill.plans.twins import PERIOD_ROWS, UNICODE_SPACE, even, part, twin
+from lakemill.plans.twins import UNICODE_SPACE, even, part, twin
 from lakemill.session import durable
 from lakemill.sources.tables import mail_keys, mails, table
 
@@ -40,7 +40,7 @@ def gappy_rows(spark: SparkSession, folder: str) -> DataFrame:
     given = mails(spark, folder)
     planted = given.where(kind < 8).withColumn("body", text)
     keys = mail_keys(spark, folder)
-    rows = [ingest.bronze(part, rows_per_period=PERIOD_ROWS, keys=keys) for part in (given, planted)]
+    rows = [ingest.bronze(part, rows_per_period=rows_of_period(spark, folder), keys=keys) for part in (given, planted)]
     rows[1] = rows[1].withColumn("email_id", F.concat("email_id", F.lit("-gap")))
     return rows[0].unionByName(rows[1]).select("email_id", "month_partition", "label", F.col("body").alias("txt"))
 

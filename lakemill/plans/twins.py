@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from lakemill.functions.fixed import SPAM_KEYWORDS
+
 # Query-level parameters shared by both sides.
-PERIOD_ROWS = 100
-KEYWORDS = ["that", "with", "this", "from", "than", "that the"]
+#: Rows of a period at least, and periods at most: a century of months, so large tables get larger periods.
+LEAST_ROWS, PERIODS = 100, 1200
+#: The library's own list, and words that the given texts hold.
+KEYWORDS = [*SPAM_KEYWORDS, "that", "with", "this", "from", "than", "that the"]
+
+
+def period_rows(n: int) -> int:
+    return max(LEAST_ROWS, -(-n // PERIODS))
 
 UNICODE_SPACE = (
     r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -69,15 +77,14 @@ SELECT d.doc_id, d.text AS body, CASE l.quality WHEN 0 THEN 'spam' WHEN 1 THEN '
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 
 part("chunked", ["mails"], f"""
-SELECT doc_id, body, raw_label, idx, total,
-  least(idx // {PERIOD_ROWS},
-        CASE WHEN total % {PERIOD_ROWS} = 0 OR (total % {PERIOD_ROWS} < {PERIOD_ROWS // 2} AND total >= {PERIOD_ROWS})
-             THEN total // {PERIOD_ROWS} - 1 ELSE total // {PERIOD_ROWS} END) AS chunk
-FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS total FROM mails)""")
+SELECT doc_id, body, raw_label, idx, total, per,
+  least(idx // per, CASE WHEN total % per = 0 OR (total % per < per // 2 AND total >= per) THEN total // per - 1 ELSE total // per END) AS chunk
+FROM (SELECT *, greatest({LEAST_ROWS}, (total + {PERIODS - 1}) // {PERIODS}) AS per
+  FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS total FROM mails))""")
 
 part("months", ["chunked"], f"""
 SELECT *, strftime(DATE '2024-11-01' + to_months(chunk::INTEGER), '%Y-%m') AS month_partition,
-  idx - chunk * {PERIOD_ROWS} AS row_in_month
+  idx - chunk * per AS row_in_month
 FROM chunked""")
 
 part("ids", ["months"], """
