@@ -49,8 +49,8 @@ def add_terms(
     return df.withColumn("terms", ngrams(F.col("_words"), *grams)).drop("_words")
 
 
-def counted_terms(df: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per document and distinct term with its count `tf`, without a shuffle.
+def gather_counts(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per document with `counts`, its distinct terms and their numbers `tf`, without a shuffle.
 
     The sorted term list is cut where a term differs from the one before it; the distance
     between cuts is the count.
@@ -67,12 +67,16 @@ def counted_terms(df: DataFrame, keep: list[str]) -> DataFrame:
     return (
         df.select(*keep, F.sort_array("terms").alias("_sorted"))
         .withColumn("_at", F.when(F.size(s) > 0, places))
-        # Outer: for a plain inline the optimizer adds a size check that repeats the counting.
-        .select(*keep, F.inline_outer(pairs))
-        .where(F.col("term").isNotNull())
+        .select(*keep, pairs.alias("counts"))
     )
 
 
+def counted_terms(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per document and distinct term with its count `tf`, without a shuffle."""
+    # Outer: for a plain inline the optimizer adds a size check that repeats the counting.
+    return gather_counts(df, keep).select(*keep, F.inline_outer("counts")).where(F.col("term").isNotNull())
+
+
 def vocabulary(
     df: DataFrame,
     min_df: int = MIN_DF,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.operators import drift, evaluation
+from lakemill.operators import drift, evaluation, ledger
+from lakemill.operators.ledger import Ledger
 from lakemill.operators.quality import label_distribution, profile
 from lakemill.operators.terms import TermModel, add_terms
 from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, silver_rows
 from lakemill.plans.twins import part, twin
-from lakemill.session import durable
+from lakemill.session import durable, new_path
 from lakemill.sources.tables import table, text_table
 
 MODELS = {"lr": 11, "nb": 29, "rf": 53}
@@ -340,11 +341,12 @@ FROM (SELECT count(*) AS n_features, count(*) FILTER (ks_p_value < 0.05 AND psi
   avg(psi) AS mean_psi, max(psi) AS max_psi FROM drift_terms) t, label_chi2""")
 
 
-@query(twin(["report"], """
+REPORT = twin(["report"], """
 SELECT n_features, ks_drifted_features, round(mean_psi, 8) AS mean_psi, round(max_psi, 8) AS max_psi, round(chi2, 8) AS chi2,
-  label_drifted, round(drift_score, 8) AS drift_score, drift_score >= 0.25 AS retrain FROM report"""))
-def drift_score(spark: SparkSession, folder: str) -> DataFrame:
-    rows, terms = term_rows(spark, folder)
+  label_drifted, round(drift_score, 8) AS drift_score, drift_score >= 0.25 AS retrain FROM report""")
+
+
+def score_row(rows: DataFrame, terms: DataFrame) -> DataFrame:
     report = drift.retrain_gate(drift.drift_report(drift.label_drift(rows), terms))
     report = report.withColumnRenamed("drifted", "label_drifted")
     return rounded(
@@ -352,6 +354,29 @@ def drift_score(spark: SparkSession, folder: str) -> DataFrame:
                       "drift_score", "retrain"), 8)
 
 
+@query(REPORT)
+def drift_score(spark: SparkSession, folder: str) -> DataFrame:
+    return score_row(*term_rows(spark, folder))
+
+
+@query(REPORT)
+def drift_score_from_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The same report from a ledger filled in two runs, by a window that has slid over all its months;
+    texts are read once, when their month enters the ledger."""
+    rows = durable(silver_rows(spark, folder).select("email_id", "body_clean", "label", "month_partition"), "silver")
+    book = Ledger(new_path(spark, "ledger"))
+    months = sorted(r[0] for r in rows.select("month_partition").distinct().collect())
+    half = months[len(months) // 2]
+    book.update(rows.where(F.col("month_partition") <= half))
+    book.update(rows)
+    totals = book.totals(spark)
+    # From the months after the first two to those before the last.
+    window = ledger.slid(ledger.window_totals(totals, months[2:]), totals, months[:2], months[-1:])
+    tagged = drift.tag_windows(book.documents(spark), months[0], months[-2], months[-1])
+    model = ledger.vocabulary(window, 2, 100)
+    return score_row(tagged, drift.term_drift(durable(ledger.drift_counts(tagged, model), "term-counts")))
+
+
 @query(twin(["bronze"], """
 SELECT month_partition, avg(label) AS spam_share, avg(label) < 0.10 OR avg(label) > 0.90 AS drift_flag
 FROM bronze GROUP BY month_partition"""))

@@ -23,8 +23,8 @@ from lakemill.functions.fixed import (
     ROWS_PER_PERIOD,
     TARGET_PRECISION,
 )
-from lakemill.operators import drift, evaluation, ingest, quality, silver, splits
-from lakemill.operators.terms import TermModel, add_terms
+from lakemill.operators import drift, evaluation, ingest, ledger, quality, silver, splits
+from lakemill.operators.ledger import Ledger
 from lakemill.operators.training import Preparation, SpamModel, train_one
 from lakemill.session import durable
 from lakemill.sources import files
@@ -181,15 +181,15 @@ def drift_report(
     spark: SparkSession, lake: Lake, month: str, ref_start: str, ref_end: str, top_k: int = DRIFT_TERMS
 ) -> DataFrame:
     """Compare a month with a reference range and append the report row."""
-    rows = files.required(files.read_table(spark, lake.path("silver")), "silver")
-    files.months(rows, ref_start, ref_end)
-    files.months(rows, month, month)
-    tagged = drift.tag_windows(
-        rows.select("email_id", "body_clean", "label", "month_partition"), ref_start, ref_end, month
-    )
-    terms = add_terms(tagged, "body_clean", (1, 1))
-    model = TermModel.fit(terms.where("is_ref"), min_df=DRIFT_MIN_DF, max_df=1.0, max_terms=top_k)
-    counts = durable(drift.term_counts(terms, model), "term-counts")
+    silver_ = files.required(files.read_table(spark, lake.path("silver")), "silver")
+    window = files.months(silver_, ref_start, ref_end)
+    files.months(silver_, month, month)
+    # Texts are read for the months that the ledger lacks; the report itself reads counted terms only.
+    book = Ledger(lake.path("ledger"))
+    book.update(silver_)
+    tagged = drift.tag_windows(book.documents(spark), ref_start, ref_end, month)
+    model = ledger.vocabulary(ledger.window_totals(book.totals(spark), window), DRIFT_MIN_DF, top_k)
+    counts = durable(ledger.drift_counts(tagged, model), "term-counts")
     report = drift.drift_report(drift.label_drift(tagged), drift.term_drift(counts)).withColumns(
         {"month": F.lit(month), "first_ref": F.lit(ref_start), "last_ref": F.lit(ref_end),
          "computed_at": F.current_timestamp()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.features import add_clean
 from lakemill.functions.fixed import PROFILE_FEATURES
-from lakemill.operators import ingest, profiling, quality, silver
+from lakemill.operators import ingest, profiling, quality, silver, sketches
 from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows
 from lakemill.plans.ingest_queries import marked_mails
@@ -129,6 +129,36 @@ def dq_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
     return quality.uniqueness(gappy_rows(spark, folder), "txt", ["month_partition"])
 
 
+part("ranged", ["words"], """
+SELECT * FROM words WHERE month_partition > (SELECT min(month_partition) FROM words) AND month_partition < (SELECT max(month_partition) FROM words)""")
+
+
+@query(twin(["ranged"], f"""
+SELECT count(*) AS n_rows, count(*) FILTER (txt IS NULL) AS n_null, min(length(s))::INTEGER AS min_length, max(length(s))::INTEGER AS max_length,
+  {even("avg(length(s))", 2)} AS mean_length, round(stddev_samp(length(s)), 6) AS std_length, true AS unique_holds, true AS quartiles_hold FROM ranged"""))
+def quality_of_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all months but the first and the last from stored sketches: exact counts and moments,
+    and whether distinct texts and quartiles are within the stated error of the exact ones."""
+    rows = durable(gappy_rows(spark, folder), "gappy")
+    stored = durable(sketches.month_sketches(rows, "txt"), "sketches")
+    months = sorted(r[0] for r in stored.select("month_partition").collect())
+    report = sketches.range_report(stored, months[1], months[-2])
+    ranged = sketches.in_range(rows, months[1], months[-2])
+    exact = quality.uniqueness(ranged, "txt").first()["n_unique"]
+    found, length = report.first(), F.length(F.coalesce("txt", F.lit("None")))
+    shares = ranged.agg(*[
+        F.avg((length < found[q]).cast("double")).alias(f"below_{q}") for q in ("q25", "q50", "q75")
+    ], *[F.avg((length <= found[q]).cast("double")).alias(f"upto_{q}") for q in ("q25", "q50", "q75")]).first()
+    held = all(
+        shares[f"below_{q}"] - sketches.RANK_ERROR <= p <= shares[f"upto_{q}"] + sketches.RANK_ERROR
+        for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+    )
+    return report.select(
+        "n_rows", "n_null", "min_length", "max_length", "mean_length", "std_length",
+        F.lit(abs(found["n_unique"] - exact) <= sketches.UNIQUE_ERROR * exact).alias("unique_holds"), F.lit(held).alias("quartiles_hold"),
+    )
+
+
 @query(twin(["words"], """
 SELECT w.email_id, w.s AS value, t.n AS n_rows FROM words w JOIN (
   SELECT min(email_id) AS email_id, count(*) AS n FROM words GROUP BY s ORDER BY n DESC, min(email_id) LIMIT 5) t
