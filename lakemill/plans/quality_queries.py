@@ -7,9 +7,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.functions.cleaning import split_words
 from lakemill.functions.features import add_clean
 from lakemill.functions.fixed import PROFILE_FEATURES
-from lakemill.operators import ingest, profiling, quality, silver, sketches
+from lakemill.operators import heavy, ingest, profiling, quality, silver, sketches
 from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows
 from lakemill.plans.ingest_queries import marked_mails
@@ -261,17 +262,27 @@ def label_pivot(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.label_pivot(bronze_rows(spark, folder))
 
 
-@query(twin(["mails"], f"""
+TOP_TOKENS = twin(["mails"], f"""
 SELECT raw_label, token, n_uses, place::INTEGER AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY raw_label ORDER BY n_uses DESC, token) AS place FROM (
     SELECT raw_label, token, count(*) AS n_uses FROM (
       SELECT raw_label, unnest(string_split_regex(body, '[{UNICODE_SPACE}]+')) AS token FROM mails WHERE raw_label IS NOT NULL)
-    WHERE token <> '' GROUP BY raw_label, token)) WHERE place <= 20"""))
+    WHERE token <> '' GROUP BY raw_label, token)) WHERE place <= 20""")
+
+
+@query(TOP_TOKENS)
 def top_tokens(spark: SparkSession, folder: str) -> DataFrame:
     rows = mails(spark, folder).where(F.col("raw_label").isNotNull())
     return profiling.top_tokens(rows, "body", "raw_label")
 
 
+@query(TOP_TOKENS)
+def top_tokens_two_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same list from bounded counters per task and an exact count of the few candidates."""
+    rows = mails(spark, folder).where(F.col("raw_label").isNotNull())
+    return heavy.top(rows, split_words(F.col("body")), 20, F.col("raw_label")).withColumnRenamed("grp", "raw_label")
+
+
 @query(twin(["marked"], f"""
 SELECT raw_label, {even("avg(contains(lower(body), 'escapenumber')::INTEGER) * 100", 2)} AS rate_pct
 FROM (SELECT m.body, r.raw_label FROM marked m JOIN mails r USING (doc_id)) WHERE raw_label IS NOT NULL GROUP BY raw_label"""))
@@ -280,13 +291,25 @@ def marker_rate(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.marker_rate(rows, F.lower("body").contains("escapenumber"), "raw_label")
 
 
-@query(twin(["mails"], """
+VARIANTS = twin(["mails"], """
 SELECT variant, count(*) AS n_uses FROM (
   SELECT unnest(regexp_extract_all(body, '\\b([a-z]{1,4}tion)\\b', 1)) AS variant FROM mails)
-GROUP BY variant ORDER BY n_uses DESC, variant LIMIT 10"""))
+GROUP BY variant ORDER BY n_uses DESC, variant LIMIT 10""")
+#: Word boundaries are ASCII on both sides.
+VARIANT = r"(?<![A-Za-z0-9_])([a-z]{1,4}tion)(?![A-Za-z0-9_])"
+
+
+@query(VARIANTS)
 def regex_variants(spark: SparkSession, folder: str) -> DataFrame:
-    # Word boundaries are ASCII on both sides.
-    return profiling.top_matches(mails(spark, folder), "body", r"(?<![A-Za-z0-9_])([a-z]{1,4}tion)(?![A-Za-z0-9_])")
+    return profiling.top_matches(mails(spark, folder), "body", VARIANT)
+
+
+@query(VARIANTS)
+def regex_variants_two_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same list from bounded counters per task and an exact count of the few candidates."""
+    found = F.regexp_extract_all("body", F.lit(VARIANT), F.lit(1))
+    rows = heavy.top(mails(spark, folder).where("body IS NOT NULL"), found, 10)
+    return rows.select(F.col("token").alias("variant"), "n_uses")
 
 
 CONTENT_SQL = ", ".join(
