@@ -15,32 +15,59 @@ from lakemill.functions.messages import (
     one_line,
     verdict,
 )
+from lakemill.session import durable
 
 
-def bodies(parts: DataFrame) -> DataFrame:
+def bodies(parts: DataFrame, order: str = "part_no", root: Column | None = None) -> DataFrame:
     """(message_id, body) from parts (message_id, part_no, mime, data).
 
-    Part 0 is the message itself: its own data wins. Else the first plain part that decodes to
-    text, else the first such html part, else ''. Parts are in depth-first order.
+    The root part, number 0, is the message itself: its own data wins. Else the first plain part that
+    decodes to text, else the first such html part, else ''. Parts are in depth-first order.
     """
+    root = F.col("part_no") == 0 if root is None else root
     has = F.coalesce(F.length("data") > 0, F.lit(False))
     some = has & (decoded(F.col("data")) != "")
 
     def first(condition: Column) -> Column:
-        return F.min(F.when(condition, F.col("part_no")))
+        return F.min(F.when(condition, F.col(order)))
 
-    # Choose by part numbers alone, then fetch the chosen part: no text is held in an aggregate,
-    # and (message_id, part_no) is unique, so a message of very many parts stays spread out.
-    own = first((F.col("part_no") == 0) & has)
+    # Choose by places alone, then fetch the chosen part: no text is held in an aggregate,
+    # and (message_id, place) is unique, so a message of very many parts stays spread out.
+    own = first(root & has)
     plain = first((F.col("mime") == "text/plain") & some)
     html = first((F.col("mime") == "text/html") & some)
-    chosen = parts.groupBy("message_id").agg(F.coalesce(own, plain, html).alias("part_no"))
-    data = parts.where(has).select("message_id", "part_no", "data")
-    return chosen.join(data, ["message_id", "part_no"], "left").select(
+    chosen = parts.groupBy("message_id").agg(F.coalesce(own, plain, html).alias(order))
+    data = parts.where(has).select("message_id", order, "data")
+    return chosen.join(data, ["message_id", order], "left").select(
         "message_id", F.coalesce(decoded(F.col("data")), F.lit("")).alias("body")
     )
 
 
+def part_paths(parts: DataFrame) -> DataFrame:
+    """(message_id, part_id, path) of every part that its message's root leads to.
+
+    Parts name their parent and their place among its children; the root has no parent and an empty path.
+    Paths compare as depth-first order does. Each round adds one level to the paths, for all messages at
+    once, so there are as many rounds as the deepest message has levels; parts under a missing parent or
+    in a ring are never reached. Only ids travel.
+    """
+    ids = parts.select("message_id", "part_id", "parent_id", "place")
+    level = durable(ids.where("parent_id IS NULL").select("message_id", "part_id", F.array().cast("array<int>").alias("path")), "paths")
+    found = level
+    while not level.isEmpty():
+        above = level.select("message_id", F.col("part_id").alias("parent_id"), F.col("path").alias("_above"))
+        below = ids.join(above, ["message_id", "parent_id"])
+        level = durable(below.select("message_id", "part_id", F.array_append("_above", F.col("place").cast("int")).alias("path")), "paths")
+        found = found.unionByName(level)
+    return found
+
+
+def tree_bodies(parts: DataFrame) -> DataFrame:
+    """(message_id, body) from nested parts (message_id, part_id, parent_id, place, mime, data)."""
+    placed = parts.join(part_paths(parts), ["message_id", "part_id"])
+    return bodies(placed, "path", F.size("path") == 0)
+
+
 def first_occurrences(messages: DataFrame, order: str, key: str = "message_id") -> DataFrame:
     """One row per message id, the first by `order` (unique within the id).
 

@@ -11,6 +11,7 @@ from lakemill.functions.messages import header, input_text
 from lakemill.operators import messages
 from lakemill.plans.catalog import query
 from lakemill.plans.twins import UNICODE_SPACE, clean_parts, even, part, squeeze, twin
+from lakemill.session import durable
 from lakemill.sources.tables import table, text_table
 
 # The mailbox: conversation turns as messages, with a subject, a time and a score by rule.
@@ -164,6 +165,61 @@ def body_from_parts(spark: SparkSession, folder: str) -> DataFrame:
     return messages.bodies(mime_parts(spark, folder))
 
 
+# Nested messages of five levels: (part, parent, place, mime). Part g holds the text four levels down, after
+# the empty ones on its way; x hangs on a parent that is not there, and y and z on each other.
+TREE = [
+    ("r", None, 0, "multipart/mixed"), ("a", "r", 1, "multipart/alternative"), ("b", "r", 0, "multipart/related"),
+    ("c", "b", 0, "multipart/alternative"), ("e", "c", 1, "text/html"), ("f", "c", 0, "multipart/mixed"),
+    ("g", "f", 0, "text/plain"), ("h", "a", 0, "text/plain"), ("x", "missing", 0, "text/plain"),
+    ("y", "z", 0, "text/plain"), ("z", "y", 0, "text/plain"),
+]
+CODED = "translate(to_base64(encode({})), '+/', '-_')"
+TREE_ROWS = ", ".join(
+    f"('{name}', {f"'{parent}'" if parent else 'NULL'}, {place}, '{mime}')" for name, parent, place, mime in TREE
+)
+part("tree_parts", [], f"""
+SELECT 'd' || doc_id AS message_id, t.*, CASE part_id
+  WHEN 'r' THEN CASE WHEN doc_id % 11 = 0 THEN {CODED.format('lang')} END
+  WHEN 'e' THEN {CODED.format('source')}
+  WHEN 'g' THEN CASE WHEN doc_id % 3 = 0 THEN '' ELSE {CODED.format('text')} END
+  WHEN 'h' THEN CASE WHEN doc_id % 6 <> 0 THEN {CODED.format('lang')} END
+  WHEN 'x' THEN {CODED.format('source')} WHEN 'y' THEN {CODED.format('source')} WHEN 'z' THEN {CODED.format('source')} END AS data
+FROM documents, (VALUES {TREE_ROWS}) t(part_id, parent_id, place, mime)""")
+part("tree_walk", ["tree_parts"], """
+SELECT message_id, part_id, mime, data, []::INTEGER[] AS path FROM tree_parts WHERE parent_id IS NULL
+UNION ALL
+SELECT p.message_id, p.part_id, p.mime, p.data, list_append(w.path, p.place) FROM tree_parts p
+JOIN tree_walk w ON w.message_id = p.message_id AND w.part_id = p.parent_id""", recursive=True)
+part("tree_text", ["tree_walk"], """
+SELECT *, CASE WHEN data IS NULL OR data = '' THEN NULL ELSE decode(from_base64(translate(data, '-_', '+/'))) END AS t FROM tree_walk""")
+
+
+@query(twin(["tree_text"], """
+SELECT message_id, coalesce(min_by(t, path) FILTER (len(path) = 0 AND t IS NOT NULL), min_by(t, path) FILTER (mime = 'text/plain' AND t <> ''),
+  min_by(t, path) FILTER (mime = 'text/html' AND t <> ''), '') AS body FROM tree_text GROUP BY message_id"""))
+def body_from_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Bodies of documents wrapped in nested parts, chosen in depth-first order."""
+    docs = text_table(spark, folder, "documents", "doc_id")
+    doc = F.col("doc_id")
+
+    def coded(text: str) -> F.Column:
+        return F.translate(F.base64(F.col(text).cast("binary")), "+/", "-_")
+
+    data = {
+        "r": F.when(doc % 11 == 0, coded("lang")), "e": coded("source"), "g": F.when(doc % 3 == 0, "").otherwise(coded("text")),
+        "h": F.when(doc % 6 != 0, coded("lang")), "x": coded("source"), "y": coded("source"), "z": coded("source"),
+    }
+    parts = [
+        F.struct(
+            F.lit(name).alias("part_id"), F.lit(parent).cast("string").alias("parent_id"), F.lit(place).alias("place"),
+            F.lit(mime).alias("mime"), data.get(name, F.lit(None)).cast("string").alias("data"),
+        )
+        for name, parent, place, mime in TREE
+    ]
+    rows = docs.select(F.concat(F.lit("d"), doc.cast("string")).alias("message_id"), F.inline(F.array(*parts)))
+    return messages.tree_bodies(durable(rows, "parts"))
+
+
 @query("""
 SELECT conv_id || '-' || turn AS message_id, CASE turn % 4 WHEN 2 THEN '' ELSE text END AS subject FROM conversations""")
 def header_lookup(spark: SparkSession, folder: str) -> DataFrame:
