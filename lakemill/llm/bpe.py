@@ -17,9 +17,12 @@ from __future__ import annotations
 
 import base64
 import itertools
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,25 @@ _SIDE_BY_SIDE = 64
 _CACHE = 300_000
 
 
+#: A sign that is neither letter nor digit nor white space (private use).
+_SIGN = "\ue000"
+
+
+@lru_cache(maxsize=1)
+def _later_signs() -> re.Pattern:
+    """Code points that `regex` counts as letters or digits, but which Unicode 15.1 (the tables of the
+    library, and of this Python) had not assigned: there they are other signs."""
+    kind = regex.compile(r"[\p{L}\p{N}]")
+    odd = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn" and kind.match(chr(c))]
+    ranges: list[list[int]] = []
+    for c in odd:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]" if ranges else r"(?!)")
+
+
 def splitter(pattern: str) -> regex.Pattern:
     """The split pattern with white space spelled out."""
     spelled = pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]")
@@ -240,9 +262,16 @@ class Encoder:
                 for piece, a, b in zip(names[low : low + step], [0, *ends], ends):
                     self.known[piece] = data[a:b]
 
+    def pieces(self, text: str) -> list[str]:
+        """Matches of the split pattern."""
+        if text.isascii() or not _later_signs().search(text):
+            return self.split.findall(text)
+        # Cut where the pattern matches with plain signs in their place.
+        return [text[m.start() : m.end()] for m in self.split.finditer(_later_signs().sub(_SIGN, text))]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        cut = [self.split.findall(text) for text in texts]
+        cut = [self.pieces(text) for text in texts]
         pieces = set(itertools.chain.from_iterable(cut))
         missing = pieces.difference(self.known)
         if len(self.known) + len(missing) > _CACHE:  # the memory starts anew
@@ -265,6 +294,7 @@ def encoder(spark: SparkSession, ranks: Ranks):
         ranks = sent.value
         mine = _WORKER.get(id(ranks))
         if mine is None or mine.ranks is not ranks:
+            _WORKER.clear()  # one vocabulary at a time, however many jobs a worker serves
             mine = _WORKER[id(ranks)] = Encoder(ranks)
         for array in column:
             parts = []

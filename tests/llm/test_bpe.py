@@ -52,3 +52,11 @@ def test_documents(spark, docs, texts, odd_docs, no_docs, library):
     odd = bpe.decoded(bpe.encoded(odd_docs, ranks, "doc_id", "text"), ranks).collect()
     assert all(bytes(r.decoded).decode() == (r.text or "") for r in odd)
     assert bpe.encoded(no_docs, ranks, "doc_id").count() == 0
+
+
+def test_every_code_point_is_split_as_the_library_does(library, mine):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}1 {chr(c)}{chr(c)}b" for c in points[low : low + 512]) for low in range(0, len(points), 512)]
+    assert bpe._later_signs().search("\u0558") and not bpe._later_signs().search("Aé1\u4e2d\U0001f600")
+    for text, ids in zip(texts, mine.encode(texts)):
+        assert ids.tolist() == library.encode_ordinary(text)
