@@ -268,10 +268,10 @@ def kept(rows: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     rows = rows.withColumn("_base", F.expr("filter(found, c -> c.base)"))
     rows = rows.withColumn("_more", F.expr(f"filter(found, c -> {accepted})"))
     rows = rows.withColumn("_more", F.expr("filter(_more, c -> NOT exists(_base, b -> b.start < c.end AND c.start < b.end))"))
-    # Of added spans that overlap, the first by kind and place stays.
-    rows = rows.withColumn(
-        "_more", F.expr("filter(_more, (c, i) -> NOT exists(slice(_more, 1, i), b -> b.start < c.end AND c.start < b.end))")
-    )
+    # Of added spans that overlap, the first by kind and place stays; one that goes stands in no other's way.
+    rows = rows.withColumn("_more", F.expr(
+        "aggregate(_more, filter(_more, c -> false), (held, c) -> IF(exists(held, b -> b.start < c.end AND c.start < b.end), held, concat(held, array(c))))"
+    ))
     return rows.withColumn("spans", F.concat("_base", "_more")).drop("_base", "_more", "found")
 
 

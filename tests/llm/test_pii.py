@@ -102,3 +102,13 @@ def test_no_python_runs_on_the_executors(docs):
     plan = pii.spans(docs)._jdf.queryExecution().toString() + pii.redacted(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_chains_of_overlapping_added_spans(spark):
+    """A overlaps B and B overlaps C: B goes, and C, which meets nothing that is kept, stays."""
+    kind = "array<struct<kind: string, start: bigint, end: bigint, base: boolean, v_check: int>>"
+    chain = [("national_phone", 0, 10, False, 1), ("national_phone", 8, 20, False, 1), ("national_phone", 18, 30, False, 1)]
+    shaded = [("email", 40, 50, True, 1), ("national_phone", 45, 55, False, 1), ("national_phone", 54, 60, False, 1)]
+    rows = spark.createDataFrame([(1, chain), (2, shaded), (3, []), (4, chain[1:])], f"id int, found {kind}")
+    got = {r.id: [(s.start, s.end) for s in r.spans] for r in pii.kept(rows, pii.Model({}, {}, {}, 30.0)).collect()}
+    assert got == {1: [(0, 10), (18, 30)], 2: [(40, 50), (54, 60)], 3: [], 4: [(8, 20)]}
