@@ -19,6 +19,7 @@ from lakemill.sources import files
 from lakemill.sources.commits import Generations
 from lakemill.sources.tables import mails, table
 from lakemill.streaming import feed
+from lakemill.streaming.mailbox import deliver, mailbox_feed, trim
 
 
 def gold_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, Preparation]:
@@ -262,6 +263,31 @@ def stream_since(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("event_id long, event_type string").parquet(f"{out}/rows")
 
 
+@query("""
+SELECT event_id AS history_id, event_type FROM events
+WHERE event_id > (SELECT min(event_id) + (max(event_id) - min(event_id)) // 3 FROM events)""")
+def stream_mailbox(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as mail that arrives in three deliveries: the first before the stream's first start, the
+    last when the stream's cursor has expired. Everything after the first start comes out once."""
+    out = new_path(spark, "mailbox")
+    mail = table(spark, folder, "events").select(
+        F.concat(F.lit("m"), "event_id").alias("message_id"), F.col("event_id").cast("long").alias("history_id"), "event_type"
+    )
+    low, high = mail.agg(F.min("history_id"), F.max("history_id")).first()
+    cuts = [low - 1, *(low + (high - low) * k // 3 for k in (1, 2)), high]
+    for k, (above, upto) in enumerate(zip(cuts, cuts[1:])):
+        deliver(mail.where((F.col("history_id") > above) & (F.col("history_id") <= upto)), f"{out}/box")
+        if k == 2:
+            trim(f"{out}/box", upto - (upto - above) // 2)
+        rows = mailbox_feed(spark, f"{out}/box", mail.schema)
+        stream = rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").start(f"{out}/rows")
+        try:
+            stream.processAllAvailable()
+        finally:
+            stream.stop()
+    return spark.read.schema(mail.schema).parquet(f"{out}/rows").select("history_id", "event_type")
+
+
 @query()
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """The mailbox, and messages without a time beside it, scored as a stream in three runs; every

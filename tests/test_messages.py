@@ -90,3 +90,22 @@ def test_logs(spark):
 def test_small_columns(spark):
     row = spark.range(1).select(one_line(F.lit("a\r\nb")), log_probability(F.lit(0.1234567))).first()
     assert tuple(row) == ("a  b", "0.123457")
+
+
+def test_nested_parts_in_depth_first_order(spark):
+    code = lambda t: base64.urlsafe_b64encode(t.encode()).decode()
+    rows = [
+        ("a", "r", None, 0, "multipart/mixed", None), ("a", "1", "r", 1, "text/plain", code("late")),
+        ("a", "0", "r", 0, "multipart/alternative", ""), ("a", "0.0", "0", 0, "text/html", code("<p>")), ("a", "0.1", "0", 1, "text/plain", code("deep")),
+        ("b", "r", None, 0, "text/plain", code("own")), ("b", "0", "r", 0, "text/plain", code("other")),
+        ("c", "r", None, 0, "multipart/mixed", None), ("c", "0", "r", 0, "text/html", code("only html")),
+        ("d", "r", None, 0, "multipart/mixed", None), ("d", "x", "gone", 0, "text/plain", code("lost")),
+    ]
+    rows += [("e", "0", None, 0, "multipart/mixed", None)]
+    rows += [("e", str(k + 1), str(k), 0, "text/plain" if k == 11 else "multipart/mixed", code("bottom") if k == 11 else None) for k in range(12)]
+    parts = spark.createDataFrame(rows, "message_id string, part_id string, parent_id string, place int, mime string, data string")
+    got = {r["message_id"]: r["body"] for r in messages.tree_bodies(parts).collect()}
+    assert got == {"a": "deep", "b": "own", "c": "only html", "d": "", "e": "bottom"}
+    paths = {(r["message_id"], r["part_id"]): r["path"] for r in messages.part_paths(parts).collect()}
+    assert paths["a", "0.1"] == [0, 1] and paths["a", "r"] == [] and len(paths["e", "12"]) == 12 and ("d", "x") not in paths
+    assert messages.tree_bodies(parts.limit(0)).count() == 0
