@@ -42,7 +42,7 @@ def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = byte_ranks()
-    rows = bpe.decoded(bpe.encoded(docs, ranks, "doc_id"), ranks)
+    rows = bpe.round_trip(docs, ranks, "doc_id")
     return rows.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

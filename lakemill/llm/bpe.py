@@ -284,6 +284,30 @@ class Encoder:
 _WORKER: dict[int, Encoder] = {}
 
 
+def _encoder(ranks: Ranks) -> Encoder:
+    mine = _WORKER.get(id(ranks))
+    if mine is None or mine.ranks is not ranks:
+        _WORKER.clear()  # one vocabulary at a time, however many jobs a worker serves
+        mine = _WORKER[id(ranks)] = Encoder(ranks)
+    return mine
+
+
+def _ids(mine: Encoder, array: pa.Array) -> pa.Array:
+    parts = []
+    for step in steps(array):
+        found = mine.encode([x or "" for x in step.to_pylist()])
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
+def _bytes(ranks: Ranks, array: pa.Array) -> pa.Array:
+    token = ranks.tokens.__getitem__
+    ids = array.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False)).tolist()
+    return pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip([0, *ends], ends)], pa.binary())
+
+
 def encoder(spark: SparkSession, ranks: Ranks):
     """UDF of a text: its ids."""
     batches.small(spark)
@@ -291,18 +315,9 @@ def encoder(spark: SparkSession, ranks: Ranks):
 
     @F.arrow_udf("array<int>")
     def encode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ranks = sent.value
-        mine = _WORKER.get(id(ranks))
-        if mine is None or mine.ranks is not ranks:
-            _WORKER.clear()  # one vocabulary at a time, however many jobs a worker serves
-            mine = _WORKER[id(ranks)] = Encoder(ranks)
+        mine = _encoder(sent.value)
         for array in column:
-            parts = []
-            for step in steps(array):
-                found = mine.encode([x or "" for x in step.to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            yield _ids(mine, array)
         mine.known = {}
         release()
 
@@ -316,11 +331,8 @@ def decoder(spark: SparkSession, ranks: Ranks):
 
     @F.arrow_udf("binary")
     def decode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = sent.value.tokens.__getitem__
         for array in column:
-            ids = array.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False)).tolist()
-            yield pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip([0, *ends], ends)], pa.binary())
+            yield _bytes(sent.value, array)
         release()
 
     return decode
@@ -334,3 +346,21 @@ def encoded(docs: DataFrame, ranks: Ranks, *keep: str | Column, text: str = "tex
 def decoded(rows: DataFrame, ranks: Ranks, ids: str = "ids") -> DataFrame:
     """The rows with `decoded`, the bytes of the ids."""
     return rows.withColumn("decoded", decoder(rows.sparkSession, ranks)(F.col(ids)))
+
+
+def round_trip(docs: DataFrame, ranks: Ranks, *keep: str | Column, text: str = "text") -> DataFrame:
+    """(the kept columns, ids, decoded) per input row, both by one worker: ids go to the engine once and
+    do not come back to be decoded."""
+    batches.small(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        mine = _encoder(sent.value)
+        for array in column:
+            ids = _ids(mine, array)
+            yield pa.StructArray.from_arrays([ids, _bytes(mine.ranks, ids)], ["ids", "decoded"])
+        mine.known = {}
+        release()
+
+    return docs.select(*keep, both(F.col(text)).alias("_both")).select("*", "_both.*").drop("_both")

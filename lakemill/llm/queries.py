@@ -153,7 +153,7 @@ def byte_ranks() -> bpe.Ranks:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each document and the bytes they decode to, as digests."""
     ranks = byte_ranks()
-    rows = bpe.decoded(bpe.encoded(table(spark, folder, "documents"), ranks, "doc_id"), ranks)
+    rows = bpe.round_trip(table(spark, folder, "documents"), ranks, "doc_id")
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -51,7 +51,10 @@ def test_documents(spark, docs, texts, odd_docs, no_docs, library):
         assert hashlib.sha256(r.decoded).digest() == hashlib.sha256(texts[r.doc_id].encode()).digest()
     odd = bpe.decoded(bpe.encoded(odd_docs, ranks, "doc_id", "text"), ranks).collect()
     assert all(bytes(r.decoded).decode() == (r.text or "") for r in odd)
-    assert bpe.encoded(no_docs, ranks, "doc_id").count() == 0
+    both = bpe.round_trip(odd_docs, ranks, "doc_id", "text")
+    assert both.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(str, both.collect())) == sorted(map(str, odd))
+    assert bpe.encoded(no_docs, ranks, "doc_id").count() == bpe.round_trip(no_docs, ranks, "doc_id").count() == 0
 
 
 def test_every_code_point_is_split_as_the_library_does(library, mine):
