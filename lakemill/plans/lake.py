@@ -248,6 +248,14 @@ def champion(spark: SparkSession, lake: Lake) -> tuple[SpamModel, float] | None:
     return (SpamModel.load(spark, held[-1]["path"]), held[-1]["threshold"]) if held else None
 
 
+def current_model(spark: SparkSession, lake: Lake) -> tuple[SpamModel, int]:
+    """The champion and its version."""
+    held = _promoted(decision_log(lake).entries(spark))
+    if not held:
+        raise FileNotFoundError("missing input: a promoted model")
+    return SpamModel.load(spark, held[-1]["path"]), held[-1]["version"]
+
+
 def compare_and_promote(
     spark: SparkSession, lake: Lake, month: str, challenger: SpamModel, delta: float = 0.0, drift_score: float | None = None,
 ) -> DataFrame:

@@ -308,7 +308,7 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
             jobs.register(spark, lake, f"run-{k}", SpamModel(name, preparation, best.classifier, best.threshold))
         rows.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == k).write.mode("append").parquet(arrived)
         feed.refreshed_log(
-            feed.file_feed(spark, arrived, rows.schema), lambda s: jobs.champion(s, lake)[0], f"{out}/rows",
+            feed.file_feed(spark, arrived, rows.schema), lambda s: jobs.current_model(s, lake), f"{out}/rows",
             f"{out}/checkpoint", once=True,
         ).awaitTermination()
     return spark.read.parquet(f"{out}/rows").drop("batch")
@@ -326,6 +326,69 @@ def stream_score_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(twin(["kept_inputs"], """
+SELECT message_id, CASE WHEN split_part(message_id, '-', 1)::BIGINT % 3 = 0 THEN 1 ELSE 2 END::INTEGER AS model_version FROM kept_inputs"""))
+def stream_model_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Which model scored which message: conversations arrive in three portions, and the model is replaced
+    after the first."""
+    out = new_path(spark, "versions")
+    lake = jobs.Lake(new_path(spark, "lake"))
+    rows = inbox(spark, folder)
+    portion = F.split_part("message_id", F.lit("-"), F.lit(1)).cast("long") % 3
+    gold, preparation = gold_rows(spark, folder)
+    for k, name in enumerate(("lr", "nb", None)):
+        if name:
+            best = train_one(name, gold)
+            jobs.register(spark, lake, f"run-{k}", SpamModel(name, preparation, best.classifier, best.threshold))
+        rows.where(portion == k).write.mode("append").parquet(f"{out}/arrived")
+        feed.refreshed_log(
+            feed.file_feed(spark, f"{out}/arrived", rows.schema), lambda s: jobs.current_model(s, lake), f"{out}/rows", f"{out}/checkpoint", once=True,
+        ).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("message_id", "model_version")
+
+
+@query(twin(["silver"], """
+SELECT count(*) AS n_rows, count(*) FILTER (label = 1) AS n_spam, true AS same_as_unsaved, true AS same_scores FROM silver
+WHERE month_partition = (SELECT max(month_partition) FROM silver)"""))
+def saved_model_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved and reloaded model of every kind gives the metrics and scores of the one that was saved, on
+    all rows of the latest silver month."""
+    gold, preparation = gold_rows(spark, folder)
+    rows = durable(silver_rows(spark, folder), "silver")
+    start = files.months(rows)[-1]
+    same_metrics = same_scores = True
+    for name in training.MODEL_CLASSES:
+        best = train_one(name, gold)
+        model = SpamModel(best.name, preparation, best.classifier, best.threshold)
+        path = new_path(spark, "model")
+        model.save(spark, path)
+        again = SpamModel.load(spark, path)
+        metrics = [training.evaluate_months(m, rows, start).first().asDict() for m in (model, again)]
+        last = rows.where(F.col("month_partition") >= start)
+        a, b = (m.score(last).select("email_id", F.col("p").alias(n)) for m, n in ((model, "a"), (again, "b")))
+        same_metrics = same_metrics and metrics[0] == metrics[1]
+        same_scores = same_scores and a.join(b, "email_id").where(F.abs(F.col("a") - F.col("b")) > 1e-12).isEmpty()
+    m = metrics[1]
+    counts = (m["tp"] + m["fp"] + m["fn"] + m["tn"], m["tp"] + m["fn"], same_metrics, same_scores)
+    return spark.createDataFrame([counts], "n_rows long, n_spam long, same_as_unsaved boolean, same_scores boolean")
+
+
+@query(twin(["kept_inputs"], """
+SELECT count(*) AS n_rows, count(DISTINCT message_id) AS n_messages, true AS probabilities_hold, true AS champion_holds FROM kept_inputs"""))
+def shadow_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of the shadow scores whatever the models: every usable message once, probabilities, and
+    the champion's scores those of the batch log."""
+    rows = durable(shadow_scores(spark, folder), "shadow")
+    log = durable(score_batch(spark, folder), "log").select("message_id", F.col("spam_probability").cast("double").alias("logged"))
+    both = rows.join(log, "message_id", "left")
+    usable = F.col("logged") != 0  # a message without tokens is logged as 0
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("message_id").alias("n_messages"),
+        F.bool_and(F.col("champion_p").between(0, 1) & F.col("challenger_p").between(0, 1)).alias("probabilities_hold"),
+        F.bool_and(F.coalesce(~usable | (F.abs(F.col("logged") - F.col("champion_p")) < 1e-5), F.lit(False))).alias("champion_holds"),
+    )
+
+
 SPLIT_COUNTS = """
 SELECT name, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val,
   count(*) FILTER (split = 'test') AS n_test, count(*) FILTER (split = 'test' AND label = 1) AS test_spam, true AS rates_hold

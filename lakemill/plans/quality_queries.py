@@ -15,7 +15,8 @@ from lakemill.plans.catalog import query
 from lakemill.plans.frames import bronze_rows, rows_of_period, silver_rows
 from lakemill.plans.ingest_queries import marked_mails
 from lakemill.plans.twins import UNICODE_SPACE, even, part, twin
-from lakemill.session import durable
+from lakemill.session import durable, new_path
+from lakemill.sources import files
 from lakemill.sources.tables import mail_keys, mails, table
 
 # Raw texts, and beside some of them rows with gaps, so that every rate is exercised.
@@ -243,7 +244,25 @@ def _report_twin() -> str:
 @query(_report_twin())
 def quality_report_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The nested report with one column per metric."""
-    rows = quality_report(spark, folder)
+    return flat_report(quality_report(spark, folder))
+
+
+@query(_report_twin())
+def report_sinks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from the JSON files of the reports; the flat log beside them must hold the same months
+    without the nested metrics."""
+    path = new_path(spark, "reports")
+    rows = durable(quality_report(spark, folder), "report")
+    files.write_reports(rows, path)
+    log = spark.read.json(f"{path}/log")
+    plain = set(rows.columns) - {"quality_metrics"}
+    told = log.select("month_partition").join(rows.select("month_partition"), "month_partition", "full").count()
+    if not set(log.columns) <= plain or not told == log.count() == rows.count():
+        raise ValueError("the log of the reports differs from the reports")
+    return flat_report(spark.read.schema(rows.schema).json(f"{path}/report"))
+
+
+def flat_report(rows: DataFrame) -> DataFrame:
     nested = rows.schema["quality_metrics"].dataType
     metrics = [
         F.col(f"quality_metrics.{f.name}.{m.name}").cast("double").alias(f"{f.name}_{m.name}")

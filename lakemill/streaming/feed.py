@@ -108,13 +108,14 @@ def compact_updates(spark: SparkSession, path: str, key: str) -> None:
 
 
 def refreshed_log(
-    feed: DataFrame, current: Callable[[SparkSession], SpamModel], path: str, checkpoint: str,
+    feed: DataFrame, current: Callable[[SparkSession], tuple[SpamModel, int]], path: str, checkpoint: str,
     once: bool = False, tick: str = TICK,
 ) -> StreamingQuery:
-    """Score each batch with the model that is current when the batch starts."""
+    """Score each batch with the model that is current when the batch starts; rows carry its version."""
 
     def write(batch: DataFrame, number: int) -> None:
-        log = scored_log(batch, current(batch.sparkSession))
+        model, version = current(batch.sparkSession)
+        log = scored_log(batch, model).withColumn("model_version", F.lit(version).cast("int"))
         log.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

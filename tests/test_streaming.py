@@ -71,33 +71,29 @@ def test_each_batch_uses_the_current_model(spark, folder):
         def __init__(self, p):
             self.p = p
 
-        def transform(self, df):
-            vector = F.array(F.lit(1 - self.p), F.lit(self.p))
-            from pyspark.ml.functions import array_to_vector
-
-            one = array_to_vector(vector)
-            return df.withColumns({"rawPrediction": one, "probability": one, "prediction": F.lit(1.0)})
+        def probability(self, vectors):
+            return F.lit(self.p)
 
     preparation = Preparation(TermModel(("hello",), (1.0,)), ScalerModel(("log_chars",), (0.0,), (1.0,)))
-    current = {"p": 0.9}
+    current = {"p": 0.9, "version": 1}
 
     def model(_):
-        return SpamModel("lr", preparation, Constant(current["p"]), 0.5)
+        return SpamModel("lr", preparation, Constant(current["p"]), 0.5), current["version"]
 
     def run():
         rows = feed.file_feed(spark, f"{folder}/in", _parse_datatype_string(schema))
         feed.refreshed_log(rows, model, f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
         out = spark.read.parquet(f"{folder}/out").collect()
-        return {r["message_id"]: (r["prediction"], r["spam_probability"]) for r in out}
+        return {r["message_id"]: (r["prediction"], r["spam_probability"], r["model_version"]) for r in out}
 
     def put(key):
         spark.createDataFrame([(key, "s", "hello world", "sn", at(1))], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
 
     put("a")
-    assert run() == {"a": ("spam", "0.900000")}
-    current["p"] = 0.1
+    assert run() == {"a": ("spam", "0.900000", 1)}
+    current.update(p=0.1, version=2)
     put("b")
-    assert run() == {"a": ("spam", "0.900000"), "b": ("not_spam", "0.100000")}
+    assert run() == {"a": ("spam", "0.900000", 1), "b": ("not_spam", "0.100000", 2)}
 
 
 def test_compaction_keeps_the_current_values(spark, folder):
