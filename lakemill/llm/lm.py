@@ -10,19 +10,27 @@ the probabilities after any context sum to one.
 
 The n-grams are cut into parts by ranges of their hash, and a shuffle brings the counts of a part,
 summed by each task beforehand and packed, into one task. The parts are counted in two rounds over
-the texts, so that no more than half of the packed counts is on disk at a time. A last pass over the training texts
-looks up the count c of each n-gram and adds 1 - D / c to its context: over all occurrences that is
-the sum of c - D over the arcs, so contexts need not travel with the n-grams. An n-gram seen once has
-one arc of count 1 at most: if all n-grams are states, its failure arc weighs D wherever it can be a
-context, and else 1, so of these n-grams only the hashes are stored. The automaton grows with the
-corpus, so it is neither gathered nor broadcast: each part is a sorted flat file in the shared folder
-(and one of failure weights), and the tasks memory-map the files. A batch of texts is traversed from left to right
-for all its texts at once: after each token the state is the longest n-gram found, and a missing
-arc follows the failure arcs.
+the texts, so that no more than half of the packed counts is on disk at a time. A last pass over the
+training texts fetches the count c of each n-gram and adds 1 - D / c to its context: over all
+occurrences that is the sum of c - D over the arcs, so contexts need not travel with the n-grams. An
+n-gram seen once has one arc of count 1 at most: if all n-grams are states, its failure arc weighs D
+wherever it can be a context, and else 1, so of these n-grams only the hashes are stored.
+
+The automaton grows with the corpus, so it is neither gathered nor broadcast: each part is a sorted
+flat file in the shared folder (and one of failure weights). A task scores some MB of texts at a time
+in two steps. `Automaton.fetched` reads from each part, in the order of its file, the states that the
+texts can reach, and numbers them: a piece of the automaton with counts, failure arcs and failure
+weights, in memory. `Piece.walked` traverses it from left to right, for many texts side by side: a
+lane carries one state, the longest n-gram that ends at its place. On the next word it takes the
+state's arc if there is one, follows the failure arcs to the state without words, adding the share of
+each on the way, and goes on from the longest n-gram found. Texts of more than LANE words are cut into
+several lanes. A lane that does not begin its text begins `order` - 1 words earlier from the state
+without words: no state is longer than that, so at its first own word it is in the state of the whole walk.
 
 Cases: null and empty texts are one token, the end; without training rows every token has
 probability one in the base and in the model; repeated rows count as often as they occur in
-training and score alike; extra input columns are left out.
+training and score alike; a very long text is worked on alone, in memory that grows with its length;
+extra input columns are left out.
 """
 
 from __future__ import annotations
@@ -55,7 +63,36 @@ BEGIN, END = mixed(np.array([0xBE61, 0xE0D], dtype=np.uint64)) | np.uint64(1)
 ROUNDS = 2
 
 #: n-grams a task sums before it hands them on.
-_HELD = 1_500_000
+_HELD = 3_000_000
+
+#: Bytes of text for which the states are fetched at once.
+FETCHED = 4 << 20
+
+#: Words of a lane.
+LANE = 64
+
+
+def gathered(arrays: Iterator[pa.Array], limit: int = FETCHED) -> Iterator[pa.Array]:
+    """The same texts in arrays of about `limit` bytes; whole texts always."""
+    held, size = [], 0
+    for array in arrays:
+        for step in steps(array, limit):
+            n = step.nbytes
+            if held and size + n > limit:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+            held.append(step)
+            size += n
+    if held:
+        yield pa.concat_arrays(held)
+
+
+def read(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, first token of each text), cut into words one MB after the other."""
+    parts = [tokens(Words.of(step, lower="ascii")) for step in steps(array)]
+    n = np.concatenate([np.zeros(0, np.int64), *(np.diff(first) for _, _, first in parts)])
+    token = np.concatenate([np.zeros(0, np.uint64), *(token for token, _, _ in parts)])
+    return token, np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
 
 
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,7 +206,7 @@ def _counter(order: int, parts: int, low: int, high: int):
     return count
 
 
-FILES = "part int, path string, rows long, once long, total long, distinct long, texts long"
+FILES = "part int, path string, rows long, once long, width long, total long, distinct long, texts long"
 
 
 def _count_writer(folder: str, least: int, low: int):
@@ -181,13 +218,14 @@ def _count_writer(folder: str, least: int, low: int):
         if len(gram):
             once = n == 1
             file = Writer(fresh(folder, ".counts"))
+            width = 4 if n.max() < 1 << 32 else 8
             file.add(gram[~once].astype("<u8"))
-            file.add(n[~once].astype("<i8"))
             file.add(gram[once].astype("<u8"))
+            file.add(n[~once].astype(f"<u{width}"))
             file.close()
             word &= gram != BEGIN  # stands before texts, but is no token
             row = {
-                "part": low + TaskContext.get().partitionId(), "path": file.path, "rows": int((~once).sum()), "once": int(once.sum()), "total": int(n[word].sum()),
+                "part": low + TaskContext.get().partitionId(), "path": file.path, "rows": int((~once).sum()), "once": int(once.sum()), "width": width, "total": int(n[word].sum()),
                 "distinct": int(word.sum()), "texts": int(n[gram == END].sum()),
             }
             yield pa.RecordBatch.from_pylist([row], _FILES)
@@ -195,7 +233,7 @@ def _count_writer(folder: str, least: int, low: int):
     return write
 
 
-_FILES = pa.schema([("part", pa.int32()), ("path", pa.string())] + [(c, pa.int64()) for c in ("rows", "once", "total", "distinct", "texts")])
+_FILES = pa.schema([("part", pa.int32()), ("path", pa.string())] + [(c, pa.int64()) for c in ("rows", "once", "width", "total", "distinct", "texts")])
 
 
 def _spender(counts: Automaton, parts: int):
@@ -203,29 +241,27 @@ def _spender(counts: Automaton, parts: int):
 
     def spend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(parts, "<f8")
-        for given in batches:
-            for step in steps(given.column("text")):
-                token, _, first = tokens(Words.of(step, lower="ascii"))
-                n = None
-                for size, (at, gram, context) in enumerate(ngrams(token, first, counts.order), 1):
-                    before, n = n, np.zeros(len(token), np.int64)
-                    n[at], _ = counts.find(gram)
-                    if size > 1:
-                        total, _ = counts.of_contexts(size, first, before)
-                        arc = (n[at] > 0) & (total[at] > 1)
-                        yield from sums.add(context[arc], 1 - counts.discount / n[at][arc])
+        for texts in gathered(given.column("text") for given in batches):
+            piece = counts.fetched(texts)
+            for size in range(2, counts.order + 1):
+                arc, source = piece.arcs(size)
+                level, below = piece.levels[size], piece.levels[size - 1]
+                more = below.count[source] > 1
+                yield from sums.add(below.gram[source[more]], 1 - counts.discount / level.count[arc[more]])
         yield from sums.packed()
+        _OPEN.clear()
+        release()
 
     return spend
 
 
-def _left_writer(folder: str, counted: dict[int, tuple[str, int]]):
+def _left_writer(folder: str, counted: dict[int, tuple[str, int, int, int]]):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, spent = _unpacked(batches, "<f8", "<f8")
         part = TaskContext.get().partitionId()
         if part in counted:
-            path, rows = counted[part]
-            gram, n = mapped(path, "<u8", rows), mapped(path, "<i8", rows, 8 * rows)
+            path, rows, once, width = counted[part]
+            gram, n = mapped(path, "<u8", rows), mapped(path, f"<u{width}", rows, 8 * (rows + once))
             left = np.ones(rows)
             spot = np.searchsorted(gram, context)
             left[spot] = np.maximum(0, 1 - spent / n[spot])
@@ -237,81 +273,156 @@ def _left_writer(folder: str, counted: dict[int, tuple[str, int]]):
     return write
 
 
+@dataclass
+class _Level:
+    """The n-grams of one size that occur in some texts, in the order of their hashes. Their places are their numbers.
+
+    The last entry, number -1, is no state. At size 1 the one before it is BEGIN.
+    """
+
+    gram: np.ndarray
+    count: np.ndarray  # 0: no state
+    left: np.ndarray  # weight of the failure arc
+    at: np.ndarray  # number of the n-gram that ends at each token
+
+
+@dataclass
+class Piece:
+    """The part of the automaton that some texts can reach."""
+
+    token: np.ndarray
+    first: np.ndarray
+    levels: dict[int, _Level]  # by size
+    root: np.ndarray  # probability of each token in the state without words
+    discount: float
+
+    @property
+    def order(self) -> int:
+        return len(self.levels)
+
+    @property
+    def begin(self) -> int:
+        """Number of the state before the first token; -1 without training texts."""
+        number = len(self.levels[1].gram) - 2
+        return number if self.levels[1].count[number] else -1
+
+    def arcs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram of `size` words, its context), by number, at each token where both are states."""
+        arc, source = self.levels[size].at, np.full(len(self.token), -1)
+        source[1:] = self.levels[size - 1].at[:-1]
+        source[self.first[:-1]] = self.begin if size == 2 else -1
+        both = (self.levels[size].count[arc] > 0) & (self.levels[size - 1].count[source] > 0)
+        return arc[both], source[both]
+
+    def walked(self) -> np.ndarray:
+        """Probability of each token, from left to right; a lane carries its state from token to token."""
+        n = np.diff(self.first)
+        lanes = -(-n // LANE)
+        text = np.repeat(np.arange(len(n)), lanes)
+        own = self.first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)) * LANE
+        stop = np.minimum(own + LANE, self.first[text + 1])
+        top = self.order - 1
+        place = np.maximum(own - top, self.first[text])
+        # A state is a size and the number of an n-gram of that size; size 0 is the state without words.
+        state = np.full((top + 1, len(own)), -1)  # by size: the state and the states its failure arcs lead to
+        if top:
+            state[1, place == self.first[text]] = self.begin
+        weight = np.ones(len(self.token))
+        for _ in range(LANE + top):
+            lane = np.flatnonzero(place < stop)
+            if not len(lane):
+                break
+            here = place[lane]
+            share, reach = np.zeros(len(lane)), np.ones(len(lane))
+            for size in range(top, 0, -1):  # the longest state first, then along its failure arcs
+                spot = np.flatnonzero(state[size, lane] >= 0)
+                source, arc = state[size, lane[spot]], self.levels[size + 1].at[here[spot]]
+                share[spot] += reach[spot] * np.maximum(self.levels[size + 1].count[arc] - self.discount, 0) / self.levels[size].count[source]
+                reach[spot] *= self.levels[size].left[source]
+            mine = here >= own[lane]
+            weight[here[mine]] = (share + reach * self.root[here])[mine]
+            for size in range(top, 0, -1):  # an n-gram is reached from the state that is its context, or from none
+                arc = self.levels[size].at[here]
+                reached = self.levels[size].count[arc] > 0
+                if size > 1:
+                    reached &= state[size - 1, lane] >= 0
+                state[size, lane] = np.where(reached, arc, -1)
+            place[lane] += 1
+        return weight
+
+
 @dataclass
 class Automaton:
     """Where the states are, and the totals of the training tokens."""
 
     order: int
     parts: int
-    files: dict[int, tuple[str, int, int, str | None]]  # by part: path, states seen more than once and once, path of failure weights
+    files: dict[int, tuple[str, int, int, int, str | None]]  # by part: path, states seen more than once and once, bytes of a count, path of failure weights
     total: int
     distinct: int
     discount: float = DISCOUNT
     left_once: float = 1.0  # weight of the failure arc of states seen once
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(count, weight of the failure arc) of each n-gram; 0 and 1 where there is no state."""
-        unique, inverse = np.unique(grams, return_inverse=True)
-        count, left = np.zeros(len(unique), np.int64), np.ones(len(unique), np.float32)
-        part = part_of(unique, self.parts).astype(np.int64)
+        """(count, weight of the failure arc) of each of the n-grams, given in order; 0 and 1 where there is no state."""
+        count, left = np.zeros(len(grams), np.int64), np.ones(len(grams), np.float32)
+        part = part_of(grams, self.parts).astype(np.int64)
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        for a, b in zip(cuts, [*cuts[1:], len(unique)]):
+        for a, b in zip(cuts, [*cuts[1:], len(grams)]):
             if (held := self.files.get(int(part[a]))) is not None:
-                keys, counts, lefts, once = self._open(*held)
-                spot, hit = _places(keys, unique[a:b])
+                keys, once, counts, lefts = _opened(*held)
+                spot, hit = _places(keys, grams[a:b])
                 count[a:b][hit] = counts[spot]
                 if lefts is not None:
                     left[a:b][hit] = lefts[spot]
-                _, hit = _places(once, unique[a:b])
+                _, hit = _places(once, grams[a:b])
                 count[a:b][hit], left[a:b][hit] = 1, self.left_once
-        return count[inverse], left[inverse]
-
-    def _open(self, path: str, n: int, once: int, lefts: str | None) -> tuple:
-        if (path, lefts) not in _OPEN:
-            _OPEN[path, lefts] = (
-                mapped(path, "<u8", n), mapped(path, "<i8", n, 8 * n), mapped(lefts, "<f4", n) if lefts else None,
-                mapped(path, "<u8", once, 16 * n),
-            )
-        return _OPEN[path, lefts]
-
-    def of_contexts(self, size: int, first: np.ndarray, count: np.ndarray, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(count, weight of the failure arc) of the context of each token: the n-gram that ended one token earlier."""
-        total, failing = np.zeros(len(count)), np.ones(len(count))
-        total[1:] = count[:-1]
-        if left is not None:
-            failing[1:] = left[:-1]
-        if size == 2:
-            c, f = self.find(np.array([BEGIN], dtype=np.uint64))
-            total[first[:-1]], failing[first[:-1]] = c[0], f[0]
-        return total, failing
+        return count, left
+
+    def fetched(self, array: pa.Array) -> Piece:
+        """The states that the texts can reach, size by size: what no shorter state leads to is not looked for."""
+        token, first = read(array)
+        levels: dict[int, _Level] = {}
+        for size, (at, gram, _) in enumerate(ngrams(token, first, self.order), 1):
+            if size > 2:  # both its context and its end must be states
+                below = levels[size - 1]
+                state = below.count[below.at] > 0
+                live = state[at] & state[at - 1]
+                at, gram = at[live], gram[live]
+            unique, inverse = np.unique(gram, return_inverse=True)
+            count, left = self.find(unique)
+            if size == 1:
+                n, weight = self.find(np.array([BEGIN], dtype=np.uint64))
+                unique, count, left = np.append(unique, BEGIN), np.append(count, n), np.append(left, weight)
+            spot = np.full(len(token), -1)
+            spot[at] = inverse
+            levels[size] = _Level(np.append(unique, np.uint64(0)), np.append(count, 0), np.append(left, np.float32(1)), spot)
+        root = (levels[1].count[levels[1].at] + ADDED) / (self.total + ADDED * (self.distinct + 1))
+        return Piece(token, first, levels, root, self.discount)
 
     def measured(self, array: pa.Array) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, base score and score of the model."""
-        token, text, first = tokens(Words.of(array, lower="ascii"))
-        count = left = weight = None
-        for size, (at, gram, context) in enumerate(ngrams(token, first, self.order), 1):
-            before_count, before_left = count, left
-            count, left = np.zeros(len(token), np.int64), np.ones(len(token), np.float32)
-            count[at], left[at] = self.find(gram)
-            if size == 1:
-                known = count > 0
-                weight = (count + ADDED) / (self.total + ADDED * (self.distinct + 1))
-                base = np.log10(weight)
-                continue
-            total, failing = self.of_contexts(size, first, before_count, before_left)
-            state = np.zeros(len(token), dtype=bool)
-            state[at] = total[at] > 0
-            arc = np.maximum(count - self.discount, 0)
-            weight = np.where(state, arc / np.maximum(total, 1) + failing * weight, weight)
-        n = len(first) - 1
+        piece = self.fetched(array)
+        n = np.diff(piece.first)
+        text = np.repeat(np.arange(len(n)), n)
+        known = piece.levels[1].count[piece.levels[1].at] > 0
         return {
-            "n_tokens": np.diff(first),
-            "n_known": np.bincount(text[known], minlength=n),
-            "base_score": np.bincount(text, base, minlength=n),
-            "score": np.bincount(text, np.log10(weight), minlength=n),
+            "n_tokens": n,
+            "n_known": np.bincount(text[known], minlength=len(n)),
+            "base_score": np.bincount(text, np.log10(piece.root), minlength=len(n)),
+            "score": np.bincount(text, np.log10(piece.walked()), minlength=len(n)),
         }
 
 
+def _opened(path: str, n: int, once: int, width: int, lefts: str | None) -> tuple:
+    if (path, lefts) not in _OPEN:
+        _OPEN[path, lefts] = (
+            mapped(path, "<u8", n), mapped(path, "<u8", once, 8 * n), mapped(path, f"<u{width}", n, 8 * (n + once)),
+            mapped(lefts, "<f4", n) if lefts else None,
+        )
+    return _OPEN[path, lefts]
+
+
 def _places(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of each n-gram that is among the keys, whether it is)."""
     if not len(keys):
@@ -321,6 +432,7 @@ def _places(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return spot[hit], hit
 
 
+#: Files that the running task has opened.
 _OPEN: dict[tuple[str, str | None], tuple] = {}
 
 
@@ -357,12 +469,12 @@ def fit(
         row for low, high in zip(cuts, cuts[1:]) if low < high
         for row in dealt(texts.mapInArrow(_counter(order, parts, low, high), PACKED), _count_writer(folder, least, low), low, high)
     ]
-    files = {r["part"]: (r["path"], r["rows"], r["once"], None) for r in made}
+    files = {r["part"]: (r["path"], r["rows"], r["once"], r["width"], None) for r in made}
     totals = sum(r["total"] for r in made), sum(r["distinct"] for r in made)
     counts = Automaton(order, parts, files, *totals, discount, discount if least <= 1 else 1.0)
-    sized = {part: (path, rows) for part, (path, rows, *_) in files.items()}
+    sized = {part: held[:4] for part, held in files.items()}
     spent = dealt(texts.mapInArrow(_spender(counts, parts), PACKED), _left_writer(folder, sized))
-    return replace(counts, files=files | {r["part"]: (*files[r["part"]][:3], r["path"]) for r in spent})
+    return replace(counts, files=files | {r["part"]: (*files[r["part"]][:4], r["path"]) for r in spent})
 
 
 SCORES = T.StructType([
@@ -374,9 +486,10 @@ SCORES = T.StructType([
 def _scorer(model: Automaton):
     @F.arrow_udf(SCORES)
     def score(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for array in column:
-            parts = [model.measured(step) for step in steps(array)] or [model.measured(array)]
-            yield pa.StructArray.from_arrays([pa.array(np.concatenate([p[f] for p in parts])) for f in SCORES.names], SCORES.names)
+        for texts in gathered(column):
+            found = model.measured(texts)
+            yield pa.StructArray.from_arrays([pa.array(found[f]) for f in SCORES.names], SCORES.names)
+        _OPEN.clear()
         release()
 
     return score

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -97,3 +98,23 @@ def test_states_seen_once_and_one_training_text(spark):
             model, walk = lm.fit(rows, order=order, least=least), Walk(["a b a c a b d"], order, least)
             for r in lm.scored(more, model, "text").collect():
                 assert r.score == pytest.approx(walk.score(r.text), rel=1e-5)
+
+
+def test_lanes_of_a_long_text_meet_the_state_of_the_whole_walk(spark):
+    rng = random.Random(5)
+    long = " ".join(rng.choice("a b c d e".split()) for _ in range(5 * lm.LANE + 3))
+    rows = spark.createDataFrame([(1, long), (2, "a b"), (3, None)], "doc_id long, text string")
+    for order in (1, 2, 3, 5):
+        model, walk = lm.fit(rows.where("doc_id < 3"), order=order, least=1), Walk([long, "a b"], order, 1)
+        for r in lm.scored(rows, model, "text").collect():
+            assert r.score == pytest.approx(walk.score(r.text), rel=1e-5)
+
+
+def test_small_fetches_score_alike(spark, docs):
+    model = lm.fit(docs, order=3, least=1)
+    whole = {r.doc_id: r.score for r in lm.scored(docs, model, "doc_id").collect()}
+    arrays = [b.column("text") for b in docs.select("text").toArrow().combine_chunks().to_batches()]
+    ids = [r.doc_id for r in docs.select("doc_id").collect()]
+    for limit in (1, 5_000, 1 << 30):
+        got = [x for array in lm.gathered(iter(arrays), limit) for x in model.measured(array)["score"].tolist()]
+        assert got == pytest.approx([whole[i] for i in ids], rel=1e-12)
