@@ -1,22 +1,24 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-A benchmark item of n words is compared with windows of n words, and with the whole of each text that
-has fewer. An item under five words has one shingle, all its words. Fingerprints are 64-bit SimHashes
-of the windows' five-word shingles, weighted by how often a shingle occurs. The index holds the
+A benchmark item of n words is compared with windows of n words that share five words in a row with
+it, and with the whole of each text that has fewer than n. What is compared are bags of words, each
+word weighted by how often it occurs: an edited word costs one of n words, where it would cost five
+of n - 4 shingles of five words. Fingerprints are 64-bit SimHashes of these bags. The index holds the
 fingerprints of the items by eight blocks of eight bits: two fingerprints within a Hamming distance
 of 23 differ by at most two bits in some block, so listing every item under all block values within
 two bits of its own finds all fingerprints within that radius. What is found is verified by the
-weighted Jaccard similarity of the shingles.
+weighted Jaccard similarity. An item under five words is found only as a whole.
 
-A window without a shingle of any item of its size has similarity 0 with all of them, so only
-windows around shared shingles are fingerprinted; nothing that could be verified is left out.
+At a similarity of 0.8 an item of 18 words may have two words replaced, inserted or deleted, one of
+nine words one. Two edits leave three runs, of which one has five words if the item has 15.
 
 At a similarity of exactly 0.8 the fingerprints differ by 9.7 bits on average (deviation 2.9), so
 the radius misses about two in a million such windows, and fewer of more similar ones.
 
 Words are lower-cased and cut at white space and ASCII punctuation. Cases: items and documents that
-are null or empty match nothing; repeated items and rows are each
-reported; of equally similar windows the first is reported; an empty benchmark gives no matches;
+are null or empty match nothing; repeated items and rows are each reported; a null item_id is
+reported as null; a very long text is searched alone, in memory that grows with its length;
+of equally similar windows the first is reported; an empty benchmark gives no matches;
 other input columns are left out (`matches`) or kept (`clean`).
 """
 
@@ -35,6 +37,7 @@ from lakemill.llm import batches
 from lakemill.llm.columns import spare
 from lakemill.llm.words import PLAIN, Words, mixed, release, steps
 
+#: Words in a row that a window shares with the item.
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 23
@@ -52,34 +55,35 @@ _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 _NEAR = [np.flatnonzero(np.bitwise_count(np.arange(256) ^ v) <= 2) for v in range(256)]
 
 
-def _signs(shingles: np.ndarray) -> np.ndarray:
-    """+1 or -1 for each of the 64 bits of each shingle."""
-    return np.where(mixed(shingles)[:, None] & _BITS[None, :], 1, -1).astype(np.int32)
+def _signs(units: np.ndarray) -> np.ndarray:
+    """+1 or -1 for each of the 64 bits of each word or shingle."""
+    return np.where(mixed(units)[:, None] & _BITS[None, :], 1, -1).astype(np.int32)
 
 
 def _packed(sums: np.ndarray) -> np.ndarray:
     return np.where(sums > 0, _BITS[None, :], np.uint64(0)).sum(axis=1, dtype=np.uint64)
 
 
-def simhash(shingles: np.ndarray) -> int:
-    """Fingerprint of a bag of shingles; each occurrence counts."""
-    return int(_packed(_signs(shingles).sum(axis=0, keepdims=True))[0])
+def simhash(bag: np.ndarray) -> int:
+    """Fingerprint of a bag; each occurrence counts."""
+    return int(_packed(_signs(bag).sum(axis=0, keepdims=True))[0])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two bags of shingles."""
+    """Weighted Jaccard similarity of two bags."""
     x, y = Counter(a.tolist()), Counter(b.tolist())
     both = sum((x & y).values())
     return both / (len(a) + len(b) - both)
 
 
 class _Sized:
-    """The items of one size, with the block index of their fingerprints."""
+    """The items of one size, with the block index of their fingerprints. `shingles` are theirs of five words."""
 
-    def __init__(self, bags: list[tuple[int, np.ndarray]]) -> None:
+    def __init__(self, bags: list[tuple[int | None, np.ndarray]], runs: list[np.ndarray] | None = None) -> None:
         self.bags = bags
         self.sets = [np.unique(bag) for _, bag in bags]
-        self.shingles = np.unique(np.concatenate(self.sets))
+        self.runs = [np.unique(x) for x in runs] if runs else self.sets  # shingles of each item
+        self.shingles = np.unique(np.concatenate(self.runs))
         self.prints = np.array([simhash(bag) for _, bag in bags], dtype=np.uint64)
         self.blocks: list[list[np.ndarray]] = []
         for block in range(8):
@@ -114,13 +118,18 @@ class Index:
             raise ValueError("eight blocks within two bits each guarantee a radius of at most 23")
         self.threshold, self.radius = threshold, radius
         words = Words.of(pa.array([t for _, t in items], pa.string()), lower="all", ends=PLAIN)
-        windows = {size: words.windows(size) for size in range(1, SHINGLE + 1)}
-        sized: dict[int, list[tuple[int, np.ndarray]]] = {}
+        hashes = words.hashes()
+        windows = {size: words.windows(size, hashes) for size in range(1, SHINGLE + 1)}
+        sized: dict[int, list[tuple[int | None, np.ndarray]]] = {}
+        shared: dict[int, list[np.ndarray]] = {}
         for i, n in enumerate(words.counts()):
             if n:
                 at, shingle = windows[min(int(n), SHINGLE)]
-                sized.setdefault(int(n), []).append((items[i][0], shingle[words.text[at] == i]))
-        self.sizes = {n: _Sized(bags) for n, bags in sorted(sized.items())}
+                low, high = np.searchsorted(at, words.first[i : i + 2])
+                bag = shingle[low:high] if n < SHINGLE else hashes[words.first[i] : words.first[i + 1]]
+                sized.setdefault(int(n), []).append((items[i][0], bag))
+                shared.setdefault(int(n), []).append(shingle[low:high])
+        self.sizes = {n: _Sized(bags, shared[n]) for n, bags in sorted(sized.items())}
         self.shingles = np.unique(np.concatenate([s.shingles for n, s in self.sizes.items() if n >= SHINGLE] or [np.zeros(0, np.uint64)]))
 
     @staticmethod
@@ -131,59 +140,65 @@ class Index:
     def search(self, array: pa.Array) -> list[tuple[int, int | None, float, int, int]]:
         """(text, item, similarity, first word, words) of the best window of each matching item."""
         words = Words.of(array, lower="all", ends=PLAIN)
-        at, shingle = words.windows(SHINGLE)
+        hashes = words.hashes()
+        every = np.arange(len(hashes))
+        at, shingle = words.windows(SHINGLE, hashes)
+        run = np.zeros(len(hashes), np.uint64)  # the shingle that begins at each word
+        run[at] = shingle
         anchors = np.flatnonzero(self._member(self.shingles, shingle))
         best: dict[tuple[int, int], tuple] = {}
         for size, sized in self.sizes.items():
             if size < SHINGLE:
-                few, whole = words.windows(size)
+                few, whole = words.windows(size, hashes)
                 start = np.flatnonzero(self._member(sized.shingles, whole))
                 for low in range(0, len(start), 4096):
-                    self._verified(words, few, whole, start[low : low + 4096], size, sized, best)
+                    self._verified(words, few, whole, start[low : low + 4096], 1, size, sized, best, whole)
                 continue
-            width = size - SHINGLE + 1
-            own = anchors[self._member(sized.shingles, shingle[anchors])]
+            own = at[anchors[self._member(sized.shingles, shingle[anchors])]]
             if not len(own):
                 continue
-            self._shorter(words, at, shingle, own, size, sized, best)
-            start = np.unique((own[:, None] - np.arange(width)[None, :]).reshape(-1))
-            start = start[(start >= 0) & (start + width <= len(at))]
-            start = start[words.text[at[start]] == words.text[at[start + width - 1]]]
+            self._shorter(words, hashes, own, size, sized, best, run)
+            start = np.unique((own[:, None] - np.arange(size - SHINGLE + 1)[None, :]).reshape(-1))
+            start = start[(start >= 0) & (start + size <= len(hashes))]
+            start = start[words.text[start] == words.text[start + size - 1]]
             for low in range(0, len(start), 4096):
-                self._verified(words, at, shingle, start[low : low + 4096], size, sized, best)
+                self._verified(words, every, hashes, start[low : low + 4096], size, size, sized, best, run)
         return [(text, sized_item, *found) for (text, _, sized_item), found in sorted(best.items(), key=lambda x: x[0][:2])]
 
-    def _shorter(self, words: Words, at, shingle, own, size: int, sized: _Sized, best: dict) -> None:
+    def _shorter(self, words: Words, hashes, own, size: int, sized: _Sized, best: dict, run) -> None:
         """Texts with fewer words than the items of this size, as one window each."""
         n = words.counts()
-        least = self.threshold * (size - SHINGLE + 1) - 1e-9  # shingles of a text that can be similar
-        for text in np.unique(words.text[at[own]]):
-            if n[text] >= size or n[text] - SHINGLE + 1 < least:
+        for text in np.unique(words.text[own]):
+            if n[text] >= size or n[text] < self.threshold * size - 1e-9:
                 continue
-            low = np.searchsorted(at, words.first[text])
-            bag = shingle[low : low + n[text] - SHINGLE + 1]
+            low, high = words.first[text : text + 2]
+            bag = hashes[low:high]
             _, item = sized.within(np.array([simhash(bag)], dtype=np.uint64), self.radius)
             for k in item:
+                if not self._member(sized.runs[k], run[low : high - SHINGLE + 1]).any():
+                    continue
                 value = similarity(bag, sized.bags[k][1])
                 key = (int(text), (size, int(k)), sized.bags[k][0])
                 if value >= self.threshold and value > best.get(key, (0.0,))[0]:
                     best[key] = (value, 0, int(n[text]))
 
-    def _verified(self, words: Words, at, shingle, start, size: int, sized: _Sized, best: dict) -> None:
+    def _verified(self, words: Words, at, unit, start, width: int, size: int, sized: _Sized, best: dict, run) -> None:
+        """Windows of `width` units, words or shingles, from each start; `at` is the first word of a unit, `run` the shingle there."""
         if not len(start):
             return
-        width = max(1, size - SHINGLE + 1)
         spots = start[:, None] + np.arange(width)[None, :]
         used = np.unique(spots)
-        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_signs(shingle[used]), axis=0, dtype=np.int32)])
+        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_signs(unit[used]), axis=0, dtype=np.int32)])
         first = np.searchsorted(used, start)
         window, item = sized.within(_packed(sums[first + width] - sums[first]), self.radius)
         for k in np.unique(item):
             mine = window[item == k]
-            held = self._member(sized.sets[k], shingle[spots[mine]].reshape(-1)).reshape(-1, width).sum(axis=1)
-            # Counting a shingle as often as the window holds it bounds what the two bags share.
+            held = self._member(sized.sets[k], unit[spots[mine]].reshape(-1)).reshape(-1, width).sum(axis=1)
+            # Counting a unit as often as the window holds it bounds what the two bags share.
             for w in mine[held >= self.threshold * (2 * width - held) - 1e-9]:
-                value = similarity(shingle[spots[w]], sized.bags[k][1])
+                if not self._member(sized.runs[k], run[start[w] : start[w] + max(1, size - SHINGLE + 1)]).any():
+                    continue
+                value = similarity(unit[spots[w]], sized.bags[k][1])
                 text = int(words.text[at[start[w]]])
                 key = (text, (size, int(k)), sized.bags[k][0])
                 if value >= self.threshold and value > best.get(key, (0.0,))[0]:
