@@ -5,13 +5,15 @@ character n-grams (with word boundaries) of the longest size at which any is kno
 characters, and adds the mean log frequency of the known ones. The language with the largest sum
 wins; the score is its share after normalising over the learned languages.
 
-The classifier is fitted on about TRAIN_ROWS labelled rows (a documented bound) and keeps at most
-MAX_WORDS words and MAX_GRAMS n-grams, which bounds what is sent to the tasks.
+The classifier is fitted on about TRAIN_ROWS labelled rows (a documented bound). The bound is shared
+out so that languages with few rows are learned from all of them. Every word and every n-gram of these
+rows is kept, n-grams of whole words; the sample alone bounds what is sent to the tasks.
 
 Cases: null texts and texts without a letter are `und` with score 0, as is everything when there is
 nothing to learn from; a text of letters never seen gets the learned language with the most words
-and an even score; ties go to the first language by name; repeated rows are predicted alike;
-other input columns are left out.
+and an even score; ties go to the first language by name; repeated rows are predicted alike; an empty
+table gives no rows; a very long text is one prediction from the counts of its distinct words, which
+are scored a bounded number at a time; other input columns are left out.
 """
 
 from __future__ import annotations
@@ -28,11 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.llm import batches
-from lakemill.llm.sample import about
+from lakemill.llm.sample import evenly
 
 TRAIN_ROWS = 12_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 100_000
 LONGEST = 5
 _SMOOTH = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -84,7 +84,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for row in batch.to_pylist():
             for size in range(1, LONGEST + 1):
-                for gram in grams(row["word"][:64], size):
+                for gram in grams(row["word"], size):
                     counts[row["lang"], gram] += row["n"]
         yield pa.RecordBatch.from_pylist(
             [{"lang": k[0], "gram": k[1], "n": n} for k, n in counts.items()],
@@ -92,30 +92,22 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _table(counts: DataFrame, unit: str, limit: int) -> list[tuple[str, dict[str, int]]]:
-    """The units seen most, at least twice, with their counts by language."""
-    rows = (
-        counts.groupBy(unit)
-        .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        .where("total > 1").orderBy(F.desc("total"), unit).limit(limit)
-    )
-    return [(r[unit], r["by"]) for r in rows.collect()]
-
-
-def _logs(table: list[tuple[str, dict[str, int]]], langs: list[str], group) -> tuple[dict[str, int], np.ndarray]:
-    at = {lang: i for i, lang in enumerate(langs)}
-    counts = np.zeros((len(table), len(langs)))
-    for i, (_, by) in enumerate(table):
-        for lang, n in by.items():
-            counts[i, at[lang]] = n
-    kind = np.array([group(unit) for unit, _ in table], dtype=int)
-    logs = np.zeros_like(counts)
+def _logs(counts: DataFrame, unit: str, langs: list[str], group) -> tuple[dict[str, int], np.ndarray]:
+    """Number of each unit, and its log frequency in each language among the units of its group."""
+    rows = counts.select(unit, "lang", "n").toArrow()
+    units, lang = (rows.column(c).combine_chunks().dictionary_encode() for c in (unit, "lang"))
+    table = units.dictionary.to_pylist()
+    at = np.array([langs.index(x) for x in lang.dictionary.to_pylist()], dtype=np.int64)
+    seen = np.zeros((len(table), len(langs)))
+    seen[units.indices.to_numpy(), at[lang.indices.to_numpy()]] = rows.column("n").to_numpy()
+    kind = np.array([group(x) for x in table], dtype=int)
+    logs = np.zeros_like(seen)
     for k in np.unique(kind):
         own = kind == k
         # Relative frequencies with one floor for all, so that a language with few texts gains nothing.
-        totals = np.maximum(counts[own].sum(axis=0), 1)
-        logs[own] = np.log(counts[own] / totals + _SMOOTH / totals.max())
-    return {unit: i for i, (unit, _) in enumerate(table)}, logs
+        totals = np.maximum(seen[own].sum(axis=0), 1)
+        logs[own] = np.log(seen[own] / totals + _SMOOTH / totals.max())
+    return {x: i for i, x in enumerate(table)}, logs
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", bound: int = TRAIN_ROWS) -> Model:
@@ -124,14 +116,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
-    sampled = about(rows, F.col("id"), bound).select("lang", "text")
+    sampled = evenly(rows, F.col("id"), "lang", bound).select("lang", "text")
     words = _summed(sampled, _count_words, "lang string, word string, n long", "lang", "word").cache()
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
-    word_table = _table(words, "word", MAX_WORDS)
-    gram_table = _table(_summed(words, _count_grams, "lang string, gram string, n long", "lang", "gram"), "gram", MAX_GRAMS)
+    word_at, word_logs = _logs(words, "word", langs, lambda _: 0)
+    counted = _summed(words, _count_grams, "lang string, gram string, n long", "lang", "gram")
+    gram_at, gram_logs = _logs(counted, "gram", langs, len)
     words.unpersist()
-    word_at, word_logs = _logs(word_table, langs, lambda _: 0)
-    gram_at, gram_logs = _logs(gram_table, langs, len)
     return Model(langs, word_at, word_logs, gram_at, gram_logs)
 
 
@@ -140,9 +131,8 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.at = dict(model.words)
-        self.rows = np.zeros((len(model.words) + _CACHE, max(1, len(model.langs))))
-        self.rows[: len(model.words), : len(model.langs)] = model.word_logs
+        self.unseen: dict[str, int] = {}
+        self.rows = np.zeros((1024, max(1, len(model.langs))))  # of unseen words; grows to _CACHE
 
     def backoff(self, word: str) -> np.ndarray:
         for size in range(min(LONGEST, len(word) + 2), 0, -1):
@@ -151,25 +141,33 @@ class Scorer:
                 return self.model.gram_logs[known].mean(axis=0)
         return np.zeros(len(self.model.langs))
 
-    def _spot(self, word: str) -> int:
-        at = self.at.get(word)
-        if at is None:
-            at = self.at[word] = len(self.at)
-            self.rows[at] = self.backoff(word)
-        return at
+    def _unseen(self, words: list[str]) -> np.ndarray:
+        """Rows of words that no training text has."""
+        if len(self.unseen) + len(words) > _CACHE:  # the memory starts anew
+            self.unseen.clear()
+        spots = []
+        for word in words:
+            at = self.unseen.get(word)
+            if at is None:
+                at = self.unseen[word] = len(self.unseen)
+                if at == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                self.rows[at] = self.backoff(word)
+            spots.append(at)
+        return self.rows[spots]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
         if not self.model.langs or not any(c.isalpha() for word in counts for c in word):
             return NONE, 0.0
         sums = np.zeros(len(self.model.langs))
-        items = list(counts.items())
-        for low in range(0, len(items), _CACHE // 4):
-            part = items[low : low + _CACHE // 4]
-            if len(self.at) + len(part) > len(self.rows):  # the memory starts anew
-                self.at = dict(self.model.words)
-            spots = [self._spot(word) for word, _ in part]
-            sums += np.array([n for _, n in part], dtype=float) @ self.rows[spots]
+        known = {at: n for word, n in counts.items() if (at := self.model.words.get(word)) is not None}
+        if known:
+            sums += np.array(list(known.values()), dtype=float) @ self.model.word_logs[list(known)]
+        words = [word for word in counts if word not in self.model.words] if len(known) < len(counts) else []
+        for low in range(0, len(words), max(1, _CACHE // 4)):
+            part = words[low : low + max(1, _CACHE // 4)]
+            sums += np.array([counts[word] for word in part], dtype=float) @ self._unseen(part)
         return self._best(sums)
 
     def _best(self, sums: np.ndarray) -> tuple[str, float]:
