@@ -116,3 +116,42 @@ def test_nothing_to_split(spark):
     model = boosting.fit(one, settings=Settings(rounds=3))
     assert len(model.trees) == 1 and model.trees[0].feature == [-1]
     assert Tree().margins(boosting.Columns(3, np.zeros(0, int), np.zeros(1, int), np.zeros(0, int), np.zeros(0))).tolist() == [0, 0, 0]
+
+
+def test_cells_over_one_task_use_the_free_cores(spark, table, monkeypatch):
+    """A little more than one task's cells: in each of the hundreds of passes every core has blocks, and
+    every share of the features a partition of its own."""
+    seen = {}
+    grown = boosting._grown
+
+    def watched(binned, trees, settings, parts):
+        seen.update(tasks=binned.rdd.getNumPartitions(), parts=parts)
+        return grown(binned, trees, settings, parts)
+
+    monkeypatch.setattr(boosting, "_grown", watched)
+    boosting.fit(table, settings=Settings(rounds=1, depth=2), block_rows=20, task_cells=700)
+    assert seen["tasks"] >= spark.sparkContext.defaultParallelism
+    n = len(seen["parts"])
+    rows = spark.createDataFrame([(k,) for k in seen["parts"]], "part int").repartition(n, "part")
+    assert n == 4 and rows.select(F.spark_partition_id().alias("p")).distinct().count() == n
+
+
+def test_sums_of_a_block_in_order():
+    """Cells lie by feature and bin, so the sums of several nodes come out by key."""
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(40, 6)), 1) * (rng.random((40, 6)) < 0.6)
+    rows = blocks.Rows(np.zeros(40), np.zeros(40), np.append(0, np.cumsum((x != 0).sum(1))), np.nonzero(x)[1].astype(np.int32), x[x != 0])
+    columns = boosting.Columns.of_rows(rows)
+    bins = rng.integers(0, 5, len(columns.value)).astype(np.uint8)
+    cells = boosting.Cells.of_bins(columns, bins)
+    tree = Tree()
+    low, high = tree.split(0, 2, 1.0, True)
+    y, margin = rng.integers(0, 2, 40).astype(float), rng.normal(size=40)
+    got, total = boosting._of_block(tree, [high, low], y, margin, cells)
+    p = 1 / (1 + np.exp(-margin))
+    node = tree.nodes(cells)
+    feature = np.repeat(columns.feature, np.diff(columns.first))
+    want = boosting._merged(boosting._keyed(node[columns.row], feature, bins), (p - y)[columns.row], (p * (1 - p))[columns.row])
+    assert (got["key"] == want["key"]).all() and got["g"] == pytest.approx(want["g"]) and got["h"] == pytest.approx(want["h"])
+    assert total == pytest.approx([(p - y).sum(), (p * (1 - p)).sum()])
+    assert len(boosting._of_block(tree, [], y, margin, cells)[0]) == 0
