@@ -68,3 +68,10 @@ def test_top_duplicates_per_month(spark):
     df = spark.createDataFrame(rows, "email_id string, month_partition string, t string")
     got = {r["month_partition"]: [(e["value"], e["n_rows"]) for e in r["top_duplicates"]] for r in quality.top_duplicates(df, "t", "email_id", ["month_partition"]).collect()}
     assert got == {"m1": [("x", 5), ("y", 3)]}
+
+
+def test_sketched_distinct_counts_of_many_groups_are_within_a_tenth(spark):
+    rows = spark.range(1200 * 430).select((F.col("id") % 1200).alias("month"), F.md5(F.col("id").cast("string")).alias("text"))
+    found = quality.approx_unique(rows, "text", ["month"])
+    assert found.count() == 1200
+    assert found.where(F.abs(F.col("n_unique_approx") - 430) > 43).isEmpty()
