@@ -44,3 +44,15 @@ def test_no_python_workers_in_operators(spark):
     rows = bronze(spark)
     for df in (silver.gate_counts(rows), silver.drop_reasons(rows), profiling.describe_length(rows, "body")):
         assert "Python" not in plan(df) and "ArrowEval" not in plan(df)
+
+
+def test_shadow_checks_train_each_model_once(spark, monkeypatch):
+    """The batch log and the shadow scores are those of one champion: two fits differ beyond the bound."""
+    from lakemill.plans import all_queries, model_queries
+
+    trained = []
+    train = model_queries.train_one
+    monkeypatch.setattr(model_queries, "train_one", lambda name, gold, **sizes: trained.append(name) or train(name, gold, **sizes))
+    row = all_queries.QUERIES["shadow_checks"](spark, "/root/testdata/sf0.001").first()
+    assert row["champion_holds"] and row["probabilities_hold"]
+    assert sorted(trained) == ["lr", "nb"]
