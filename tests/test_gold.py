@@ -117,3 +117,17 @@ def test_a_single_month_cannot_be_held_out(spark):
     df = spark.createDataFrame([("a", 0, "2025-01")], "email_id string, label int, month_partition string")
     with pytest.raises(ValueError, match="at least two"):
         splits.split(df, "2025-01")
+
+
+def test_forest_input_is_dealt_by_its_dense_size(spark, monkeypatch):
+    """The forest keeps rows dense: many wide rows make many partitions, few narrow ones stay as they lie."""
+    from pyspark.ml.linalg import Vectors
+
+    from lakemill.operators import training
+
+    rows = spark.createDataFrame([(k % 2, Vectors.sparse(30_000, {k: 1.0})) for k in range(40)], ["label", "features"])
+    train = rows.coalesce(1)
+    assert training.spread(train, 30_000).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(training, "DENSE_BYTES", 1 << 20)
+    dealt = training.spread(train, 30_000)
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 40
