@@ -103,3 +103,26 @@ def test_no_python_in_cleaning_plans(spark):
     plan = silver.silver(df.withColumn("received_at", F.lit(None).cast("timestamp_ntz")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "ArrowEval" not in text
+
+
+def test_markup_is_stripped_as_the_steps_do(spark):
+    space = f"[{cleaning.UNICODE_SPACE}]+"
+    codes = spark.range(1, 0x110000).where("id < 55296 OR id > 57343").selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') AS c")
+    rows = codes.select(F.concat(F.lit("a <b> 9"), "c", F.lit(" http://x.y B"), "c", "c").alias("t"))
+    steps = F.regexp_replace("t", r"<[^>]+>", "")
+    steps = F.regexp_replace(steps, rf"http[^{cleaning.UNICODE_SPACE}]+|www\.[^{cleaning.UNICODE_SPACE}]+", "")
+    steps = F.trim(F.regexp_replace(F.regexp_replace(steps, rf"[^a-zA-Z{cleaning.UNICODE_SPACE}]", ""), space, " "))
+    got = rows.select(steps.alias("a"), cleaning.strip_markup(F.col("t")).alias("b"))
+    assert got.where("NOT a <=> b").isEmpty() and got.count() == 0x110000 - 2048 - 1
+    words = rows.select(*[
+        F.regexp_extract_all(t, F.lit("[A-Za-z]+"), F.lit(0)).alias(n)
+        for n, t in (("a", F.regexp_replace("t", "[^A-Za-z ]", " ")), ("b", cleaning.letters_or_space(F.col("t"))))
+    ])
+    assert words.where("a <> b").isEmpty()
+
+
+def test_stop_words_are_a_hash_set(spark):
+    rows = spark.createDataFrame([("The cash a prize <b>cash</b>",), (None,)], "t string")
+    out = features.add_stopword_filter(rows, "t", ["the", "a"])
+    assert [(r["n_stopwords_removed"], r["text_processed"]) for r in out.collect()] == [(2, "cash prize cash"), (0, "")]
+    assert "INSET" in features.add_stopword_filter(rows, "t", [f"w{k}" for k in range(20)])._jdf.queryExecution().optimizedPlan().toString()
