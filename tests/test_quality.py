@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lakemill.functions.cleaning import UNICODE_SPACE, has_symbol
 from lakemill.operators import quality, silver
 
 
@@ -75,3 +76,11 @@ def test_sketched_distinct_counts_of_many_groups_are_within_a_tenth(spark):
     found = quality.approx_unique(rows, "text", ["month"])
     assert found.count() == 1200
     assert found.where(F.abs(F.col("n_unique_approx") - 430) > 43).isEmpty()
+
+
+def test_symbols_are_found_without_a_negated_class(spark):
+    codes = spark.range(1, 0x110000).where("id < 55296 OR id > 57343").selectExpr("concat('aZ0 ', decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')) AS t")
+    wrong = codes.where(has_symbol(F.col("t")) != F.col("t").rlike(rf"[^a-zA-Z0-9{UNICODE_SPACE}]"))
+    assert wrong.isEmpty()
+    plan = quality.profile(codes, quality.pattern("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^a-zA-Z0-9" not in plan
