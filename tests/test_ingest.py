@@ -161,3 +161,12 @@ def test_ranks_with_very_many_shuffle_partitions(spark):
         assert {r["k"]: r["idx"] for r in plan.collect()} == {k: k for k in keys}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_month_of_raw_csv_is_one_file_however_many_tasks_hold_it(spark, folder):
+    rows = spark.range(300, numPartitions=6).select(
+        F.concat(F.lit("text "), "id").alias("Text"), F.lit("ham").alias("Label"), F.format_string("2025-%02d", F.col("id") % 3 + 1).alias("month_partition"),
+    )
+    files.write_csv(rows, f"{folder}/csv", "month_partition")
+    assert len(spark.read.text(f"{folder}/csv").inputFiles()) == 3
+    assert files.read_monthly_csv(spark, f"{folder}/csv").distinct().count() == 300
