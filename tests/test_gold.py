@@ -131,3 +131,15 @@ def test_forest_input_is_dealt_by_its_dense_size(spark, monkeypatch):
     monkeypatch.setattr(training, "DENSE_BYTES", 1 << 20)
     dealt = training.spread(train, 30_000)
     assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 40
+
+
+def test_grams_are_built_from_shorter_ones(spark):
+    from lakemill.operators.terms import ngrams
+
+    lists = [["a", "b", "c", "d"], ["a", "b"], ["a"], [], None]
+    rows = spark.createDataFrame([(x,) for x in lists], "w array<string>").coalesce(1)
+    out = rows.select(*[ngrams(F.col("w"), n, n).alias(f"g{n}") for n in (1, 2, 3)])
+    assert [r["g2"] for r in out.collect()][:4] == [["a b", "b c", "c d"], ["a b"], [], []]
+    assert [r["g3"] for r in out.collect()][:4] == [["a b c", "b c d"], [], [], []]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" in plan and "array_join" not in plan
