@@ -132,7 +132,7 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 10) == 0
     model = lm.fit(docs.where(~held_out), order=3, least=1)  # trigrams, none left out
-    rows = lm.scored(docs, model, "doc_id", held_out.alias("held_out"))
+    rows = lm.scored(docs, model, "doc_id", held_out.alias("held_out"), learned=~held_out)
     return rows.withColumn("train_tokens", F.lit(model.total).cast("long"))
 
 

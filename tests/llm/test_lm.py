@@ -4,7 +4,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lakemill.llm import lm
 from lakemill.llm.queries import QUERIES
@@ -118,3 +121,19 @@ def test_small_fetches_score_alike(spark, docs):
     for limit in (1, 5_000, 1 << 30):
         got = [x for array in lm.gathered(iter(arrays), limit) for x in model.measured(array)["score"].tolist()]
         assert got == pytest.approx([whole[i] for i in ids], rel=1e-12)
+
+
+def test_learned_texts_need_fewer_looks_and_score_alike(spark, docs, monkeypatch):
+    train = docs.where("doc_id % 10 <> 0")
+    for order, least in (3, 1), (3, 2), (1, 1):
+        model = lm.fit(train, order=order, least=least)
+        plain, told = (lm.scored(docs, model, "doc_id", learned=known).collect() for known in (None, F.col("doc_id") % 10 != 0))
+        assert sorted(plain) == sorted(told)
+    model, looked, places = lm.fit(train, order=3, least=1), [], lm._places
+    monkeypatch.setattr(lm, "_places", lambda keys, grams: looked.append(len(grams)) or places(keys, grams))
+    texts = pa.concat_arrays(b.column("text") for b in train.select("text").toArrow().to_batches())
+    model.fetched(texts)
+    every = sum(looked)
+    looked.clear()
+    model.fetched(texts, np.ones(len(texts), bool))
+    assert sum(looked) < every / 2
