@@ -1,9 +1,11 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakemill.operators import evaluation
+from lakemill.functions.numbers import seeded_int
+from lakemill.operators import evaluation, training
 from lakemill.operators.ranks import exact_quantiles, running_totals, value_counts
 
 
@@ -108,3 +110,24 @@ def test_version_numbers_start_at_one(spark):
     empty = spark.createDataFrame([], "version int")
     assert evaluation.next_version(empty).first()["version"] == 1
     assert evaluation.next_version(spark.createDataFrame([(3,), (7,)], "version int")).first()["version"] == 8
+
+
+def test_forests_of_all_folds_grow_at_once_and_keep_the_nodes_of_their_rows(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("cast(id AS string) AS email_id", "cast(id % 2 AS int) AS label", "id % 2 + rand(3) AS a", "rand(4) AS b")
+    waiting, fit, models = threading.Barrier(3, timeout=60), training.fitted, []
+
+    def fitted(*args, **kwargs):
+        waiting.wait()  # passes only if every fold has begun
+        models.append(fit(*args, **kwargs))
+        return models[-1]
+
+    monkeypatch.setattr(training, "fitted", fitted)
+    got = {r["model"]: r for r in training.cross_validated_f1(rows, features=["a", "b"], folds=3, trees=5, depth=4).collect()}
+    assert len(models) == 3 and all(m.getCacheNodeIds() for m in models)
+    monkeypatch.undo()
+    tagged = training.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        rows.withColumn("_fold", seeded_int(F.col("email_id"), training.SEED, 17) % 3)
+    )
+    alone = [fit("rf", tagged.where(F.col("_fold") != k), "features", trees=5, depth=4) for k in range(3)]
+    assert sorted(m.toDebugString.partition("\n")[2] for m in models) == sorted(m.toDebugString.partition("\n")[2] for m in alone)
+    assert 0.8 < got["rf"]["mean_f1"] <= 1
