@@ -56,3 +56,14 @@ def test_shadow_checks_train_each_model_once(spark, monkeypatch):
     row = all_queries.QUERIES["shadow_checks"](spark, "/root/testdata/sf0.001").first()
     assert row["champion_holds"] and row["probabilities_hold"]
     assert sorted(trained) == ["lr", "nb"]
+
+
+def test_a_saved_model_is_evaluated_on_the_silver_it_was_trained_on(spark, monkeypatch):
+    """Texts are cleaned once for a model and its evaluation."""
+    from lakemill.operators import silver
+    from lakemill.plans.all_queries import QUERIES
+
+    made, silver_of = [], silver.silver
+    monkeypatch.setattr(silver, "silver", lambda *args, **kwargs: made.append(1) or silver_of(*args, **kwargs))
+    row = QUERIES["evaluate_saved"](spark, "/root/testdata/sf0.001").first()
+    assert made == [1] and row["tp"] + row["fp"] + row["fn"] + row["tn"] > 0
