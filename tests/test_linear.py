@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -127,3 +128,11 @@ def test_a_pass_sends_the_driver_a_fixed_amount(spark, monkeypatch):
 def test_products_of_rows_without_cells():
     rows = blocks.Rows(np.zeros(4), np.zeros(4), np.array([0, 0, 2, 2, 2]), np.array([1, 2], np.int32), np.array([3.0, 4.0]))
     assert rows.times(np.array([1.0, 10.0, 100.0])).tolist() == [0, 430, 0, 0]
+
+
+def test_arrays_of_a_block_are_small(spark):
+    """Workers get the blocks anew in every pass, and arrays of some MB are slow to hand over."""
+    rows = spark.range(0, 600, 1, 1).select((F.col("id") % 2).alias("label"), F.sequence(F.lit(1), F.lit(500)).cast("array<double>").alias("v"))
+    held = blocks.packed(rows.select("label", array_to_vector("v").alias("features")))
+    sizes = held.agg(F.max(F.octet_length("value")).alias("most"), F.sum(F.octet_length("value")).alias("all")).first()
+    assert sizes["most"] <= (512 << 10) + 500 * 8 and sizes["all"] == 600 * 500 * 8  # the last row may pass the limit
