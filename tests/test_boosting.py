@@ -155,3 +155,49 @@ def test_sums_of_a_block_in_order():
     assert (got["key"] == want["key"]).all() and got["g"] == pytest.approx(want["g"]) and got["h"] == pytest.approx(want["h"])
     assert total == pytest.approx([(p - y).sum(), (p * (1 - p)).sum()])
     assert len(boosting._of_block(tree, [], y, margin, cells)[0]) == 0
+
+
+def test_light_features_are_left_out_and_no_split_is_lost(spark, data, table):
+    """Both sides of a split hold the least weight, so a feature whose present cells are lighter cannot part a
+    node nor any below it; some million cells still grow in one task."""
+    x, y = data
+    settings = Settings(least_weight=18.0)
+    g, h = 0.4 - y, np.full(len(y), 0.24)
+    x = x * (np.arange(5) != 4) + x * (np.arange(5) == 4) * (np.arange(len(x)) < 60)[:, None]
+    row, f = np.nonzero(x)
+    bins = np.clip(np.round(x[row, f] * 10) + 30, 0, 100).astype(int)
+    cells = boosting._merged(boosting._keyed(np.zeros(len(row)), f, bins), g[row], h[row])
+    kept = boosting.live(cells, settings)
+    assert set(np.unique(kept["key"] >> 8).tolist()) == {0, 1, 2, 3} and len(boosting.live(cells[:0], settings)) == 0
+    whole, less = (boosting.best_splits(c, {0: (g.sum(), h.sum())}, settings) for c in (cells, kept))
+    assert len(whole) == 1 and (whole[["feature", "bin", "absent"]] == less[["feature", "bin", "absent"]]).all()
+    light = boosting._merged(boosting._keyed(np.ones(len(row)), f, bins)[row < 50], g[row][row < 50], h[row][row < 50])
+    both = boosting._with_siblings(light, kept, {0: (1, 2)})
+    assert set(np.unique(both["key"] >> 8 & 0xFFFFFFFF).tolist()) == {0, 1, 2, 3}
+    assert boosting.ALONE_CELLS > blocks.TASK_CELLS
+
+
+def test_table_of_blocks_adds_up_nodes_like_single_blocks(monkeypatch):
+    """Nodes of many and of few cells, over several blocks, parts of the features and chunks of rows."""
+    monkeypatch.setattr(boosting, "CHUNK_CELLS", 16)
+    monkeypatch.setattr(boosting, "CHUNK_SLOTS", 4)
+    rng = np.random.default_rng(5)
+    data, xs = [], []
+    for n in (30, 1, 25):
+        x = np.round(rng.normal(size=(n, 6)), 1) * (rng.random((n, 6)) < 0.6)
+        rows = blocks.Rows(np.zeros(n), np.zeros(n), np.append(0, np.cumsum((x != 0).sum(1))), np.nonzero(x)[1].astype(np.int32), x[x != 0])
+        columns = boosting.Columns.of_rows(rows)
+        bins = (np.round(columns.value * 10) + 60).astype(np.uint8)
+        data.append((rng.integers(0, 2, n).astype(float), rng.normal(size=n), boosting.Cells.of_bins(columns, bins)))
+        xs.append(x)
+    x, table = np.concatenate(xs), boosting.Table(data)
+    assert len(table.parts) > 3
+    g, h = rng.normal(size=len(x)), rng.random(len(x))
+    for some in (np.arange(len(x)), np.array([3, 30, 41]), np.arange(0, len(x), 2), np.zeros(0, int)):
+        row, f = np.nonzero(x[some])
+        want = boosting._merged(boosting._keyed(np.full(len(row), 7), f, (np.round(x[some][row, f] * 10) + 60).astype(int)), g[some][row], h[some][row])
+        got = np.concatenate(table.histogram(7, some, g, h))
+        assert (got["key"] == want["key"]).all() and got["g"] == pytest.approx(want["g"]) and got["h"] == pytest.approx(want["h"])
+        value = x[some, 2]
+        left = np.where(value != 0, np.round(value * 10) + 60 <= 58, True)
+        assert (table.left(some, 2, 58.0, True) == left).all()
