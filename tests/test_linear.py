@@ -136,3 +136,25 @@ def test_arrays_of_a_block_are_small(spark):
     held = blocks.packed(rows.select("label", array_to_vector("v").alias("features")))
     sizes = held.agg(F.max(F.octet_length("value")).alias("most"), F.sum(F.octet_length("value")).alias("all")).first()
     assert sizes["most"] <= (512 << 10) + 500 * 8 and sizes["all"] == 600 * 500 * 8  # the last row may pass the limit
+
+
+def test_features_of_a_block_are_widened_once_for_all_products():
+    """Products of a block, and sums over it, take places as wide as the machine's own; a pass has many of them."""
+    import pyarrow as pa
+
+    first, feature, value = np.array([0, 2, 2, 3]), np.array([1, 3, 0], np.int32), np.array([2.0, 0.5, 4.0])
+    row = [np.array([1.0, 0.0, 1.0]), np.zeros(3, np.int32), first, feature, value]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], ["y", "fold", "first", "feature", "value"])
+    (rows,) = blocks.read(batch)
+    assert rows.feature.dtype == np.intp and rows.feature.tolist() == [1, 3, 0]
+    assert rows.times(np.array([1.0, 10.0, 0.0, 4.0])).tolist() == [22.0, 0.0, 4.0]
+    assert rows.turned(np.array([1.0, 5.0, 2.0]), 4).tolist() == [8.0, 2.0, 0.0, 0.5]
+
+
+def test_sums_are_added_up_by_no_more_tasks_than_there_are_cores(spark, held, table, monkeypatch):
+    monkeypatch.setattr(blocks, "GATHERED", 0)
+    monkeypatch.setattr(blocks, "SLICE", 2)
+    dealt, repartition = [], type(held).repartition
+    monkeypatch.setattr(type(held), "repartition", lambda df, n, *by: dealt.append(n) or repartition(df, n, *by))
+    sums = blocks.summed(held, lambda rows: np.full(40, float(len(rows))), 40)
+    assert dealt == [min(20, spark.sparkContext.defaultParallelism)] and (sums == len(table[2])).all()
